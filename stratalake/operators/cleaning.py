@@ -11,7 +11,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MALFORMED = "malformed_line"
+from stratalake.schemas import MALFORMED
 
 
 class Rules(NamedTuple):

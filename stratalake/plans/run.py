@@ -34,8 +34,8 @@ class QualityError(Exception):
 class _Layer:
     """Writes one run of one layer and publishes it only if every table passed."""
 
-    def __init__(self, spark: SparkSession, root: str, layer: str, load_ts: datetime):
-        self.store, self.layer, self.load_ts = Store(spark, root, layer), layer, load_ts
+    def __init__(self, store: Store, layer: str, load_ts: datetime):
+        self.store, self.layer, self.load_ts = store, layer, load_ts
         self.run = f"run-{load_ts:%Y%m%d%H%M%S}-{uuid.uuid4().hex[:8]}"
         self.counts: dict[str, int] = {}
         self.metrics: list[tuple] = []
@@ -57,16 +57,20 @@ class _Layer:
         return self.metrics
 
 
+def open_layer(spark: SparkSession, root: str, layer: str, id_type: str = "int") -> Store:
+    return Store(spark, root, layer, S.layer_schemas(layer, id_type))
+
+
 def run_bronze(spark: SparkSession, source_dir: str, root: str, load_ts: datetime) -> list[tuple]:
-    layer = _Layer(spark, root, "bronze", load_ts)
+    layer = _Layer(open_layer(spark, root, "bronze"), "bronze", load_ts)
     for name, df in load_bronze(spark, source_dir, load_ts).items():
         layer.write(name, df)
     return layer.publish()
 
 
 def run_silver(spark: SparkSession, root: str, as_of: date, load_ts: datetime, id_type: str = "int") -> list[tuple]:
-    layer = _Layer(spark, root, "silver", load_ts)
-    bronze, rejected = Store(spark, root, "bronze"), {}
+    layer = _Layer(open_layer(spark, root, "silver", id_type), "silver", load_ts)
+    bronze, rejected = open_layer(spark, root, "bronze"), {}
     for name in S.BRONZE_TABLES:
         accepted, rejected[name] = silver.clean_table(name, bronze.table(name), as_of, load_ts, id_type)
         layer.write(name, accepted, checks.null_counters(S.required(name)))
@@ -78,9 +82,9 @@ def run_gold(spark: SparkSession, root: str, as_of: date, load_ts: datetime, id_
              first_day: date = G.FIRST_DAY, last_day: date = G.LAST_DAY, ignore_case: bool = False) -> list[tuple]:
     """Dates, overwritten dimensions, versioned dimensions, then facts; each reads what the run
     has already written, so no step repeats an earlier one."""
-    layer = _Layer(spark, root, "gold", load_ts)
+    layer = _Layer(open_layer(spark, root, "gold", id_type), "gold", load_ts)
     run = G.Run(spark, as_of, load_ts, id_type, first_day, last_day, ignore_case, stage)
-    clean = Store(spark, root, "silver")
+    clean = open_layer(spark, root, "silver", id_type)
     tables: dict[str, DataFrame] = {}
 
     def old(name: str) -> DataFrame:
@@ -127,22 +131,22 @@ def check_integrity(gold: dict[str, DataFrame]) -> None:
             raise ConstraintError(f"gold.{name}: unknown keys {[tuple(r) for r in lost]}")
 
 
-def gold_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    store = Store(spark, root, "gold")
+def gold_tables(spark: SparkSession, root: str, id_type: str = "int") -> dict[str, DataFrame]:
+    store = open_layer(spark, root, "gold", id_type)
     return {name: store.table(name) for name in S.GOLD_TABLES}
 
 
 def missing_tables(spark: SparkSession, root: str) -> list[str]:
     """Expected gold tables that the newest run does not hold (DQ-8)."""
-    entry = Store(spark, root, "gold").latest()
+    entry = open_layer(spark, root, "gold").latest()
     published = set() if entry is None else set(entry["tables"])
     return [name for name in S.GOLD_TABLES if name not in published]
 
 
-def run_quality(spark: SparkSession, root: str, strict: bool = False) -> list[tuple]:
+def run_quality(spark: SparkSession, root: str, strict: bool = False, id_type: str = "int") -> list[tuple]:
     """Count violations; only ``strict`` turns them into an error."""
     started, clock = datetime.now(), time.monotonic()
-    found = quality.violations(gold_tables(spark, root)).collect()
+    found = quality.violations(gold_tables(spark, root, id_type)).collect()
     seconds = time.monotonic() - clock
     if strict and any(r["violations"] for r in found):
         raise QualityError(str({r["check_name"]: r["violations"] for r in found if r["violations"]}))
@@ -157,7 +161,7 @@ def run_pipeline(spark: SparkSession, source_dir: str, root: str, as_of: date, l
     metrics = run_bronze(spark, source_dir, root, load_ts)
     metrics += run_silver(spark, root, as_of, load_ts, id_type)
     metrics += run_gold(spark, root, as_of, load_ts, id_type, first_day, last_day)
-    metrics += run_quality(spark, root, strict)
+    metrics += run_quality(spark, root, strict, id_type)
     return spark.createDataFrame(metrics, METRICS)
 
 

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+# Holds the whole line of a raw row that has too few or too many fields.
+MALFORMED = "malformed_line"
+
 # Raw columns of each delimited file, in file order.
 RAW = {
     "patients": ["patient_id", "first_name", "last_name", "gender", "birth_date", "blood_type", "city", "country",
@@ -131,6 +134,18 @@ def schema(table: str, id_type: str = "int") -> T.StructType:
         f"{name} {id_type if kind == 'id' else kind}" for name, kind, *_ in _fields(table)))
 
 
+def bronze_schema(table: str) -> T.StructType:
+    """All text, the unreadable line if there was one, and the audit columns."""
+    text = [*RAW[table], MALFORMED, "dwh_source"]
+    return T.StructType.fromDDL(", ".join([*(f"{c} string" for c in text), "dwh_load_date timestamp"]))
+
+
+def layer_schemas(layer: str, id_type: str = "int") -> dict[str, T.StructType]:
+    if layer == "bronze":
+        return {name: bronze_schema(name) for name in BRONZE_TABLES}
+    return {name: schema(name, id_type) for name in (SILVER_TABLES if layer == "silver" else GOLD_TABLES)}
+
+
 def empty(spark: SparkSession, table: str, id_type: str = "int") -> DataFrame:
     """A table that has no snapshot yet (SNK-4)."""
     return spark.createDataFrame([], schema(table, id_type))
@@ -138,4 +153,4 @@ def empty(spark: SparkSession, table: str, id_type: str = "int") -> DataFrame:
 
 def conform(df: DataFrame, table: str, id_type: str = "int") -> DataFrame:
     """The declared columns in the declared order and types (SNK-1)."""
-    return df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in schema(table, id_type)])
+    return df.to(schema(table, id_type))

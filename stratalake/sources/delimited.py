@@ -8,8 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.operators.cleaning import MALFORMED
-from stratalake.schemas import RAW
+from stratalake.schemas import MALFORMED, RAW
 
 
 def read_delimited(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:

@@ -13,30 +13,37 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+from pyspark.sql.types import StructType
 
 LOG = "version long, run string, published_at timestamp, tables map<string, long>"
 
 
 class Store:
-    """One layer's published tables under ``root``."""
+    """One layer's published tables under ``root``.
 
-    def __init__(self, spark: SparkSession, root: str, layer: str):
-        self.spark, self.folder = spark, f"{root.rstrip('/')}/{layer}"
+    The newest run is looked up once, so all tables read through one Store belong together
+    even if another run is published meanwhile.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, layer: str, schemas: Mapping[str, StructType]):
+        self.spark, self.folder, self.schemas = spark, f"{root.rstrip('/')}/{layer}", schemas
+        self._newest: list = []
 
     def log(self) -> DataFrame:
         """One row per published run, with the row count of each of its tables."""
-        try:
-            return self.spark.read.schema(LOG).json(f"{self.folder}/log")
-        except AnalysisException as error:
-            if "PATH_NOT_FOUND" not in str(error):
-                raise
+        if not self._exists(f"{self.folder}/log"):
             return self.spark.createDataFrame([], LOG)
+        return self.spark.read.schema(LOG).json(f"{self.folder}/log")
+
+    def _exists(self, path: str) -> bool:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
 
     def latest(self):
         """The log row of the newest run, or None."""
-        rows = self.log().orderBy(F.desc("version")).take(1)
-        return rows[0] if rows else None
+        if not self._newest:
+            self._newest = self.log().orderBy(F.desc("version")).take(1) or [None]
+        return self._newest[0]
 
     def table(self, name: str) -> DataFrame | None:
         """A table of the newest run, or None where there is none."""
@@ -46,7 +53,7 @@ class Store:
         return self.written(entry["run"], name)
 
     def written(self, run: str, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{run}/{name}")
+        return self.spark.read.schema(self.schemas[name]).parquet(f"{self.folder}/{run}/{name}")
 
     def write(self, run: str, name: str, df: DataFrame, counters: Mapping[str, Column] | None = None) -> dict[str, int]:
         """Write one table of a run; its row count and ``counters`` come from the same pass.
@@ -65,4 +72,5 @@ class Store:
         version = 1 if entry is None else entry["version"] + 1
         row = self.spark.createDataFrame([(version, run, at, dict(counts))], LOG)
         row.coalesce(1).write.mode("append").json(f"{self.folder}/log")
+        self._newest = []
         return version

@@ -3,7 +3,6 @@ from datetime import date, datetime
 import pytest
 
 from stratalake.plans import reports, run
-from stratalake.sources.snapshots import Store
 from tests.sources import CLEAN, write_sources
 
 D1, D2, D3 = date(2024, 1, 1), date(2024, 2, 1), date(2024, 3, 1)
@@ -79,7 +78,7 @@ def test_broken_constraint_leaves_last_run_readable(spark, tmp_path, table, line
     with pytest.raises(run.ConstraintError, match=message):
         run.run_pipeline(spark, bad, root, D2)
     assert rows(run.gold_tables(spark, root)["fact_appointments"], "appointment_key") == before
-    assert Store(spark, root, "gold").latest()["version"] == 1
+    assert run.open_layer(spark, root, "gold").latest()["version"] == 1
 
 
 def test_lost_keys_are_found(spark, tmp_path):
@@ -94,6 +93,6 @@ def test_lost_keys_are_found(spark, tmp_path):
 
 
 def test_nothing_published_yet(spark, tmp_path):
-    store = Store(spark, str(tmp_path / "none"), "gold")
+    store = run.open_layer(spark, str(tmp_path / "none"), "gold")
     assert store.latest() is None and store.table("dim_date") is None
     assert len(run.missing_tables(spark, str(tmp_path / "none"))) == 8
