@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ByteType, IntegerType, ShortType
 
 # A 64-bit id is cut into 18 + 23 + 23 bits, which bounds every window partition below:
 # at most 2**18 new rows per bucket (ids are unique), at most 2**23 bucket counts per group
@@ -26,16 +27,17 @@ def assign_keys(new_rows: DataFrame, id_col: str, key_col: str, base: Column | i
     base = F.lit(base).cast("long") if isinstance(base, int) else base
     bucket = F.shiftright(F.col(id_col).cast("long"), BUCKET_BITS)
 
-    sizes = (
-        new_rows.groupBy(bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_rows"))
-        .withColumn("_group", F.shiftright("_bucket", GROUP_BITS))
-    )
-    group_sizes = sizes.groupBy("_group").agg(F.sum("_rows").alias("_rows"))
-    offsets = (
-        sizes.select("_group", "_bucket", _running_total(Window.partitionBy("_group").orderBy("_bucket")).alias("_near"))
-        .join(group_sizes.select("_group", _running_total(Window.orderBy("_group")).alias("_far")), "_group")
-        .select("_bucket", (F.col("_near") + F.col("_far")).alias("_before"))
-    )
+    sizes = new_rows.groupBy(bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_rows"))
+    if isinstance(new_rows.schema[id_col].dataType, (ByteType, ShortType, IntegerType)):
+        # A 32-bit id has at most 2**14 ranges: one short running total.
+        offsets = sizes.select("_bucket", _running_total(Window.orderBy("_bucket")).alias("_before"))
+    else:
+        sizes = sizes.withColumn("_group", F.shiftright("_bucket", GROUP_BITS))
+        group_sizes = sizes.groupBy("_group").agg(F.sum("_rows").alias("_rows"))
+        near = sizes.select("_group", "_bucket", _running_total(
+            Window.partitionBy("_group").orderBy("_bucket")).alias("_near"))
+        far = group_sizes.select("_group", _running_total(Window.orderBy("_group")).alias("_far"))
+        offsets = near.join(far, "_group").select("_bucket", (F.col("_near") + F.col("_far")).alias("_before"))
     rank = F.row_number().over(Window.partitionBy("_bucket").orderBy(id_col))
     return (
         new_rows.withColumn("_bucket", bucket).withColumn("_rank", rank)

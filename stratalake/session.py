@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,9 +46,9 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def stage(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared folder so that later uses neither recompute it
-    nor depend on any executor staying alive."""
-    spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+    """Write ``df`` once to the shared folder and go on from the written table: later uses neither
+    recompute it nor depend on any executor staying alive, read only the columns they need, and
+    see its true size when Spark chooses a join."""
+    path = f"{shared_dir(df.sparkSession)}/staged-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

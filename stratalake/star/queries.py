@@ -55,6 +55,7 @@ def monthly_appointments(spark: SparkSession, folder: str) -> DataFrame:
 def doctor_performance(spark: SparkSession, folder: str) -> DataFrame:
     """Visits before the second load carry the doctor version of the first load."""
     first, second = _doctor_loads(spark, folder)
+    second = stage(second)
     versions = first.where("is_current").withColumn("load", F.lit(1)).unionByName(
         second.where("is_current").withColumn("load", F.lit(2))).select("doctor_id", "load", "doctor_key")
     visits = star.appointments(spark, folder).withColumn(
@@ -287,20 +288,23 @@ def point_in_time_lookup(spark: SparkSession, folder: str) -> DataFrame:
 
 # Facts -----------------------------------------------------------------------------------------
 
-def _dims(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """Dimensions with gaps: a tenth of patients and treatments, provider 4 and the year 1995 are missing."""
-    def keyed(table: str, id_col: str, name: str, kept: str) -> DataFrame:
+def _dims(spark: SparkSession, folder: str, keyed: bool = True) -> dict[str, DataFrame]:
+    """Dimensions with gaps: a tenth of patients and treatments, provider 4 and the year 1995 are missing.
+    With ``keyed`` the ids with gaps get dense keys and are written first, as loaded dimensions would be."""
+    def dim(table: str, id_col: str, name: str, kept: str = "true", gaps: bool = False) -> DataFrame:
         ids = star.read(spark, folder, table).select(F.col(id_col).alias(f"{name}_id")).where(kept)
-        return assign_keys(ids, f"{name}_id", f"{name}_key")
+        if keyed and gaps:
+            return stage(assign_keys(ids, f"{name}_id", f"{name}_key"))
+        return ids.withColumn(f"{name}_key", F.col(f"{name}_id").cast("long") + 1)
 
     return {
         "dim_date": star.dates(spark, folder).where(FIRST_DATE),
-        "dim_patient": keyed("customer", "c_custkey", "patient", "patient_id % 10 <> 9").withColumn(
+        "dim_patient": dim("customer", "c_custkey", "patient", "patient_id % 10 <> 9", gaps=True).withColumn(
             "is_current", F.lit(True)),
-        "dim_doctor": keyed("supplier", "s_suppkey", "doctor", "true").withColumn("is_current", F.lit(True)),
-        "dim_department": keyed("nation", "n_nationkey", "department", "true"),
-        "dim_treatment": keyed("part", "p_partkey", "treatment", "treatment_id % 10 <> 9"),
-        "dim_insurance": keyed("region", "r_regionkey", "insurance", "insurance_id <> 4"),
+        "dim_doctor": dim("supplier", "s_suppkey", "doctor").withColumn("is_current", F.lit(True)),
+        "dim_department": dim("nation", "n_nationkey", "department"),
+        "dim_treatment": dim("part", "p_partkey", "treatment", "treatment_id % 10 <> 9", gaps=True),
+        "dim_insurance": dim("region", "r_regionkey", "insurance", "insurance_id <> 4"),
     }
 
 
@@ -321,7 +325,8 @@ def fact_appointments_upsert(spark: SparkSession, folder: str) -> DataFrame:
     lookups = gold.appointment_lookups(dims)
     fact = _empty_fact(spark, "fact_appointments")
     for source, stamp in ((visits.where(FACT_SPLIT), LOAD_1), (changed, LOAD_2)):
-        fact = fact_upsert(fact, source, "appointment_id", S.VISIT_MUTABLE, lookups, "appointment_key", stamp)
+        fact = fact_upsert(fact, source, "appointment_id", S.VISIT_MUTABLE, lookups, "appointment_key", stamp,
+                           staged=stage)
         fact = stage(fact) if stamp == LOAD_1 else fact
     return fact
 
@@ -338,13 +343,13 @@ def fact_billing_upsert(spark: SparkSession, folder: str) -> DataFrame:
     lookups = gold.bill_lookups(_dims(spark, folder))
     fact = _empty_fact(spark, "fact_billing", "recovery_rate")
     for source, stamp in ((bills.where(FACT_SPLIT), LOAD_1), (changed, LOAD_2)):
-        fact = fact_upsert(fact, source, "bill_id", S.BILL_MUTABLE, lookups, "billing_key", stamp)
+        fact = fact_upsert(fact, source, "bill_id", S.BILL_MUTABLE, lookups, "billing_key", stamp, staged=stage)
         fact = stage(fact) if stamp == LOAD_1 else fact
     return gold.with_recovery_rate(fact)
 
 
 def fact_load_misses(spark: SparkSession, folder: str) -> DataFrame:
-    dims = _dims(spark, folder)
+    dims = _dims(spark, folder, keyed=False)
     visits = lookup_misses(star.appointments(spark, folder), gold.appointment_lookups(dims))
     bills = lookup_misses(star.bills(spark, folder), gold.bill_lookups(dims))
     return visits.withColumn("fact", F.lit("fact_appointments")).unionByName(
@@ -378,12 +383,12 @@ def _partly_keyed(rows: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
 
 
 def dq_null_keys_appointments(spark: SparkSession, folder: str) -> DataFrame:
-    fact = _partly_keyed(star.appointments(spark, folder), gold.appointment_lookups(_dims(spark, folder)))
+    fact = _partly_keyed(star.appointments(spark, folder), gold.appointment_lookups(_dims(spark, folder, keyed=False)))
     return quality.null_keys(fact, quality.APPOINTMENT_KEYS)
 
 
 def dq_null_keys_billing(spark: SparkSession, folder: str) -> DataFrame:
-    fact = _partly_keyed(star.bills(spark, folder), gold.bill_lookups(_dims(spark, folder)))
+    fact = _partly_keyed(star.bills(spark, folder), gold.bill_lookups(_dims(spark, folder, keyed=False)))
     return quality.null_keys(fact, quality.BILL_KEYS)
 
 

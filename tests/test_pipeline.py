@@ -16,6 +16,7 @@ def rows(df, *order):
 def test_whole_run(spark, tmp_path):
     source, root = write_sources(tmp_path / "in"), str(tmp_path / "wh")
     metrics = run.run_pipeline(spark, source, root, D1, strict=True)
+    assert all(r["started"][4] == "-" and len(r["started"]) == 19 for r in metrics.collect())
     by_table = {(r["layer"], r["tbl"]): r["rows"] for r in metrics.collect()}
     assert by_table["bronze", "bills"] == 3 and by_table["silver", "rejected_rows"] == 0
     assert by_table["gold", "dim_date"] == 9496
@@ -64,19 +65,22 @@ def test_changes_reach_history_and_facts(spark, tmp_path):
         (3, 3, 20230201, 2, "No-Show", TS1), (4, 4, 20230301, 3, "Completed", TS2)]
 
 
-@pytest.mark.parametrize("table, line, message", [
+BROKEN = [
     ("appointments", "9,1,1,1,1,2023-01-02,09:00,30,Completed,-1.00,", "fee_not_negative"),
     ("appointments", "9,1,1,1,1,2023-01-02,09:00,0,Completed,1.00,", "duration_positive"),
     ("bills", "9,1,1,1,1,1,2023-01-02,10.00,-5.00,0,0,paid", "covered_not_negative"),
     ("patients", "9,Tom,,F,1980-05-01,A+,Rome,Italy,,,2020-01-01,yes", "null_last_name"),
-])
-def test_broken_constraint_leaves_last_run_readable(spark, tmp_path, table, line, message):
+]
+
+
+def test_broken_constraints_leave_last_run_readable(spark, tmp_path):
     root = str(tmp_path / "wh")
     run.run_pipeline(spark, write_sources(tmp_path / "a"), root, D1)
     before = rows(run.gold_tables(spark, root)["fact_appointments"], "appointment_key")
-    bad = write_sources(tmp_path / "b", **{table: [*CLEAN[table], line]})
-    with pytest.raises(run.ConstraintError, match=message):
-        run.run_pipeline(spark, bad, root, D2)
+    for i, (table, line, message) in enumerate(BROKEN):
+        bad = write_sources(tmp_path / f"b{i}", **{table: [*CLEAN[table], line]})
+        with pytest.raises(run.ConstraintError, match=message):
+            run.run_pipeline(spark, bad, root, D2)
     assert rows(run.gold_tables(spark, root)["fact_appointments"], "appointment_key") == before
     assert run.open_layer(spark, root, "gold").latest()["version"] == 1
 
