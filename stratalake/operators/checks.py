@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.operators.facts import Lookup
+from stratalake.operators.facts import Lookup, unknown_ids
 
 
 def duplicates(df: DataFrame, *keys: str, count_as: str = "rows") -> DataFrame:
@@ -41,15 +40,7 @@ def count_violations(df: DataFrame, counters: Mapping[str, Column]) -> DataFrame
 
 
 def orphans(fact: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
-    """Per foreign key: rows whose key is set but unknown to the dimension.
-
-    Keys are counted first, so only distinct keys are shuffled and joined.
-    """
-    def unmatched(look: Lookup) -> DataFrame:
-        per_key = fact.where(F.col(look.on).isNotNull()).groupBy(look.on).agg(F.count(F.lit(1)).alias("_rows"))
-        known = look.dim.select(F.col(look.key_col).alias(look.on))
-        return per_key.join(known, look.on, "left_anti").agg(
-            F.coalesce(F.sum("_rows"), F.lit(0)).alias("violations")
-        ).select(F.lit(look.on).alias("check_name"), "violations")
-
-    return reduce(DataFrame.unionByName, [unmatched(look) for look in lookups])
+    """(check_name, violations) per foreign key: rows whose key is set but unknown to the dimension."""
+    found = unknown_ids(fact, {look.on: look.dim.select(look.key_col) for look in lookups})
+    return found.select(F.col("lookup").alias("check_name"),
+                        (F.col("missing_rows") - F.col("null_rows")).alias("violations"))

@@ -45,19 +45,29 @@ def lookup_keys(rows: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
     return rows
 
 
-def lookup_misses(rows: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
-    """Per look-up: how many rows, and how many different ids, find no dimension row.
+def unknown_ids(rows: DataFrame, known: Mapping[str, DataFrame]) -> DataFrame:
+    """Per column of ``known``: how many rows, and how many different values, its one-column
+    DataFrame does not hold, and how many of those rows are NULL, which is never known.
 
-    Rows are counted per id before the anti join, so a hot id travels as one row.
+    One pass over the rows for all columns, which must be whole numbers. Both sides are counted
+    per value before they meet, so a value that fills much of the table travels once per task.
     """
-    def missing(look: Lookup) -> DataFrame:
-        per_id = rows.groupBy(look.on).agg(F.count(F.lit(1)).alias("_rows"))
-        return per_id.join(look.ids(), look.on, "left_anti").agg(
-            F.coalesce(F.sum("_rows"), F.lit(0)).alias("missing_rows"),
-            F.count(F.lit(1)).alias("missing_ids"),
-        ).select(F.lit(look.on).alias("lookup"), "missing_rows", "missing_ids")
-
-    return reduce(DataFrame.unionByName, [missing(look) for look in lookups])
+    seen = rows.select(*known).unpivot([], list(known), "lookup", "value").select(
+        "lookup", "value", F.lit(1).alias("_rows"), F.lit(0).alias("_known"))
+    for column, values in known.items():
+        seen = seen.union(values.select(F.lit(column), F.col(values.columns[0]), F.lit(0), F.lit(1)))
+    per_value = seen.groupBy("lookup", "value").agg(F.sum("_rows").alias("_rows"), F.max("_known").alias("_known"))
+    missing = (F.col("_known") == 0) | F.col("value").isNull()
+    return per_value.groupBy("lookup").agg(
+        F.sum(F.when(missing, F.col("_rows")).otherwise(0)).alias("missing_rows"),
+        F.count_if(missing & (F.col("_rows") > 0)).alias("missing_ids"),
+        F.sum(F.when(F.col("value").isNull(), F.col("_rows")).otherwise(0)).alias("null_rows"),
+    )
+
+
+def lookup_misses(rows: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
+    """(lookup, missing_rows, missing_ids): rows that ``lookup_keys`` would drop, per dimension."""
+    return unknown_ids(rows, {look.on: look.ids() for look in lookups}).drop("null_rows")
 
 
 def fact_upsert(fact: DataFrame, source: DataFrame, id_col: str, mutable: Mapping[str, object],

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,9 +53,18 @@ class _Layer:
         self.counts[name] = seen["rows"]
         return self.store.written(self.run, name)
 
+    def write_all(self, loads: Mapping[str, Callable[[], tuple[DataFrame, dict]]]) -> dict[str, DataFrame]:
+        """Write independent tables side by side, so that one table's last tasks do not leave the
+        cluster idle; ``loads`` gives each table's plan and counters. Raises the first failure in order."""
+        with ThreadPoolExecutor(max_workers=4) as pool:
+            jobs = {name: pool.submit(lambda load=load, name=name: self.write(name, *load()))
+                    for name, load in loads.items()}
+            return {name: job.result() for name, job in jobs.items()}
+
     def publish(self) -> list[tuple]:
         self.store.publish(self.run, self.counts, self.load_ts)
-        return self.metrics
+        order = list(self.store.schemas)
+        return sorted(self.metrics, key=lambda row: order.index(row[1]))
 
 
 def open_layer(spark: SparkSession, root: str, layer: str, id_type: str = "int") -> Store:
@@ -63,25 +73,24 @@ def open_layer(spark: SparkSession, root: str, layer: str, id_type: str = "int")
 
 def run_bronze(spark: SparkSession, source_dir: str, root: str, load_ts: datetime) -> list[tuple]:
     layer = _Layer(open_layer(spark, root, "bronze"), "bronze", load_ts)
-    for name, df in load_bronze(spark, source_dir, load_ts).items():
-        layer.write(name, df)
+    layer.write_all({name: lambda df=df: (df, {}) for name, df in load_bronze(spark, source_dir, load_ts).items()})
     return layer.publish()
 
 
 def run_silver(spark: SparkSession, root: str, as_of: date, load_ts: datetime, id_type: str = "int") -> list[tuple]:
     layer = _Layer(open_layer(spark, root, "silver", id_type), "silver", load_ts)
-    bronze, rejected = open_layer(spark, root, "bronze"), {}
-    for name in S.BRONZE_TABLES:
-        accepted, rejected[name] = silver.clean_table(name, bronze.table(name), as_of, load_ts, id_type)
-        layer.write(name, accepted, checks.null_counters(S.required(name)))
+    bronze = open_layer(spark, root, "bronze")
+    cleaned = {name: silver.clean_table(name, bronze.table(name), as_of, load_ts, id_type) for name in S.BRONZE_TABLES}
+    rejected = {name: bad for name, (_, bad) in cleaned.items()}
+    layer.write_all({name: lambda good=good, name=name: (good, checks.null_counters(S.required(name)))
+                     for name, (good, _) in cleaned.items()})
     layer.write("rejected_rows", silver.reject_log(rejected))
     return layer.publish()
 
 
 def run_gold(spark: SparkSession, root: str, as_of: date, load_ts: datetime, id_type: str = "int",
              first_day: date = G.FIRST_DAY, last_day: date = G.LAST_DAY, ignore_case: bool = False) -> list[tuple]:
-    """Dates, overwritten dimensions, versioned dimensions, then facts; each reads what the run
-    has already written, so no step repeats an earlier one."""
+    """All dimensions, then both facts, which look up the dimensions as the run has written them."""
     layer = _Layer(open_layer(spark, root, "gold", id_type), "gold", load_ts)
     run = G.Run(spark, as_of, load_ts, id_type, first_day, last_day, ignore_case, stage)
     clean = open_layer(spark, root, "silver", id_type)
@@ -91,12 +100,10 @@ def run_gold(spark: SparkSession, root: str, as_of: date, load_ts: datetime, id_
         published = layer.store.table(name)
         return S.empty(spark, name, id_type) if published is None else published
 
-    def put(name: str, df: DataFrame) -> None:
+    def table(name: str, load: Callable[[], DataFrame]) -> tuple[DataFrame, dict]:
         counters = {**checks.null_counters(S.required(name)), **checks.failure_counters(G.fact_conditions(name))}
-        df = S.conform(df, name, id_type)
-        if name in FACTS:
-            df = df.sortWithinPartitions("date_key")
-        tables[name] = layer.write(name, df, counters)
+        df = S.conform(load(), name, id_type)
+        return (df.sortWithinPartitions("date_key") if name in FACTS else df), counters
 
     loads: dict[str, Callable[[], DataFrame]] = {
         "dim_date": lambda: G.load_dates(run, old("dim_date")),
@@ -109,8 +116,8 @@ def run_gold(spark: SparkSession, root: str, as_of: date, load_ts: datetime, id_
             run, old("fact_appointments"), clean.table("appointments"), tables),
         "fact_billing": lambda: G.load_bills(run, old("fact_billing"), clean.table("bills"), tables),
     }
-    for name, load in loads.items():
-        put(name, load())
+    for names in (DIMENSIONS, FACTS):
+        tables.update(layer.write_all({n: lambda n=n: table(n, loads[n]) for n in names}))
     check_integrity(tables)
     return layer.publish()
 
