@@ -1,4 +1,4 @@
-"""Raw files to published star schema, layer by layer (PIPE-1, PIPE-2, SNK-3, SRC-6, CON-1..5)."""
+"""Raw files to published star schema, layer by layer (PIPE-1, PIPE-2, SNK-3, SRC-6, CON-1..6)."""
 
 from __future__ import annotations
 
@@ -71,6 +71,12 @@ def open_layer(spark: SparkSession, root: str, layer: str, id_type: str = "int")
     return Store(spark, root, layer, S.layer_schemas(layer, id_type))
 
 
+def _constraints(name: str) -> dict:
+    """Counters that must be zero on a stored table: required columns, text lengths, value conditions."""
+    return {**checks.null_counters(S.required(name)), **checks.length_counters(S.lengths(name)),
+            **checks.failure_counters(G.fact_conditions(name))}
+
+
 def run_bronze(spark: SparkSession, source_dir: str, root: str, load_ts: datetime) -> list[tuple]:
     layer = _Layer(open_layer(spark, root, "bronze"), "bronze", load_ts)
     layer.write_all({name: lambda df=df: (df, {}) for name, df in load_bronze(spark, source_dir, load_ts).items()})
@@ -82,9 +88,9 @@ def run_silver(spark: SparkSession, root: str, as_of: date, load_ts: datetime, i
     bronze = open_layer(spark, root, "bronze")
     cleaned = {name: silver.clean_table(name, bronze.table(name), as_of, load_ts, id_type) for name in S.BRONZE_TABLES}
     rejected = {name: bad for name, (_, bad) in cleaned.items()}
-    layer.write_all({name: lambda good=good, name=name: (good, checks.null_counters(S.required(name)))
+    layer.write_all({name: lambda good=good, name=name: (good, _constraints(name))
                      for name, (good, _) in cleaned.items()})
-    layer.write("rejected_rows", silver.reject_log(rejected))
+    layer.write("rejected_rows", silver.reject_log(rejected), _constraints("rejected_rows"))
     return layer.publish()
 
 
@@ -101,9 +107,8 @@ def run_gold(spark: SparkSession, root: str, as_of: date, load_ts: datetime, id_
         return S.empty(spark, name, id_type) if published is None else published
 
     def table(name: str, load: Callable[[], DataFrame]) -> tuple[DataFrame, dict]:
-        counters = {**checks.null_counters(S.required(name)), **checks.failure_counters(G.fact_conditions(name))}
         df = S.conform(load(), name, id_type)
-        return (df.sortWithinPartitions("date_key") if name in FACTS else df), counters
+        return (df.sortWithinPartitions("date_key") if name in FACTS else df), _constraints(name)
 
     loads: dict[str, Callable[[], DataFrame]] = {
         "dim_date": lambda: G.load_dates(run, old("dim_date")),

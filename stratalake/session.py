@@ -17,8 +17,18 @@ SETTINGS = {
 }
 
 
-def build_session(app: str = "stratalake", master: str | None = None, **settings: str) -> SparkSession:
-    """A session with the settings the plans rely on; pass ``master`` for local runs only."""
+PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def build_session(app: str = "stratalake", master: str | None = None, input_bytes: int | None = None,
+                  **settings: str) -> SparkSession:
+    """A session with the settings the plans rely on; pass ``master`` for local runs only.
+
+    ``input_bytes`` sizes the shuffles: one partition per 128 MB of the largest input, so that each
+    fits an executor's memory. Spark merges partitions that turn out small.
+    """
+    if input_bytes:
+        settings = {"spark.sql.shuffle.partitions": str(max(200, input_bytes // PARTITION_BYTES)), **settings}
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)

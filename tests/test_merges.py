@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from stratalake.operators.calendar import dim_date
 from stratalake.operators.dimensions import history_of_changes, scd1_merge, scd2_merge, version_at
-from stratalake.operators.facts import Lookup, fact_upsert, lookup_misses
+from stratalake.operators.facts import Lookup, fact_upsert, lookup_keys, lookup_misses
 from stratalake.operators.keys import assign_keys, highest_key
 from stratalake.session import stage
 
@@ -135,3 +135,24 @@ def test_fact_upsert_and_misses(spark):
         (1, 3, 20240102, 20, None, None, TS[0]),  # blank for NULL and -1 for NULL are no change
         (2, 7, 20240101, 11, "Completed", Decimal("5.00"), TS[1]),  # day and person stay as first loaded
         (3, 8, 20240101, 20, "New", Decimal("1.00"), TS[1])]
+
+
+def test_hot_id_is_split_when_the_dimension_is_too_large_to_broadcast(spark):
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        people = spark.range(5000).select(F.col("id").alias("pid"), (F.col("id") + 1).alias("pk"))
+        visits = spark.range(0, 60_000, 1, 8).select(
+            "id", F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 5000).alias("pid"))
+        joined = lookup_keys(visits, [Lookup(people, "pid", "pid", "pk")])
+        assert joined.count() == 60_000
+        joined.collect()
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "skew=true" in plan or "skewJoin=true" in plan

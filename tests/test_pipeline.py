@@ -69,6 +69,7 @@ BROKEN = [
     ("appointments", "9,1,1,1,1,2023-01-02,09:00,30,Completed,-1.00,", "fee_not_negative"),
     ("appointments", "9,1,1,1,1,2023-01-02,09:00,0,Completed,1.00,", "duration_positive"),
     ("bills", "9,1,1,1,1,1,2023-01-02,10.00,-5.00,0,0,paid", "covered_not_negative"),
+    ("departments", "9,Long,Main," + "x" * 21 + ",Dr. C,1992-01-01", "long_floor"),
     ("patients", "9,Tom,,F,1980-05-01,A+,Rome,Italy,,,2020-01-01,yes", "null_last_name"),
 ]
 
