@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import date, datetime
 from functools import reduce
 
@@ -14,9 +14,10 @@ from stratalake.operators.keys import assign_keys, highest_key
 
 
 def scd1_merge(dim: DataFrame, snapshot: DataFrame, id_col: str, attrs: Sequence[str], key_col: str,
-               load_ts: datetime) -> DataFrame:
+               load_ts: datetime, staged: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """Overwrite every row the snapshot also has (audit time included, changed or not), append
-    the rest of the snapshot under new keys, leave rows the snapshot lacks as they are."""
+    the rest of the snapshot under new keys, leave rows the snapshot lacks as they are.
+    ``staged`` may materialise the new rows, which key assignment reads twice."""
     stamp = F.lit(load_ts)
     incoming = snapshot.select(id_col, F.struct(*attrs).alias("_new"))
     seen = F.col("_new").isNotNull()
@@ -26,19 +27,21 @@ def scd1_merge(dim: DataFrame, snapshot: DataFrame, id_col: str, attrs: Sequence
         F.when(seen, stamp).otherwise(F.col("dwh_load_date")).alias("dwh_load_date"),
     )
     added = snapshot.select(id_col, *attrs).join(dim.select(id_col), id_col, "left_anti")
-    added = assign_keys(added, id_col, key_col, highest_key(dim, key_col)).withColumn("dwh_load_date", stamp)
+    added = assign_keys(staged(added), id_col, key_col, highest_key(dim, key_col)).withColumn("dwh_load_date", stamp)
     return kept.unionByName(added)
 
 
 def scd2_merge(dim: DataFrame, snapshot: DataFrame, id_col: str, attrs: Sequence[str],
                tracked: Mapping[str, object], key_col: str, as_of: date, load_ts: datetime,
-               ignore_case: bool = False) -> DataFrame:
+               ignore_case: bool = False,
+               staged: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """Expire the current version of each id whose tracked attributes changed and add a new one.
 
     ``tracked`` maps an attribute to the value that stands for its NULL. A current version whose
     tracked attributes did not change keeps all its columns, changed or not; expiring sets only
     ``end_date`` and ``is_current``; ids missing from the snapshot are left alone.
-    Needs at most one current version per id, which this merge itself guarantees.
+    Needs at most one current version per id, which this merge itself guarantees. ``staged`` may
+    materialise the new versions, which key assignment reads twice.
     """
     def changed(old: str, new: str) -> Column:
         tests = [differs(F.col(f"{old}.{c}"), F.col(f"{new}.{c}"), blank, ignore_case)
@@ -63,7 +66,7 @@ def scd2_merge(dim: DataFrame, snapshot: DataFrame, id_col: str, attrs: Sequence
         .where(F.col("_old").isNull() | changed("_old", "_new"))
         .drop("_old", "_new")
     )
-    added = assign_keys(added, id_col, key_col, highest_key(dim, key_col)).select(
+    added = assign_keys(staged(added), id_col, key_col, highest_key(dim, key_col)).select(
         "*",
         F.lit(as_of).alias("effective_date"),
         F.lit(None).cast("date").alias("end_date"),

@@ -36,8 +36,10 @@ def assign_keys(new_rows: DataFrame, id_col: str, key_col: str, base: Column | i
         group_sizes = sizes.groupBy("_group").agg(F.sum("_rows").alias("_rows"))
         near = sizes.select("_group", "_bucket", _running_total(
             Window.partitionBy("_group").orderBy("_bucket")).alias("_near"))
-        far = group_sizes.select("_group", _running_total(Window.orderBy("_group")).alias("_far"))
-        offsets = near.join(far, "_group").select("_bucket", (F.col("_near") + F.col("_far")).alias("_before"))
+        far = group_sizes.select(F.col("_group").alias("_g"), _running_total(Window.orderBy("_group")).alias("_far"))
+        # The null-safe match adds no filter to one side only, so both sides share one count of the sizes.
+        offsets = near.join(far, F.col("_group").eqNullSafe(F.col("_g"))).select(
+            "_bucket", (F.col("_near") + F.col("_far")).alias("_before"))
     rank = F.row_number().over(Window.partitionBy("_bucket").orderBy(id_col))
     return (
         new_rows.withColumn("_bucket", bucket).withColumn("_rank", rank)

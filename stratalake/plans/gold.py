@@ -42,12 +42,13 @@ def load_dates(run: Run, old: DataFrame) -> DataFrame:
 def load_overwritten(run: Run, old: DataFrame, snapshot: DataFrame) -> DataFrame:
     """Departments, treatments and insurance: key first, id second, audit time last."""
     key, id_col, *attrs, _ = old.columns
-    return scd1_merge(old, snapshot, id_col, attrs, key, run.load_ts)
+    return scd1_merge(old, snapshot, id_col, attrs, key, run.load_ts, run.staged)
 
 
 def _versioned(run: Run, old: DataFrame, snapshot: DataFrame, tracked: Mapping[str, object]) -> DataFrame:
     key, id_col, *attrs = old.columns[:-4]
-    return scd2_merge(old, snapshot, id_col, attrs, tracked, key, run.as_of, run.load_ts, run.ignore_case)
+    return scd2_merge(old, snapshot, id_col, attrs, tracked, key, run.as_of, run.load_ts, run.ignore_case,
+                      run.staged)
 
 
 def load_patients(run: Run, old: DataFrame, patients: DataFrame) -> DataFrame:
