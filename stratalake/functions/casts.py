@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Tried in this order after the ISO form.
-DATE_FORMATS = ("yyyyMMdd", "MM/dd/yyyy")
+DATE_FORMATS = ("yyyyMMdd", "M/d/yyyy", "yyyy/M/d")
 
 
 def to_int(text: Column, kind: str = "int") -> Column:

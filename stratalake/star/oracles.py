@@ -348,34 +348,34 @@ def _scd1(first: str, second: str, id_col: str, key_col: str, attrs: str) -> str
 
 SCD1_TREATMENTS = _scd1(
     "SELECT p_partkey AS id, p_name AS treatment_name, CAST(CAST(p_retailprice AS DECIMAL(10,2)) AS DOUBLE) AS standard_cost "
-    "FROM part WHERE p_partkey % 10 <> 9",
+    "FROM part WHERE p_brand <> 'Brand#9'",
     "SELECT p_partkey AS id, CASE WHEN p_partkey % 4 <> 0 THEN p_name END AS treatment_name, "
     "CAST(CAST(p_retailprice AS DECIMAL(10,2)) + CASE WHEN p_partkey % 5 = 0 THEN 100 ELSE 0 END AS DOUBLE) AS standard_cost "
-    "FROM part WHERE p_partkey % 10 <> 8",
+    "FROM part WHERE p_brand <> 'Brand#8'",
     "treatment_id", "treatment_key", "treatment_name, standard_cost")
 SCD1_DEPARTMENTS = _scd1(
-    "SELECT s_suppkey AS id, s_name AS department_name, 'Main' AS building FROM supplier WHERE s_suppkey % 10 <> 9",
+    "SELECT s_suppkey AS id, s_name AS department_name, 'Main' AS building FROM supplier WHERE s_nationkey <> 9",
     "SELECT s_suppkey AS id, s_name AS department_name, CASE WHEN s_suppkey % 3 = 0 THEN 'East' ELSE 'Main' END AS building "
-    "FROM supplier WHERE s_suppkey % 10 <> 8",
+    "FROM supplier WHERE s_nationkey <> 8",
     "department_id", "department_key", "department_name, building")
 SCD1_INSURANCE = _scd1(
-    "SELECT c_custkey AS id, c_name AS provider_name, c_mktsegment AS plan_type FROM customer WHERE c_custkey % 10 <> 9",
+    "SELECT c_custkey AS id, c_name AS provider_name, c_mktsegment AS plan_type FROM customer WHERE c_nationkey <> 9",
     "SELECT c_custkey AS id, c_name AS provider_name, CASE WHEN c_custkey % 6 = 0 THEN 'NEW' ELSE c_mktsegment END AS plan_type "
-    "FROM customer WHERE c_custkey % 10 <> 8",
+    "FROM customer WHERE c_nationkey <> 8",
     "insurance_id", "insurance_key", "provider_name, plan_type")
 
 PATIENT_LOADS = """p1 AS (
   SELECT c_custkey AS id, c_name AS full_name,
          CASE WHEN c_custkey % 13 <> 0 THEN 'City ' || CAST(c_nationkey AS VARCHAR) END AS city,
          'Country ' || CAST(c_nationkey % 5 AS VARCHAR) AS country, c_mktsegment AS insurance_status,
-         row_number() OVER (ORDER BY c_custkey) AS key FROM customer WHERE c_custkey % 10 <> 9),
+         row_number() OVER (ORDER BY c_custkey) AS key FROM customer WHERE c_nationkey <> 9),
 p2 AS (
   SELECT c_custkey AS id, CASE WHEN c_custkey % 3 = 0 THEN c_name || ' II' ELSE c_name END AS full_name,
          CASE WHEN c_custkey % 13 = 0 THEN '' WHEN c_custkey % 11 = 0 THEN 'Moved'
               ELSE 'City ' || CAST(c_nationkey AS VARCHAR) END AS city,
          'Country ' || CAST(c_nationkey % 5 AS VARCHAR) AS country,
          CASE WHEN c_custkey % 17 = 0 THEN NULL WHEN c_custkey % 7 = 0 THEN 'CHANGED' ELSE c_mktsegment END AS insurance_status
-  FROM customer WHERE c_custkey % 10 <> 8),
+  FROM customer WHERE c_nationkey <> 8),
 patient_changes AS (
   SELECT p2.id FROM p1 JOIN p2 USING (id) WHERE coalesce(p1.city, '') <> coalesce(p2.city, '')
     OR p1.country <> p2.country OR coalesce(p1.insurance_status, '') <> coalesce(p2.insurance_status, ''))"""
@@ -419,11 +419,11 @@ GROUP BY insurance_status""")
 # Facts -----------------------------------------------------------------------------------------
 
 DIMS = """k_patient AS (SELECT c_custkey AS patient_id, row_number() OVER (ORDER BY c_custkey) AS patient_key
-  FROM customer WHERE c_custkey % 10 <> 9),
+  FROM customer WHERE c_nationkey <> 9),
 k_doctor AS (SELECT s_suppkey AS doctor_id, row_number() OVER (ORDER BY s_suppkey) AS doctor_key FROM supplier),
 k_department AS (SELECT n_nationkey AS department_id, row_number() OVER (ORDER BY n_nationkey) AS department_key FROM nation),
 k_treatment AS (SELECT p_partkey AS treatment_id, row_number() OVER (ORDER BY p_partkey) AS treatment_key
-  FROM part WHERE p_partkey % 10 <> 9),
+  FROM part WHERE p_brand <> 'Brand#9'),
 k_insurance AS (SELECT r_regionkey AS insurance_id, row_number() OVER (ORDER BY r_regionkey) AS insurance_key
   FROM region WHERE r_regionkey <> 4)"""
 
@@ -510,10 +510,10 @@ def _broken(cte: str, conditions: dict[str, str]) -> str:
 
 
 _ORPHANS = {"date_key": ("date_key", _KNOWN["date_key"]),
-            "patient_key": ("patient_id", "SELECT c_custkey FROM customer WHERE c_custkey % 10 <> 9"),
+            "patient_key": ("patient_id", "SELECT c_custkey FROM customer WHERE c_nationkey <> 9"),
             "doctor_key": ("doctor_id", "SELECT s_suppkey FROM supplier"),
             "department_key": ("department_id", "SELECT n_nationkey FROM nation"),
-            "treatment_key": ("treatment_id", "SELECT p_partkey FROM part WHERE p_partkey % 10 <> 9")}
+            "treatment_key": ("treatment_id", "SELECT p_partkey FROM part WHERE p_brand <> 'Brand#9'")}
 
 ORACLES: dict[str, str] = {
     "monthly_appointments": MONTHLY,
@@ -532,7 +532,7 @@ ORACLES: dict[str, str] = {
     "bronze_bills_csv": "SELECT *, CAST(NULL AS VARCHAR) AS malformed_line, 'bills.csv' AS dwh_source, "
                         f"'1998-07-01 00:00:00' AS dwh_load_date FROM ({untidy_sql('bills')}) AS raw",
     "warehouse_load": WAREHOUSE,
-    "surrogate_keys": "SELECT o_orderkey * 1000000007 - 5 AS id, 100 + row_number() OVER (ORDER BY o_orderkey) AS order_key "
+    "surrogate_keys": "SELECT o_orderkey * 1000003 - 5 AS id, 100 + row_number() OVER (ORDER BY o_orderkey) AS order_key "
                       "FROM orders",
     "scd1_treatments": SCD1_TREATMENTS,
     "scd1_departments": SCD1_DEPARTMENTS,
@@ -560,7 +560,7 @@ SELECT CAST(sum(CASE WHEN total <= 500000 THEN 1 ELSE 0 END) AS BIGINT) AS zero_
        CAST(sum(CASE WHEN outstanding < 1000 THEN 1 ELSE 0 END) AS BIGINT) AS negative_outstanding,
        CAST(sum(CASE WHEN covered < 2000 THEN 1 ELSE 0 END) AS BIGINT) AS negative_covered
 FROM bills WHERE insurance_id IS NOT NULL"""),
-    "dq_several_current": "SELECT c_custkey AS patient_id, CAST(2 AS BIGINT) AS current_rows FROM customer WHERE c_custkey % 50 = 0",
+    "dq_several_current": "SELECT c_custkey AS patient_id, CAST(2 AS BIGINT) AS current_rows FROM customer WHERE c_nationkey % 5 = 3",
     "dq_date_range_appointments": _with(VISITS, select="SELECT CAST(min(day) AS VARCHAR) AS earliest_appointment, "
                                         "CAST(max(day) AS VARCHAR) AS latest_appointment FROM visits WHERE date_key >= 19960101"),
     "dq_date_range_billing": _with(BILLS, select="SELECT CAST(min(day) AS VARCHAR) AS earliest_bill, "

@@ -26,6 +26,9 @@ from stratalake.star.tables import DAY_1, DAY_2, LOAD_1, LOAD_2
 AS_OF = date(2024, 6, 30)
 FACT_SPLIT = "date_key < 19990101"
 FIRST_DATE = "date_key >= 19960101"
+# What joins with the second load, and what the second load no longer delivers.
+NEW_NATION, OLD_NATION = 9, 8
+NEW_BRAND, OLD_BRAND = "'Brand#9'", "'Brand#8'"
 
 
 def portable(df: DataFrame) -> DataFrame:
@@ -157,8 +160,8 @@ def warehouse_load(spark: SparkSession, folder: str) -> DataFrame:
 # Keys and dimension merges ---------------------------------------------------------------------
 
 def surrogate_keys(spark: SparkSession, folder: str) -> DataFrame:
-    """Keys from 101 on over ids spread far enough apart to cross all id ranges."""
-    ids = star.read(spark, folder, "orders").select((F.col("o_orderkey") * 1_000_000_007 - 5).alias("id"))
+    """Keys from 101 on over ids so far apart that each falls into a range of its own."""
+    ids = star.read(spark, folder, "orders").select((F.col("o_orderkey") * 1_000_003 - 5).alias("id"))
     return assign_keys(ids, "id", "order_key", 100)
 
 
@@ -174,10 +177,10 @@ def scd1_treatments(spark: SparkSession, folder: str) -> DataFrame:
     parts = star.read(spark, folder, "part").withColumn("k", F.col("p_partkey"))
     return _scd1(
         spark,
-        parts.where("k % 10 <> 9").select(
+        parts.where(f"p_brand <> {NEW_BRAND}").select(
             F.col("k").alias("treatment_id"), F.col("p_name").alias("treatment_name"),
             star.money("p_retailprice", "decimal(10,2)").alias("standard_cost")),
-        parts.where("k % 10 <> 8").select(
+        parts.where(f"p_brand <> {OLD_BRAND}").select(
             F.col("k").alias("treatment_id"), F.when(F.col("k") % 4 != 0, F.col("p_name")).alias("treatment_name"),
             (star.money("p_retailprice", "decimal(10,2)") + F.when(F.col("k") % 5 == 0, 100).otherwise(0))
             .cast("decimal(10,2)").alias("standard_cost")),
@@ -188,10 +191,10 @@ def scd1_departments(spark: SparkSession, folder: str) -> DataFrame:
     wards = star.read(spark, folder, "supplier").withColumn("k", F.col("s_suppkey"))
     return _scd1(
         spark,
-        wards.where("k % 10 <> 9").select(
+        wards.where(f"s_nationkey <> {NEW_NATION}").select(
             F.col("k").alias("department_id"), F.col("s_name").alias("department_name"),
             F.lit("Main").alias("building")),
-        wards.where("k % 10 <> 8").select(
+        wards.where(f"s_nationkey <> {OLD_NATION}").select(
             F.col("k").alias("department_id"), F.col("s_name").alias("department_name"),
             F.when(F.col("k") % 3 == 0, "East").otherwise("Main").alias("building")),
         "department_id", "department_key")
@@ -201,10 +204,10 @@ def scd1_insurance(spark: SparkSession, folder: str) -> DataFrame:
     firms = star.read(spark, folder, "customer").withColumn("k", F.col("c_custkey"))
     return _scd1(
         spark,
-        firms.where("k % 10 <> 9").select(
+        firms.where(f"c_nationkey <> {NEW_NATION}").select(
             F.col("k").alias("insurance_id"), F.col("c_name").alias("provider_name"),
             F.col("c_mktsegment").alias("plan_type")),
-        firms.where("k % 10 <> 8").select(
+        firms.where(f"c_nationkey <> {OLD_NATION}").select(
             F.col("k").alias("insurance_id"), F.col("c_name").alias("provider_name"),
             F.when(F.col("k") % 6 == 0, "NEW").otherwise(F.col("c_mktsegment")).alias("plan_type")),
         "insurance_id", "insurance_key")
@@ -225,10 +228,10 @@ def _patient_loads(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFra
     people = star.read(spark, folder, "customer").withColumn("k", F.col("c_custkey"))
     k, city = F.col("k"), F.concat(F.lit("City "), F.col("c_nationkey").cast("string"))
     country = F.concat(F.lit("Country "), (F.col("c_nationkey") % 5).cast("string"))
-    first = people.where("k % 10 <> 9").select(
+    first = people.where(f"c_nationkey <> {NEW_NATION}").select(
         k.alias("patient_id"), F.col("c_name").alias("full_name"), F.when(k % 13 != 0, city).alias("city"),
         country.alias("country"), F.col("c_mktsegment").alias("insurance_status"))
-    second = people.where("k % 10 <> 8").select(
+    second = people.where(f"c_nationkey <> {OLD_NATION}").select(
         k.alias("patient_id"),
         F.when(k % 3 == 0, F.concat("c_name", F.lit(" II"))).otherwise(F.col("c_name")).alias("full_name"),
         F.when(k % 13 == 0, "").when(k % 11 == 0, "Moved").otherwise(city).alias("city"),
@@ -289,22 +292,23 @@ def point_in_time_lookup(spark: SparkSession, folder: str) -> DataFrame:
 # Facts -----------------------------------------------------------------------------------------
 
 def _dims(spark: SparkSession, folder: str, keyed: bool = True) -> dict[str, DataFrame]:
-    """Dimensions with gaps: a tenth of patients and treatments, provider 4 and the year 1995 are missing.
+    """Dimensions with gaps: patients of one nation, treatments of one brand, provider 4 and the year
+    1995 are missing.
     With ``keyed`` the ids with gaps get dense keys and are written first, as loaded dimensions would be."""
     def dim(table: str, id_col: str, name: str, kept: str = "true", gaps: bool = False) -> DataFrame:
-        ids = star.read(spark, folder, table).select(F.col(id_col).alias(f"{name}_id")).where(kept)
+        ids = star.read(spark, folder, table).where(kept).select(F.col(id_col).alias(f"{name}_id"))
         if keyed and gaps:
             return stage(assign_keys(ids, f"{name}_id", f"{name}_key"))
         return ids.withColumn(f"{name}_key", F.col(f"{name}_id").cast("long") + 1)
 
     return {
         "dim_date": star.dates(spark, folder).where(FIRST_DATE),
-        "dim_patient": dim("customer", "c_custkey", "patient", "patient_id % 10 <> 9", gaps=True).withColumn(
+        "dim_patient": dim("customer", "c_custkey", "patient", f"c_nationkey <> {NEW_NATION}", gaps=True).withColumn(
             "is_current", F.lit(True)),
         "dim_doctor": dim("supplier", "s_suppkey", "doctor").withColumn("is_current", F.lit(True)),
         "dim_department": dim("nation", "n_nationkey", "department"),
-        "dim_treatment": dim("part", "p_partkey", "treatment", "treatment_id % 10 <> 9", gaps=True),
-        "dim_insurance": dim("region", "r_regionkey", "insurance", "insurance_id <> 4"),
+        "dim_treatment": dim("part", "p_partkey", "treatment", f"p_brand <> {NEW_BRAND}", gaps=True),
+        "dim_insurance": dim("region", "r_regionkey", "insurance", "r_regionkey <> 4"),
     }
 
 
@@ -413,7 +417,7 @@ def dq_invalid_bills(spark: SparkSession, folder: str) -> DataFrame:
 
 def dq_several_current(spark: SparkSession, folder: str) -> DataFrame:
     people = star.patients(spark, folder)
-    return quality.several_current(people.unionByName(people.where("patient_id % 50 = 0")), "patient_id")
+    return quality.several_current(people.unionByName(people.where("country = 'Country 3'")), "patient_id")
 
 
 def dq_date_range_appointments(spark: SparkSession, folder: str) -> DataFrame:
@@ -452,11 +456,12 @@ def foreign_key_orphans(spark: SparkSession, folder: str) -> DataFrame:
     fact = star.fact_appointments(spark, folder)
     dims = {
         "dim_date": star.dates(spark, folder).where(FIRST_DATE),
-        "dim_patient": star.patients(spark, folder).where("patient_key % 10 <> 9"),
+        "dim_patient": star.read(spark, folder, "customer").where(f"c_nationkey <> {NEW_NATION}").select(
+            F.col("c_custkey").alias("patient_key")),
         "dim_doctor": star.read(spark, folder, "supplier").select(F.col("s_suppkey").alias("doctor_key")),
         "dim_department": star.departments(spark, folder),
-        "dim_treatment": star.read(spark, folder, "part").select(F.col("p_partkey").alias("treatment_key"))
-        .where("treatment_key % 10 <> 9"),
+        "dim_treatment": star.read(spark, folder, "part").where(f"p_brand <> {NEW_BRAND}").select(
+            F.col("p_partkey").alias("treatment_key")),
     }
     return checks.orphans(fact, [look._replace(on=look.key_col) for look in gold.appointment_lookups(dims)])
 

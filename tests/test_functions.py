@@ -21,9 +21,9 @@ def test_to_int(spark):
 
 
 def test_to_date(spark):
-    got = values(spark, ["2024-01-15", "20240115", "01/15/2024", " 2024-01-15 ", "2024-02-30", "19800230", "soon", "", None],
+    got = values(spark, ["2024-01-15", "20240115", "01/15/2024", " 2024-01-15 ", "1/15/2024", "2024/01/15", "2024-02-30", "19800230", "soon", "", None],
                  casts.to_date)
-    assert got == [date(2024, 1, 15)] * 4 + [None] * 5
+    assert got == [date(2024, 1, 15)] * 6 + [None] * 5
     assert values(spark, ["15.01.2024"], lambda c: casts.to_date(c, ("dd.MM.yyyy",))) == [date(2024, 1, 15)]
 
 
