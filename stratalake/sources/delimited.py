@@ -16,7 +16,8 @@ def read_delimited(spark: SparkSession, path: str, columns: Sequence[str]) -> Da
 
     Lines with too few or too many fields keep what could be read, and the whole line goes
     to ``malformed_line``. Column pruning is off because Spark would otherwise stop counting
-    the fields of a line whose later columns are not asked for.
+    the fields of a line whose later columns are not asked for. Spark refuses queries on the files
+    that use ``malformed_line`` alone; ask for another column with it, or read the written table.
     """
     schema = ", ".join(f"{c} string" for c in [*columns, MALFORMED])
     return (
