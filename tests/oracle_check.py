@@ -66,6 +66,9 @@ if __name__ == "__main__":
     for name, query in queries().items():
         if wanted and name not in wanted:
             continue
+        if name not in sql:
+            print(f"--   {name} has no SQL")
+            continue
         clock = time.monotonic()
         try:
             problem = compare(query(spark, folder), con, sql[name])

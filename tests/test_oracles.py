@@ -5,7 +5,9 @@ import os
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from stratalake.star.oracles import ORACLES
+from stratalake.star.queries import registered
 from tests.oracle_check import compare, connect
 
 FOLDER = "/root/testdata/sf0.001"
@@ -20,12 +22,12 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(registered()) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(registered()) - SLOW))
 def test_query_equals_sql(spark, duck, name):
-    assert compare(queries()[name](spark, FOLDER), duck, oracle_sql()[name]) is None
+    assert compare(registered()[name](spark, FOLDER), duck, ORACLES[name]) is None
 
 
 def test_entry(spark):
