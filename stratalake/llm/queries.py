@@ -2,21 +2,60 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import hashlib
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stratalake.llm import line_dedup
+from stratalake.llm import bpe, line_dedup
 
 
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+def tokenizer_path() -> str:
+    """The installed tokenizer file that the queries use; the operators take any path."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def _bpe_digests(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """doc_id and digests of ids and decoded."""
+    for batch in parts:
+        ids, decoded = [], []
+        for value in batch.column("ids"):
+            numbers = value.values.to_numpy().tolist()
+            ids.append(hashlib.sha256(",".join(map(str, numbers)).encode()).hexdigest())
+        for value in batch.column("decoded").to_pylist():
+            decoded.append(hashlib.sha256(value.encode()).hexdigest())
+        yield pa.record_batch([batch.column("doc_id"), batch.column("ids").value_lengths().cast(pa.int64()),
+                               pa.array(ids, pa.string()), pa.array(decoded, pa.string())],
+                              names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+
+def bpe_digests(docs: DataFrame) -> DataFrame:
+    """doc_id, n_tokens and digests of the ids and of the text decoded from them."""
+    shared = bpe.shared(docs.sparkSession, tokenizer_path())
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = bpe.Vocabulary(*shared.value)
+        encoded = bpe.encode_batches(parts, vocabulary, "text", "ids")
+        return _bpe_digests(bpe.decode_batches(encoded, vocabulary, "ids", "decoded"))
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+
+
+def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe_digests(_read(spark, folder, "documents"))
+
+
 def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     kept = line_dedup.dedup_lines(_read(spark, folder, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op10_line_dedup,)}
+    return {f.__name__: f for f in (op4_bpe, op10_line_dedup)}
