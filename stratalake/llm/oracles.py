@@ -24,6 +24,38 @@ select doc_id, coalesce(string_agg(line, chr(10) order by pos) filter (where not
 from marked group by doc_id"""
 
 
+
+
+def contamination(source: str) -> str:
+    """The columns of op2 for the rows (doc_id, text) of ``source``."""
+    words = "regexp_extract_all({}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+    return f"""
+with item as (
+    select item_id, {words.format(_LOWER.format("coalesce(text, '')"))} as w from benchmark
+), item_window as (
+    select distinct item_id, least(len(w), 10) as size,
+           array_to_string(w[i:i + least(len(w), 10) - 1], ' ') as win
+    from item, unnest(range(1, len(w) - least(len(w), 10) + 2)) as t(i) where len(w) > 0
+), doc as (
+    select doc_id, {words.format(_LOWER.format("coalesce(text, '')"))} as w from {source}
+), doc_window as (
+    select doc_id, i, size, array_to_string(w[i:i + size - 1], ' ') as win
+    from doc, (select distinct size from item_window) s, unnest(range(1, len(w) - size + 2)) as t(i)
+), match as (
+    select d.doc_id, d.i, d.size, b.item_id from doc_window d join item_window b using (size, win)
+), hit as (
+    select doc_id, count(distinct place) as n_hit from match, unnest(range(i, i + size)) as t(place) group by doc_id
+), found as (
+    select doc_id, count(distinct item_id) as n_items,
+           sha256(string_agg(distinct cast(item_id as varchar), ',' order by cast(item_id as varchar))) as items_sha256
+    from match group by doc_id
+)
+select doc.doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+       coalesce(items_sha256, sha256('')) as items_sha256, n_hit is not null as contaminated
+from doc left join hit using (doc_id) left join found using (doc_id)"""
+
+
 ORACLES = {
+    "op2_decontaminate": contamination("documents"),
     "op10_line_dedup": f"select doc_id, n_lines, n_dropped, sha256(text) as kept_sha256 from ({line_dedup('documents')})",
 }

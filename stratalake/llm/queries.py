@@ -8,13 +8,17 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stratalake.llm import bpe, line_dedup
+from stratalake.llm import bpe, decontaminate, line_dedup
 
 
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+def op2_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contamination(_read(spark, folder, "documents"), _read(spark, folder, "benchmark"))
+
+
 def tokenizer_path() -> str:
     """The installed tokenizer file that the queries use; the operators take any path."""
     import public_tokenizers
@@ -58,4 +62,4 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_bpe, op10_line_dedup)}
+    return {f.__name__: f for f in (op2_decontaminate, op4_bpe, op10_line_dedup)}
