@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stratalake.llm import bpe, decontaminate, line_dedup
+from stratalake.llm import bpe, decontaminate, line_dedup, quality_rules
 
 
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -56,10 +56,15 @@ def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_digests(_read(spark, folder, "documents"))
 
 
+def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    judged = quality_rules.judge(_read(spark, folder, "documents"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     kept = line_dedup.dedup_lines(_read(spark, folder, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_decontaminate, op4_bpe, op10_line_dedup)}
+    return {f.__name__: f for f in (op2_decontaminate, op4_bpe, op9_quality_rules, op10_line_dedup)}
