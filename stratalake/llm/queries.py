@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stratalake.llm import bpe, decontaminate, line_dedup, quality_rules
+from stratalake.llm import bpe, decontaminate, line_dedup, ngram_join, quality_rules
 
 
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -56,6 +56,10 @@ def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_digests(_read(spark, folder, "documents"))
 
 
+def op8_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.near_duplicates(_read(spark, folder, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality_rules.judge(_read(spark, folder, "documents"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -67,4 +71,4 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_decontaminate, op4_bpe, op9_quality_rules, op10_line_dedup)}
+    return {f.__name__: f for f in (op2_decontaminate, op4_bpe, op8_ngram_join, op9_quality_rules, op10_line_dedup)}
