@@ -55,7 +55,23 @@ select doc.doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_it
 from doc left join hit using (doc_id) left join found using (doc_id)"""
 
 
+
+WARC = """
+with page as (
+    select page_id, coalesce(html, '') as html, sha1(coalesce(html, '')) as hex from pages
+), held as (
+    select *, max(page_id) over (partition by html) as holder from page
+)
+select page_id, cast(octet_length(encode(html)) as bigint) as payload_bytes,
+       array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           cast(((('0x' || substr(hex, (i // 4) * 5 + 1, 5))::int >> (15 - 5 * (i % 4))) & 31) + 1 as int), 1)
+           for i in range(32)], '') as payload_digest,
+       case when page_id is distinct from holder then 'revisit' else 'response' end as record_type,
+       case when page_id is distinct from holder then holder end as refers_to
+from held"""
+
 ORACLES = {
+    "op7_warc": WARC,
     "op2_decontaminate": contamination("documents"),
     "op10_line_dedup": f"select doc_id, n_lines, n_dropped, sha256(text) as kept_sha256 from ({line_dedup('documents')})",
 }

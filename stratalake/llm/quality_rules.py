@@ -9,40 +9,35 @@ the language's most common words are compared with the language's reference by J
 1/sqrt(n), so each limit is ``limit + slack / sqrt(n)``, and a histogram of fewer than its minimum of
 counts is not judged.
 
-References are learnt from all documents that pass the base rules, each counting once in the character
-classes: class shares are averaged over documents as whole parts per million, and word counts added up,
-so the references do not depend on the order of rows. Languages with at least a thousandth of these
-documents have a reference, at most a thousand of a few dozen numbers each, which bounds what is
+References are learnt from all documents of at least ``min_words`` words: class shares are averaged over
+documents as whole parts per million, and word counts added up, so the references do not depend on the
+order of rows. Languages with at least a thousandth of these documents have a reference, at most a thousand of a few dozen numbers each, which bounds what is
 broadcast. All others, NULL among them, are compared with the reference of all documents.
 
 Edge cases: NULL text reads as the empty text, which has no words and fails. Rows are judged one by one,
-so equal rows get equal verdicts. Without any reference (an empty table, or no document that passes the
-base rules) nothing is judged by divergence. Other columns pass through unchanged; columns with the name
+so equal rows get equal verdicts. Without any reference (an empty table, or no document of
+``min_words`` words) nothing is judged by divergence. Other columns pass through unchanged; columns with the name
 of a result column are replaced. Texts of any length are read whole.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from stratalake.llm.frames import Table
+from stratalake.session import stage
 
 SPACES = " \t\n\x0b\x0c\r"
 _SPACE = r"[\x20\x09-\x0D]"
-SYMBOLS = r"[#*$%&|<>]"
-
-#: Character classes as the pattern of what does not belong; the last class is all the rest.
-CLASSES = {
-    "lower": r"[^\p{Ll}]+",
-    "upper": r"[^\p{Lu}]+",
-    "digit": r"[^\p{Nd}]+",
-    "space": r"[^\x20\x09-\x0D]+",
-    "sentence": r"[^.,;:?'\"()-]+",
-    "exclamation": r"[^!]+",
-    "symbol": r"[^#*$%&|<>]+",
-}
+_NO_SYMBOLS = r"[^#*$%&|<>]+"
+
+#: Character classes that are counted on their own, as the pattern of what does not belong. White space and
+#: symbols are counted by the base rules; all other characters, mostly small letters, are the rest.
+CLASSES = {"upper": r"[^\p{Lu}]+", "digit": r"[^\p{Nd}]+", "sentence": r"[^.,;:?'\"()-]+", "exclamation": r"[^!]+"}
+N_CLASSES = len(CLASSES) + 3
 ADDED = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "class_distance",
          "word_distance", "kept")
 
@@ -55,11 +50,11 @@ class Rules:
     max_repeat_percent: int = 50
     common_words: int = 24
     min_share: float = 0.001  # of the documents, for a language to have a reference
-    class_limit: float = 0.105
-    class_slack: float = 2.7
+    class_limit: float = 0.14
+    class_slack: float = 2.4
     min_chars: int = 100
-    word_limit: float = 0.06
-    word_slack: float = 2.5
+    word_limit: float = 0.14
+    word_slack: float = 1.65
     min_judged_words: int = 50
 
 
@@ -79,17 +74,26 @@ def words_of(text: Column) -> Column:
 
 
 def repeated_words(words: Column) -> Column:
-    """How many words lie in a 3-word window that comes up twice or more."""
-    def windows(all_: Column) -> Column:
-        return F.sort_array(F.slice(F.transform(all_, lambda w, i: F.struct(
-            F.concat_ws(" ", w, F.get(all_, i + 1), F.get(all_, i + 2)).alias("w"), i.alias("i"))), 1, F.size(all_) - 2))
-
-    def again(found: Column) -> Column:
-        return F.filter(found, lambda x, i: F.coalesce(x["w"] == F.get(found, i - 1)["w"], F.lit(False))
-                        | F.coalesce(x["w"] == F.get(found, i + 1)["w"], F.lit(False)))
+    """How many words lie in a 3-word window that comes up twice or more.
 
+    Windows are sorted as the upper bits of their hash followed by their place; neighbours of one hash
+    count if their words are equal.
+    """
     def covered(all_: Column) -> Column:
-        places = F.transform(let(windows(all_), again), lambda x: F.array(x["i"], x["i"] + 1, x["i"] + 2))
+        bits = F.length(F.bin(F.size(all_)))
+        shift = partial(F.call_function, "shiftright")
+
+        def same(x: Column, other: Column) -> Column:
+            mask = F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1
+            at, to = x.bitwiseAND(mask).cast("int") + 1, other.bitwiseAND(mask).cast("int") + 1
+            return (shift(x, bits) == shift(other, bits)) & (F.slice(all_, at, 3) == F.slice(all_, to, 3))
+
+        keys = F.transform(all_, lambda w, i: F.call_function("shiftleft", F.xxhash64(
+            w, F.get(all_, i + 1), F.get(all_, i + 2)), bits).bitwiseOR(i.cast("long")))
+        again = let(F.sort_array(F.slice(keys, 1, F.size(all_) - 2)), lambda s: F.transform(
+            F.filter(s, lambda x, i: same(x, F.get(s, i + 1)) | same(x, F.get(s, i - 1))),
+            lambda x: x.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1)))
+        places = F.transform(again, lambda i: F.array(i, i + 1, i + 2))
         return F.when(F.size(all_) < 4, 0).otherwise(F.size(F.array_distinct(F.flatten(places)))).cast("long")
 
     return let(words, covered)
@@ -107,7 +111,7 @@ def with_base(df: DataFrame, text: Column, rules: Rules) -> DataFrame:
     df = df.withColumns({
         "n_words": F.size("_words").cast("long"),
         "word_chars": count_of(F.col("_text"), _SPACE + "+"),
-        "n_symbols": count_of(F.col("_text"), CLASSES["symbol"]),
+        "n_symbols": count_of(F.col("_text"), _NO_SYMBOLS),
         "n_dup_lines": duplicate_lines(F.col("_text")),
         "n_repeat_words": repeated_words(F.col("_words")),
     })
@@ -115,29 +119,23 @@ def with_base(df: DataFrame, text: Column, rules: Rules) -> DataFrame:
                          | (100 * F.col("n_repeat_words") > rules.max_repeat_percent * F.col("n_words")))
 
 
-def class_counts(text: Column) -> Column:
-    """Code points of each class, the rest last."""
-    found = F.array(*(count_of(text, others) for others in CLASSES.values()))
-    return let(found, lambda c: F.concat(c, F.array(F.length(text).cast("long") - F.aggregate(
+def class_counts(df: DataFrame) -> Column:
+    """Code points of each class, the rest last, of a table with base columns."""
+    found = [count_of(df["_text"], others) for others in CLASSES.values()]
+    found += [F.length(df["_text"]) - df["word_chars"], df["n_symbols"]]
+    return let(F.array(*found), lambda c: F.concat(c, F.array(F.length(df["_text"]) - F.aggregate(
         c, F.lit(0).cast("long"), lambda a, b: a + b))))
 
 
-def letter_words(text: Column) -> Column:
-    """Lower-cased runs of letters."""
-    return F.filter(F.split(F.lower(text), r"[^\p{L}]+"), lambda w: w != "")
-
-
 def references(df: DataFrame, language: Column, rules: Rules) -> DataFrame:
     """Per language (NULL: all documents): classes (shares), words and shares (the last: all other words)."""
-    chars = F.length("_text")
-    shares = F.transform(class_counts(F.col("_text")), lambda n: F.floor(n * 1_000_000 / chars).cast("long"))
+    shares = F.transform(class_counts(df), lambda n: F.floor(n * 1_000_000 / F.length(df["_text"])).cast("long"))
     entries = F.concat(
         F.array(F.struct(F.lit("docs").alias("kind"), F.lit("").alias("key"), F.lit(1).cast("long").alias("n"))),
         F.transform(shares, lambda n, i: F.struct(F.lit("class").alias("kind"), i.cast("string").alias("key"), n.alias("n"))),
-        F.transform(letter_words(F.col("_text")), lambda w: F.struct(
-            F.lit("word").alias("kind"), w.alias("key"), F.lit(1).cast("long").alias("n"))))
-    counts = df.filter(~F.col("base_failed")).select(language.alias("language"), F.inline(entries)) \
-        .groupBy("language", "kind", "key").agg(F.sum("n").alias("n"))
+        F.transform("_words", lambda w: F.struct(F.lit("word").alias("kind"), w.alias("key"), F.lit(1).cast("long").alias("n"))))
+    counts = stage(df.filter(F.col("n_words") >= rules.min_words).select(language.alias("language"), F.inline(entries))
+                   .groupBy("language", "kind", "key").agg(F.sum("n").alias("n")))
     pooled = counts.groupBy("kind", "key").agg(F.sum("n").alias("n")).select(F.lit(None).cast("string").alias("language"), "kind", "key", "n")
     counts = counts.filter("language is not null").unionByName(pooled)
 
@@ -149,7 +147,7 @@ def references(df: DataFrame, language: Column, rules: Rules) -> DataFrame:
         F.sum(F.when(F.col("kind") == "docs", F.col("n"))).alias("docs"),
         F.sum(F.when(F.col("kind") == "word", F.col("n"))).alias("total"),
         F.array(*(F.sum(F.when((F.col("kind") == "class") & (F.col("key") == str(i)), F.col("n")))
-                  for i in range(len(CLASSES) + 1))).alias("sums"))
+                  for i in range(N_CLASSES))).alias("sums"))
     joined = totals.join(words, totals["language"].eqNullSafe(words["language"]), "left").select(
         totals["language"], "docs", "total", "sums", "top")
     return joined.select(
@@ -197,12 +195,11 @@ def judge(docs: DataFrame, text_column: str = "text", language_column: str = "la
               (("_classes", "classes"), ("_common", "words"), ("_shares", "shares"))}
     based = based.withColumns(chosen)
     chars = F.length("_text")
-    counts = F.transform(class_counts(F.col("_text")), lambda n: n / chars)
-    letters = letter_words(F.col("_text"))
+    shares = F.transform(class_counts(based), lambda n: n / F.length(based["_text"]))
     judged = based.withColumns({
-        "class_distance": F.when(~F.col("base_failed") & (chars >= rules.min_chars), js_distance(counts, F.col("_classes"))),
-        "word_distance": F.when(~F.col("base_failed") & (F.col("n_words") >= rules.min_judged_words), let(letters, lambda w: F.when(
-            F.size(w) >= rules.min_judged_words, js_distance(word_shares(w, F.col("_common")), F.col("_shares"))))),
+        "class_distance": F.when(~F.col("base_failed") & (chars >= rules.min_chars), js_distance(shares, F.col("_classes"))),
+        "word_distance": F.when(~F.col("base_failed") & (F.col("n_words") >= rules.min_judged_words), js_distance(
+            word_shares(F.col("_words"), F.col("_common")), F.col("_shares"))),
     })
     strays = (F.col("class_distance") > rules.class_limit + rules.class_slack / F.sqrt(chars)) \
         | (F.col("word_distance") > rules.word_limit + rules.word_slack / F.sqrt("n_words"))

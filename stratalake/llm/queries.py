@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stratalake.llm import bpe, decontaminate, line_dedup, ngram_join, quality_rules
+from stratalake.llm import bpe, decontaminate, line_dedup, ngram_join, quality_rules, warc
+from stratalake.session import shared_dir
 
 
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -56,6 +58,13 @@ def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_digests(_read(spark, folder, "documents"))
 
 
+def op7_warc(spark: SparkSession, folder: str) -> DataFrame:
+    archive = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
+    warc.write(_read(spark, folder, "pages"), archive)
+    return warc.verified(spark, archive).select(
+        F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op8_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.near_duplicates(_read(spark, folder, "documents"))
 
@@ -71,4 +80,4 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_decontaminate, op4_bpe, op8_ngram_join, op9_quality_rules, op10_line_dedup)}
+    return {f.__name__: f for f in (op2_decontaminate, op4_bpe, op7_warc, op8_ngram_join, op9_quality_rules, op10_line_dedup)}
