@@ -19,27 +19,27 @@ bounded, and the documents are read once for each block: work is proportional to
 the blocks, and no document row is shuffled for a single block. With several blocks, the hits of a
 document (bounded by its own length) meet by row.
 
-Edge cases: NULL or empty texts have no words; documents with a NULL id are answered like any other. An
-item without an id counts under the empty id. Items of one id count
-as one; rows with equal ids are answered
-apiece. Empty tables on either side give no hits. Other columns of either table are ignored, whatever
-their names.
+Edge cases: NULL or empty texts have no words; rows are answered one by one, also equal rows and rows
+without an id. An item without an id counts under the empty id, and items of one id count as one. Empty
+tables on either side give no hits. Other columns of the documents stay, except those with the name of a
+result column or "hits" and "items"; those of the items are ignored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import types as T
 
 from stratalake.llm import batches
-from stratalake.llm.frames import Table
+from stratalake.llm.frames import Table, schema_with
 from stratalake.session import stage
 
 _WINDOWS = "_size int, _print long, _window long, _item string"
-_HITS = "_row long, doc_id long, n_words long, _hits array<int>, _items array<string>"
 _SEED = 11  # of window hashes, so that they are independent of fingerprints
 
 
@@ -97,10 +97,11 @@ def _isin(values: np.ndarray, known: np.ndarray) -> np.ndarray:
     return known[np.minimum(at, len(known) - 1)] == values if len(known) else np.zeros(len(values), dtype=bool)
 
 
-def _document_hits(parts: Iterator[pa.RecordBatch], block: Windows, span: int, gram: int) -> Iterator[pa.RecordBatch]:
+def _document_hits(parts: Iterator[pa.RecordBatch], text: str, block: Windows, span: int, gram: int) -> Iterator[pa.RecordBatch]:
+    """The rows with n_words, hits and items."""
     for batch in parts:
-        for part in batches.slices(batch, "_text"):
-            words = batches.words(*batches.buffers(part.column("_text")), inside=batches.ALPHANUMERIC)
+        for part in batches.slices(batch, text):
+            words = batches.words(*batches.buffers(part.column(text)), inside=batches.ALPHANUMERIC)
             doc = np.repeat(np.arange(part.num_rows), words.counts)
             hit, pairs = np.zeros(len(words.hash) + 1, dtype=np.int64), []
             for size in block.by_size:
@@ -124,11 +125,10 @@ def _document_hits(parts: Iterator[pa.RecordBatch], block: Windows, span: int, g
             for row, entry in np.concatenate(pairs, axis=1).T.tolist() if pairs else []:
                 items[row].add(block.items[entry])
             places = (hits - words.first[:-1][doc[hits]]).astype(np.int32)
-            yield pa.record_batch([
-                part.column("_row"), part.column("_id"), pa.array(words.counts.astype(np.int64)),
-                pa.ListArray.from_arrays(of_doc.astype(np.int32), pa.array(places)),
-                pa.array([sorted(found) for found in items], pa.list_(pa.string()))],
-                names=["_row", "doc_id", "n_words", "_hits", "_items"])
+            found = {"n_words": pa.array(words.counts.astype(np.int64)),
+                     "hits": pa.ListArray.from_arrays(of_doc.astype(np.int32), pa.array(places)),
+                     "items": pa.array([sorted(names) for names in items], pa.list_(pa.string()))}
+            yield pa.RecordBatch.from_arrays([*part.columns, *found.values()], names=[*part.schema.names, *found])
 
 
 def item_windows(items: DataFrame, item_column: str, text_column: str, span: int, gram: int) -> DataFrame:
@@ -138,43 +138,41 @@ def item_windows(items: DataFrame, item_column: str, text_column: str, span: int
         lambda parts: _item_windows(parts, span, gram), _WINDOWS).distinct()
 
 
-def hits(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", text_column: str = "text",
-         item_column: str = "item_id", item_text_column: str = "text", span: int = 10, gram: int = 5,
-         block_windows: int = 500_000) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_words, hits (sorted places of hit words, from 0) and items
-    (ids, as sorted strings, whose windows occur)."""
+def hits(docs: DataFrame, items: DataFrame, text_column: str = "text", item_column: str = "item_id",
+         item_text_column: str = "text", span: int = 10, gram: int = 5, block_windows: int = 500_000) -> DataFrame:
+    """``docs`` with n_words, hits (sorted places of hit words, from 0) and items (ids, as sorted strings,
+    whose windows occur)."""
     windows = stage(item_windows(items, item_column, item_text_column, span, gram))
     blocks = 1 + windows.count() // block_windows
     dealt = F.pmod(F.xxhash64("_window", "_item"), F.lit(blocks))
     table = Table(docs)
-    # rows are told apart by their place in the scan, which a second reading of the same files repeats
-    place: Column = F.monotonically_increasing_id() if blocks > 1 else F.lit(0).cast("long")
-    rows = table.df.select(place.alias("_row"), table.col(id_column).cast("long").alias("_id"), table.col(text_column).alias("_text"))
-    if blocks > 1:
-        rows = stage(rows)
-    found = None
+    text, rows = table.at(text_column), table.df
+    if blocks > 1:  # rows get numbers, which the written table keeps
+        rows = stage(rows.withColumn("_row", F.monotonically_increasing_id()))
+    found = []
     for number in range(blocks):
         block = windows.filter(dealt == number).toArrow()
         numbers = [block.column(c).to_numpy().astype(np.int64) for c in ("_size", "_print", "_window")]
         shared = docs.sparkSession.sparkContext.broadcast((numbers, block.column("_item").to_pylist()))
+        read = rows if blocks == 1 else rows.select("_row", text)
 
         def run(parts, shared=shared):
             columns, names = shared.value
-            return _document_hits(parts, Windows(*columns, names, span), span, gram)
+            return _document_hits(parts, text, Windows(*columns, names, span), span, gram)
 
-        part = rows.mapInArrow(run, _HITS)
-        found = part if found is None else found.unionByName(part)
-    if blocks > 1:
-        found = found.groupBy("_row").agg(
-            F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"),
-            F.flatten(F.collect_list("_hits")).alias("_hits"), F.flatten(F.collect_list("_items")).alias("_items"))
-    return found.select("doc_id", "n_words", F.array_sort(F.array_distinct("_hits")).alias("hits"),
-                        F.array_sort(F.array_distinct("_items")).alias("items"))
+        found.append(read.mapInArrow(run, schema_with(
+            read, n_words=T.LongType(), hits=T.ArrayType(T.IntegerType()), items=T.ArrayType(T.StringType()))))
+    if blocks == 1:
+        return table.restore(found[0], "n_words", "hits", "items")
+    merged = reduce(DataFrame.unionByName, found).groupBy("_row").agg(
+        F.max("n_words").alias("n_words"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("hits")))).alias("hits"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    return table.restore(rows.join(merged, "_row"), "n_words", "hits", "items")
 
 
 def contamination(docs: DataFrame, items: DataFrame, **settings) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_words, n_hit, n_items, items_sha256 and contaminated."""
-    found = hits(docs, items, **settings)
-    return found.select(
-        "doc_id", "n_words", F.size("hits").cast("long").alias("n_hit"), F.size("items").cast("long").alias("n_items"),
-        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("hits") > 0).alias("contaminated"))
+    """``docs`` with n_words, n_hit, n_items, items_sha256 and contaminated."""
+    found = hits(docs, items, **settings).withColumns({
+        "n_hit": F.size("hits").cast("long"), "n_items": F.size("items").cast("long"),
+        "items_sha256": F.sha2(F.array_join("items", ","), 256), "contaminated": F.size("hits") > 0})
+    return found.drop("hits", "items")

@@ -18,7 +18,8 @@ def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
 
 
 def op2_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
-    return decontaminate.contamination(_read(spark, folder, "documents"), _read(spark, folder, "benchmark"))
+    found = decontaminate.contamination(_read(spark, folder, "documents").select("doc_id", "text"), _read(spark, folder, "benchmark"))
+    return found.drop("text")
 
 
 def tokenizer_path() -> str:
@@ -79,5 +80,11 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, folder)
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_decontaminate, op4_bpe, op7_warc, op8_ngram_join, op9_quality_rules, op10_line_dedup)}
+    return {f.__name__: f for f in (op2_decontaminate, op4_bpe, op7_warc, op8_ngram_join, op9_quality_rules, op10_line_dedup, pipeline)}
