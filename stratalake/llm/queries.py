@@ -9,7 +9,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stratalake.llm import bpe, decontaminate, line_dedup, ngram_join, quality_rules, warc
+from stratalake.llm import bpe, decontaminate, line_dedup, ngram_join, quality_rules, substring_dedup, warc
 from stratalake.session import shared_dir
 
 
@@ -59,6 +59,15 @@ def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_digests(_read(spark, folder, "documents"))
 
 
+def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Per document: removed units, as places in the original text, and what is left."""
+    kept = substring_dedup.dedup_units(_read(spark, folder, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", F.size("removed").cast("long").alias("n_removed"), F.aggregate(
+        "removed", F.lit(0).cast("long"), lambda n, span: n + span["end"] - span["start"]).alias("chars_removed"), F.array_join(F.transform(
+            "removed", lambda span: F.concat_ws("-", span["start"], span["end"])), ",").alias("removed"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op7_warc(spark: SparkSession, folder: str) -> DataFrame:
     archive = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
     warc.write(_read(spark, folder, "pages"), archive)
@@ -87,4 +96,4 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_decontaminate, op4_bpe, op7_warc, op8_ngram_join, op9_quality_rules, op10_line_dedup, pipeline)}
+    return {f.__name__: f for f in (op2_decontaminate, op4_bpe, op6_substring_dedup, op7_warc, op8_ngram_join, op9_quality_rules, op10_line_dedup, pipeline)}
