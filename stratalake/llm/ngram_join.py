@@ -255,18 +255,23 @@ class _Join:
         pairs = keys.join(center, ["seed", "key"]).select(F.col("doc").alias("a"), F.col("center").alias("b"))
         return stage(self.verified(stage(pairs.filter("a <> b").distinct()), sets))
 
-    def matched_groups(self, sets: DataFrame, tokens: DataFrame, links: DataFrame) -> DataFrame:
-        """Pairs of classes in different groups that share one of their rarest shingles by groups."""
+    def matched_groups(self, sets: DataFrame, links: DataFrame) -> DataFrame:
+        """Pairs of classes in different groups that share one of their rarest shingles by groups, near
+        enough to the front of both for the rest to make up a link."""
         groups = components(links)
-        grouped = stage(tokens.join(groups, tokens["doc"] == groups["node"], "left").select(
-            "doc", "n", "t", F.coalesce("component", "doc").alias("g")))
+        named = sets.join(groups, sets["doc"] == groups["node"], "left").select(
+            "doc", "n", F.coalesce("component", "doc").alias("g"), "tokens")
+        grouped = stage(named.select("doc", "n", "g", F.explode("tokens").alias("t")))
         spread = grouped.select("t", "g").distinct().groupBy("t").agg(F.count(F.lit(1)).alias("groups"))
         order = F.row_number().over(Window.partitionBy("doc", "n").orderBy("groups", "t"))
         prefix = F.col("n") - F.ceil(F.col("n") * self.percent / 100) + 1
         rare = stage(grouped.join(spread, "t").withColumn("place", order).filter(
-            (F.col("place") <= prefix) & (F.col("groups") > 1)).select("t", "doc", "n", "g"))
-        x, y = (rare.select("t", *(F.col(c).alias(f"{c}_{s}") for c in ("doc", "n", "g"))) for s in "xy")
-        return x.join(y, (x["t"] == y["t"]) & (F.col("doc_x") < F.col("doc_y")) & (F.col("g_x") != F.col("g_y"))
+            (F.col("place") <= prefix) & (F.col("groups") > 1)).select("t", "doc", "n", "g", "place"))
+        x, y = (rare.select("t", *(F.col(c).alias(f"{c}_{s}") for c in ("doc", "n", "g", "place"))) for s in "xy")
+        # the first shared shingle of a link leaves enough of both sets behind it
+        most = 1 + F.least(F.col("n_x") - F.col("place_x"), F.col("n_y") - F.col("place_y"))
+        enough = 100 * most >= self.percent * (F.col("n_x") + F.col("n_y") - most)
+        return x.join(y, (x["t"] == y["t"]) & (F.col("doc_x") < F.col("doc_y")) & (F.col("g_x") != F.col("g_y")) & enough
                       & self.alike("n_x", "n_y")).select(F.col("doc_x").alias("a"), F.col("doc_y").alias("b"))
 
 
@@ -289,7 +294,7 @@ def join(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     tokens = stage(tokens.join(tokens.groupBy("t").agg(F.count(F.lit(1)).alias("c")), "t"))
     central = steps.central_links(dense, tokens)
     pairs = pairs.unionByName(steps.matched_whole(dense, certain)).unionByName(
-        steps.matched_groups(dense, tokens, central))
+        steps.matched_groups(dense, central))
     pairs = stage(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     sets = steps.sets_of(pairs.select(F.col("a").alias("doc")).unionByName(pairs.select(F.col("b").alias("doc"))))
     links = central.unionByName(steps.verified(pairs, sets))
