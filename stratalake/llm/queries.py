@@ -9,7 +9,8 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stratalake.llm import bpe, decontaminate, line_dedup, ngram_join, quality_rules, substring_dedup, warc
+from stratalake.llm import (bpe, decontaminate, labelled, line_dedup, ngram_join, quality_model, quality_rules, substring_dedup,
+                            toxicity, warc)
 from stratalake.session import shared_dir
 
 
@@ -22,6 +23,18 @@ def op2_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return found.drop("text")
 
 
+def op3_quality_model(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _read(spark, folder, "documents").select("doc_id", "text")
+    scored = quality_model.score(docs, quality_model.train(docs, _read(spark, folder, "labels")))
+    return scored.select("doc_id", labelled.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _read(spark, folder, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity.train(docs, _read(spark, folder, "labels")))
+    return scored.select("doc_id", labelled.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def tokenizer_path() -> str:
     """The installed tokenizer file that the queries use; the operators take any path."""
     import public_tokenizers
@@ -96,4 +109,4 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_decontaminate, op4_bpe, op6_substring_dedup, op7_warc, op8_ngram_join, op9_quality_rules, op10_line_dedup, pipeline)}
+    return {f.__name__: f for f in (op2_decontaminate, op3_quality_model, op4_bpe, op5_toxicity, op6_substring_dedup, op7_warc, op8_ngram_join, op9_quality_rules, op10_line_dedup, pipeline)}

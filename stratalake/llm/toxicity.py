@@ -1,6 +1,6 @@
 """Toxicity by a subsequence-kernel support vector machine with Nyström landmarks (operator 5).
 
-The kernel compares two words by the three-letter subsequences they share, gaps allowed: one that spans s
+The kernel compares two words by the four-letter subsequences they share, gaps allowed: one that spans s
 letters weighs ``DECAY ** s``, and the kernel is normalised to 1 for equal words. So ``idiot`` stays close
 to ``idxiot``; marks between letters, letters set apart by blanks and digits that stand for letters are
 undone before.
@@ -12,7 +12,7 @@ landmarks' kernel values times the inverse root of the landmarks' kernel matrix,
 squared hinge loss is fitted; then the words that it finds most toxic in each toxic document are taken
 anew, some rounds long, beside those that tell the documents apart. Copies of toxic words with letters put in are trained along.
 
-Scoring: in this kernel the machine is one weight per three-letter subsequence. It is evaluated on every
+Scoring: in this kernel the machine is one weight per four-letter subsequence. It is evaluated on every
 word of the whole text; the largest value counts, turned into a probability by a logistic fit.
 
 Edge cases: NULL, empty or wordless texts get the score of a text without any toxic word. Words longer
@@ -36,7 +36,9 @@ from stratalake.llm import batches, labelled
 from stratalake.llm.frames import Table, schema_with
 
 DECAY = 0.6
-WINDOW = 20
+WINDOW = 16
+ORDER = 4  # letters of a subsequence
+REMEMBERED = 300_000  # pieces whose value a task remembers
 TELLING = 1.9  # log odds from which a word may be taken for toxic at first: three documents against none
 _LETTERS = 40  # 1-26 letters, 27-38 everything else by remainder
 _STANDS_FOR = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "$": "s", "@": "a"}
@@ -69,25 +71,28 @@ def pieces_of(text: str) -> set[str]:
 
 
 class Subsequences:
-    """Three-letter subsequences of words of one length, as table places and weights."""
+    """Four-letter subsequences of words of one length, as table places and weights."""
 
     def __init__(self):
         self.codes = _letter_codes()
-        self.places = {n: np.array(list(combinations(range(n), 3))).reshape(-1, 3) for n in range(3, WINDOW + 1)}
+        self.places = {n: np.array(list(combinations(range(n), ORDER))) for n in range(ORDER, WINDOW + 1)}
 
     def by_length(self, words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """(indices of words, places in the table, weights) for each length from 3."""
+        """(indices of words, places in the table, weights) for each length that has any."""
         lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
-        for n in np.unique(lengths[lengths >= 3]).tolist():
+        for n in np.unique(lengths[lengths >= ORDER]).tolist():
             at = np.flatnonzero(lengths == n)
-            points = np.frombuffer("".join(words[i] for i in at.tolist()).encode("utf-32-le"), dtype=np.uint32)
-            letters = self.codes[np.minimum(points, 0xFFFF)].reshape(-1, n)
-            i, j, k = self.places[n].T
-            weights = DECAY ** (k - i + 1)
+            signs = np.frombuffer("".join(words[i] for i in at.tolist()).encode("utf-32-le"), dtype=np.uint32)
+            letters = self.codes[np.minimum(signs, 0xFFFF)].reshape(-1, n)
+            points = self.places[n].T
+            weights = DECAY ** (points[-1] - points[0] + 1)
             step = max(1, 2_000_000 // len(weights))
             for row in range(0, len(at), step):
                 part = letters[row:row + step]
-                yield at[row:row + step], (part[:, i] * _LETTERS + part[:, j]) * _LETTERS + part[:, k], weights
+                places = part[:, points[0]]
+                for point in points[1:]:
+                    places = places * _LETTERS + part[:, point]
+                yield at[row:row + step], places, weights
 
     def norms(self, places: np.ndarray, weights: np.ndarray) -> np.ndarray:
         """The kernel of each word with itself, under the root."""
@@ -104,23 +109,34 @@ class Subsequences:
         np.add.at(total, rows, value ** 2)
         return np.sqrt(total)
 
-    def against(self, words: list[str], tables: np.ndarray) -> np.ndarray:
-        """Products of the normalised words with each column of ``tables``."""
-        out = np.zeros((len(words), tables.shape[1]), dtype=np.float32)
+    def against(self, words: list[str], table: "Weights") -> np.ndarray:
+        """Products of the normalised words with each column of ``table``."""
+        out = np.zeros((len(words), table.columns.shape[1]), dtype=np.float32)
         for at, places, weights in self.by_length(words):
-            norm = self.norms(places, weights)
-            for c in range(tables.shape[1]):
-                out[at, c] = (tables[places, c] @ weights) / norm
+            norm, rows = self.norms(places, weights), table.rows[places]
+            for c in range(table.columns.shape[1]):
+                out[at, c] = (table.columns[rows, c] @ weights) / norm
         return out
 
-    def vectors(self, words: list[str]) -> np.ndarray:
+    def vectors(self, words: list[str]) -> "Weights":
         """Each word as a normalised column of subsequence weights."""
-        out = np.zeros((_LETTERS ** 3, len(words)), dtype=np.float32)
-        for at, places, weights in self.by_length(words):
+        parts = list(self.by_length(words))
+        used = np.unique(np.concatenate([places.ravel() for _, places, _ in parts])) if parts else np.zeros(0, dtype=np.int64)
+        rows = np.zeros(_LETTERS ** ORDER, dtype=np.int32)
+        rows[used] = np.arange(1, len(used) + 1)
+        columns = np.zeros((len(used) + 1, len(words)), dtype=np.float32)
+        for at, places, weights in parts:
             norm = self.norms(places, weights)
             for i, word in enumerate(at.tolist()):
-                np.add.at(out[:, word], places[i], weights / norm[i])
-        return out
+                np.add.at(columns[:, word], rows[places[i]], weights / norm[i])
+        return Weights(rows, columns)
+
+
+class Weights:
+    """Columns of weights for the subsequences that have any; row 0 is for all others."""
+
+    def __init__(self, rows: np.ndarray, columns: np.ndarray):
+        self.rows, self.columns = rows, columns
 
 
 def _machine(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 1e-6, steps: int = 25) -> tuple[np.ndarray, float]:
@@ -162,29 +178,33 @@ def _with_letters_put_in(words: Iterable[str], seed: int = 5) -> list[str]:
 class Model:
     """The fitted machine as a weight per subsequence."""
 
-    def __init__(self, table: np.ndarray, bias: float, slope: float, offset: float):
+    def __init__(self, table: Weights, bias: float, slope: float, offset: float):
         self.table, self.bias, self.slope, self.offset = table, bias, slope, offset
 
-    def values(self, texts: list[str], kernel: Subsequences) -> np.ndarray:
-        """The largest value over the words of each text."""
+    def values(self, texts: list[str], kernel: Subsequences, known: dict[str, float] | None = None) -> np.ndarray:
+        """The largest value over the words of each text; ``known`` remembers values of pieces."""
+        known = {} if known is None else known
+        if len(known) > REMEMBERED:
+            known.clear()
         pieces = [pieces_of(text) for text in texts]
-        distinct = list(set().union(*pieces))
-        words = [words_of(piece) for piece in distinct]
+        new = list(set().union(*pieces).difference(known))
+        words = [words_of(piece) for piece in new]
         flat = list({word for found in words for word in found})
         value = dict(zip(flat, (kernel.against(flat, self.table)[:, 0] + self.bias).tolist()))
-        of_piece = {piece: max(map(value.__getitem__, found), default=self.bias) for piece, found in zip(distinct, words)}
-        return np.array([max(map(of_piece.__getitem__, found), default=self.bias) for found in pieces])
+        known.update((piece, max(map(value.__getitem__, found), default=self.bias)) for piece, found in zip(new, words))
+        return np.array([max(map(known.__getitem__, found), default=self.bias) for found in pieces])
 
     def scores(self, values: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * values + self.offset, -30, 30)))
 
 
-def fit(texts: list[str], label: np.ndarray, landmarks: int = 40, max_words: int = 20_000, rounds: int = 3) -> Model:
+def fit(texts: list[str], label: np.ndarray, landmarks: int = 40, max_words: int = 20_000, rounds: int = 3,
+        clean_weight: float = 4.0) -> Model:
     """A model from labelled texts; ``landmarks`` of each kind, at most ``max_words`` clean words."""
     if not 0 < label.sum() < len(label):
         raise ValueError("labelled documents of both kinds are needed")
     kernel = Subsequences()
-    bags = [[{w for piece in pieces_of(sentence) for w in words_of(piece) if len(w) >= 3}
+    bags = [[{w for piece in pieces_of(sentence) for w in words_of(piece) if len(w) >= ORDER}
              for sentence in _SENTENCE.split(text)] for text in texts]
     docs = [set().union(*sentences) for sentences in bags]
     counts: dict[str, list[int]] = {}
@@ -196,22 +216,23 @@ def fit(texts: list[str], label: np.ndarray, landmarks: int = 40, max_words: int
     clean = sorted((w for w, (c, _) in counts.items() if c), key=lambda w: hash_order(w))[:max_words]
     telling = sorted((w for w, (c, t) in counts.items() if t >= 3 and odds[w] > TELLING), key=lambda w: (-odds[w], w))
     telling = telling[:10 * landmarks]
-    vectors = kernel.vectors(telling)
-    used = vectors[vectors.any(axis=1)]
-    alike = used.T @ used
+    alike = kernel.vectors(telling).columns
+    alike = alike.T @ alike
     chosen: list[int] = []
     for i in range(len(telling)):  # the most telling words that are not nearly one already taken
         if len(chosen) < landmarks and (not chosen or alike[i, chosen].max() < 0.9):
             chosen.append(i)
-    near = kernel.against(clean, vectors[:, chosen])
-    nearest = sorted({clean[i] for i in np.argsort(-near, axis=0, kind="stable")[:2].ravel().tolist()}) if len(clean) else []
-    marks = np.hstack((vectors[:, chosen], kernel.vectors(nearest)))
+    toxic_marks = [telling[i] for i in chosen]
+    near = kernel.against(clean, kernel.vectors(toxic_marks))
+    nearest = {clean[i] for i in np.argsort(-near, axis=0, kind="stable")[:1].ravel().tolist()}
+    table = kernel.vectors(toxic_marks + sorted(nearest))
+    marks = table.columns
     inner = marks.T @ marks + 1e-4 * np.eye(marks.shape[1])
     size, axes = np.linalg.eigh(inner)
     root = axes @ np.diag(1 / np.sqrt(np.maximum(size, 1e-4))) @ axes.T
 
     def mapped(words: list[str]) -> np.ndarray:
-        return kernel.against(words, marks) @ root
+        return kernel.against(words, table) @ root
 
     toxic_bags = [sentence for sentences, toxic in zip(bags, label.tolist()) if toxic for sentence in sentences if sentence]
     value, fitted = odds, False
@@ -223,13 +244,13 @@ def fit(texts: list[str], label: np.ndarray, landmarks: int = 40, max_words: int
         positive += _with_letters_put_in(positive)
         x = np.vstack((mapped(positive), negative))
         y = np.concatenate((np.ones(len(positive)), -np.ones(len(clean))))
-        weight = np.concatenate((often / often.sum(), np.full(len(clean), 1 / len(clean))))
+        weight = np.concatenate((often / often.sum(), np.full(len(clean), clean_weight / len(clean))))
         w, bias = _machine(x, y, weight)
-        table = (marks @ (root @ w)).astype(np.float32)[:, None]
+        weights = Weights(table.rows, (marks @ (root @ w)).astype(np.float32)[:, None])
         distinct = sorted(set().union(*toxic_bags))
-        value = dict(zip(distinct, (kernel.against(distinct, table)[:, 0] + bias).tolist()))
+        value = dict(zip(distinct, (kernel.against(distinct, weights)[:, 0] + bias).tolist()))
         fitted = True
-    model = Model(table, bias, 1.0, 0.0)
+    model = Model(weights, bias, 1.0, 0.0)
     model.slope, model.offset = _logistic(model.values(texts, kernel), label.astype(float))
     return model
 
@@ -240,10 +261,10 @@ def hash_order(word: str) -> int:
 
 
 def _score_all(parts: Iterator[pa.RecordBatch], text: str, model: Model) -> Iterator[pa.RecordBatch]:
-    kernel = Subsequences()
+    kernel, known = Subsequences(), {}
     for batch in parts:
         for part in batches.slices(batch, text):
-            scores = model.scores(model.values([t or "" for t in part.column(text).to_pylist()], kernel))
+            scores = model.scores(model.values([t or "" for t in part.column(text).to_pylist()], kernel, known))
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(scores.astype(np.float64))], names=[*part.schema.names, "score"])
 
 
@@ -251,8 +272,13 @@ def score(docs: DataFrame, model: Model, text_column: str = "text", threshold: f
     """``docs`` with score (0 to 1) and predicted (1 from ``threshold``)."""
     table = Table(docs)
     text = table.at(text_column)
-    shared = docs.sparkSession.sparkContext.broadcast((model.table, model.bias, model.slope, model.offset))
-    scored = table.df.mapInArrow(lambda parts: _score_all(parts, text, Model(*shared.value)), schema_with(table.df, score=T.DoubleType()))
+    shared = docs.sparkSession.sparkContext.broadcast((model.table.rows, model.table.columns, model.bias, model.slope, model.offset))
+
+    def unpacked() -> Model:  # sent as plain values, because executors need not have this package
+        rows, columns, *rest = shared.value
+        return Model(Weights(rows, columns), *rest)
+
+    scored = table.df.mapInArrow(lambda parts: _score_all(parts, text, unpacked()), schema_with(table.df, score=T.DoubleType()))
     return table.restore(scored.withColumn("predicted", (F.col("score") >= threshold).cast("int")), "score", "predicted")
 
 
