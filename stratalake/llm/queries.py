@@ -9,7 +9,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stratalake.llm import (bpe, decontaminate, labelled, line_dedup, ngram_join, quality_model, quality_rules, substring_dedup,
+from stratalake.llm import (bpe, decontaminate, labelled, licenses, line_dedup, ngram_join, quality_model, quality_rules, substring_dedup,
                             toxicity, warc)
 from stratalake.session import shared_dir
 
@@ -18,6 +18,11 @@ def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+def op1_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _read(spark, folder, "documents").select("doc_id", "text")
+    return licenses.scan(docs, licenses.train(docs))
+
+
 def op2_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.contamination(_read(spark, folder, "documents").select("doc_id", "text"), _read(spark, folder, "benchmark"))
     return found.drop("text")
@@ -109,4 +114,4 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_decontaminate, op3_quality_model, op4_bpe, op5_toxicity, op6_substring_dedup, op7_warc, op8_ngram_join, op9_quality_rules, op10_line_dedup, pipeline)}
+    return {f.__name__: f for f in (op1_licenses, op2_decontaminate, op3_quality_model, op4_bpe, op5_toxicity, op6_substring_dedup, op7_warc, op8_ngram_join, op9_quality_rules, op10_line_dedup, pipeline)}
