@@ -36,7 +36,7 @@ _NO_SYMBOLS = r"[^#*$%&|<>]+"
 
 #: Character classes that are counted on their own, as the pattern of what does not belong. White space and
 #: symbols are counted by the base rules; all other characters, mostly small letters, are the rest.
-CLASSES = {"upper": r"[^\p{Lu}]+", "digit": r"[^\p{Nd}]+", "sentence": r"[^.,;:?'\"()-]+", "exclamation": r"[^!]+"}
+CLASSES = {"capital": r"[^A-Z\xC0-\xDE]+", "sentence": r"[^.,;:?!'\"()-]+"}
 N_CLASSES = len(CLASSES) + 3
 ADDED = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "class_distance",
          "word_distance", "kept")
@@ -50,8 +50,8 @@ class Rules:
     max_repeat_percent: int = 50
     common_words: int = 24
     min_share: float = 0.001  # of the documents, for a language to have a reference
-    class_limit: float = 0.14
-    class_slack: float = 2.4
+    class_limit: float = 0.13
+    class_slack: float = 1.0
     min_chars: int = 100
     word_limit: float = 0.14
     word_slack: float = 1.65
@@ -110,7 +110,7 @@ def with_base(df: DataFrame, text: Column, rules: Rules) -> DataFrame:
     df = df.withColumns({"_text": text, "_words": words_of(text)})
     df = df.withColumns({
         "n_words": F.size("_words").cast("long"),
-        "word_chars": count_of(F.col("_text"), _SPACE + "+"),
+        "word_chars": F.length(F.array_join("_words", "")).cast("long"),
         "n_symbols": count_of(F.col("_text"), _NO_SYMBOLS),
         "n_dup_lines": duplicate_lines(F.col("_text")),
         "n_repeat_words": repeated_words(F.col("_words")),
@@ -134,7 +134,8 @@ def references(df: DataFrame, language: Column, rules: Rules) -> DataFrame:
         F.array(F.struct(F.lit("docs").alias("kind"), F.lit("").alias("key"), F.lit(1).cast("long").alias("n"))),
         F.transform(shares, lambda n, i: F.struct(F.lit("class").alias("kind"), i.cast("string").alias("key"), n.alias("n"))),
         F.transform("_words", lambda w: F.struct(F.lit("word").alias("kind"), w.alias("key"), F.lit(1).cast("long").alias("n"))))
-    counts = stage(df.filter(F.col("n_words") >= rules.min_words).select(language.alias("language"), F.inline(entries))
+    entries = F.when(df["n_words"] >= rules.min_words, entries)  # not a filter, which would split texts once more
+    counts = stage(df.select(language.alias("language"), F.inline(entries))
                    .groupBy("language", "kind", "key").agg(F.sum("n").alias("n")))
     pooled = counts.groupBy("kind", "key").agg(F.sum("n").alias("n")).select(F.lit(None).cast("string").alias("language"), "kind", "key", "n")
     counts = counts.filter("language is not null").unionByName(pooled)
