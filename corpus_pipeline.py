@@ -15,8 +15,7 @@ from stratalake.session import stage
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    judged = quality_rules.judge(docs)
-    return judged.filter("kept").select(docs.columns)
+    return quality_rules.keep(docs)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -206,3 +206,13 @@ def judge(docs: DataFrame, text_column: str = "text", language_column: str = "la
         | (F.col("word_distance") > rules.word_limit + rules.word_slack / F.sqrt("n_words"))
     judged = judged.withColumn("kept", ~F.col("base_failed") & ~F.coalesce(strays, F.lit(False)))
     return table.restore(judged, *ADDED)
+
+
+def keep(docs: DataFrame, **settings) -> DataFrame:
+    """The rows of ``docs`` that ``judge`` keeps.
+
+    Rejected rows go by a generator without output, not by a filter: Spark would move a filter below the
+    columns it uses and work them out again for each use.
+    """
+    judged = judge(docs, **settings)
+    return judged.select(*docs.columns, F.explode(F.when(F.col("kept"), F.array(F.lit(1)))).alias("_once")).drop("_once")

@@ -31,6 +31,11 @@ def prose(random, n, size=300):
     return " ".join(f"w{random.randrange(size)}" for _ in range(n))
 
 
+def invented(random, n):
+    return ["".join(random.choice(("lor", "men", "tis", "ra", "vo", "kel", "sun", "pa", "dri", "mo")) for _ in range(random.randrange(1, 4)))
+            for _ in range(n)]
+
+
 @pytest.fixture(scope="module")
 def docs():
     """Ids, ties and texts of every kind: NULL, empty, blank, long, copies, near copies, frequent lines."""
@@ -187,7 +192,7 @@ def test_warc_round_trip(spark, tmp_path):
         payload = next((p[2] or "").encode() for p in pages if p[0] == r["id"])
         assert r["payload_digest"] == base64.b32encode(hashlib.sha1(payload).digest()).decode() and r["payload_bytes"] == len(payload)
         head, _, block = bytes(r["record"]).partition(b"\r\n\r\n")
-        assert head.startswith(b"WARC/1.1\r\nWARC-Type: ") and b"X: y\r\n" not in head
+        assert head.startswith(b"WARC/1.1\r\nWARC-Type: ") and b"\r\nX: y" not in head
         length = int(next(x for x in head.split(b"\r\n") if x.startswith(b"Content-Length")).split(b":")[1])
         assert block[length:] == b"\r\n\r\n" and block[:length].split(b"\r\n\r\n", 1)[1] == (payload if r["record_type"] == "response" else b"")
     assert warc.verified(spark, str(tmp_path / "archive")).count() == 7
@@ -246,11 +251,10 @@ def test_quality_rules(spark, docs):
 
 def test_quality_rules_reject_what_strays(spark):
     rng = random.Random(4)
-    vocabulary = ["the", "of", "and", "to"] * 30 + [f"{a}{b}" for a in "abcdefghij" for b in ("lor", "men", "tis")]
-    docs = [(i, " ".join(rng.choice(vocabulary) for _ in range(200)) + ".") for i in range(60)]
+    docs = [(i, " ".join(rng.choice(["the", "of", "and", "to", *invented(rng, 6)]) for _ in range(200)) + ".") for i in range(60)]
     docs += [(100, docs[0][1].upper()), (101, docs[1][1].replace(" ", " | ")), (102, None)]
     for table in (frame(spark, docs), frame(spark, docs).withColumn("lang", F.lit(None).cast("string"))):
-        kept = {r["doc_id"] for r in quality_rules.judge(table).filter("kept").collect()}
+        kept = {r["doc_id"] for r in quality_rules.keep(table).collect()}
         assert kept == set(range(60))
     assert quality_rules.judge(frame(spark, [])).collect() == []
     assert [r["kept"] for r in quality_rules.judge(frame(spark, [(1, "few words")])).collect()] == [False]
@@ -269,23 +273,17 @@ def labelled_texts(rng, n, make):
     return [(i, make(rng, i % 2), i % 2) for i in range(n)]
 
 
-def test_fold():
-    import duckdb  # noqa: F401  (only to show that the fold is a plain crc32)
-
-    assert zlib.crc32(b"12") % 3 in (0, 1, 2)
-
-
 def test_toxicity_tolerates_letters_put_in(spark):
     rng = random.Random(6)
     insults = ["scoundrel", "nitwit", "blockhead"]
 
     def make(rng, toxic):
-        found = [prose(rng, 8, 400).replace("w", rng.choice("klmn")) for _ in range(5)]
+        found = [" ".join(invented(rng, 8)) for _ in range(5)]
         if toxic:
             found[2] += " you " + rng.choice(insults)
         return ". ".join(found) + "."
 
-    docs = labelled_texts(rng, 240, make)
+    docs = labelled_texts(rng, 600, make)
     table = spark.createDataFrame([(i, t, "own") for i, t, _ in docs], "doc_id long, text string, score string")
     labels = spark.createDataFrame([(i, y) for i, _, y in docs], "doc_id long, toxic int")
     model = toxicity.train(table, labels)
@@ -293,9 +291,9 @@ def test_toxicity_tolerates_letters_put_in(spark):
     assert [r["out"] for r in rows] == [zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1 for r in rows]
     assert np.mean([r["predicted"] == r["doc_id"] % 2 for r in rows if r["out"]]) > 0.97
     kernel = toxicity.Subsequences()
-    value = dict(zip(texts := ["a nitwit", "a n.i.t.w.i.t", "n i t w i t now", "a scoundxrel", "klm lmk", ""], model.scores(model.values(texts, kernel))))
-    assert min(value["a nitwit"], value["a n.i.t.w.i.t"], value["n i t w i t now"]) > 0.7 > 0.5 > max(value["klm lmk"], value[""])
-    assert value["a scoundxrel"] > 10 * value["klm lmk"]
+    value = dict(zip(texts := ["a nitwit", "a n.i.t.w.i.t", "n i t w i t now", "a scoundxrel", "kelsun mora", ""], model.scores(model.values(texts, kernel))))
+    assert min(value["a nitwit"], value["a n.i.t.w.i.t"], value["n i t w i t now"]) > 0.7 > 0.5 > max(value["kelsun mora"], value[""])
+    assert value["a scoundxrel"] > 10 * value["kelsun mora"]
     none = toxicity.score(spark.createDataFrame([(None, None, None)], "doc_id long, text string, score string"), model).first()
     assert 0 <= none["score"] <= 0.5 and toxicity.score(table.limit(0), model).collect() == []
 
@@ -388,6 +386,6 @@ def test_pipeline_stages_on_edge_rows(spark, docs, tmp_path):
     rows = [(i, t, "en", "s", len(t or "")) for i, t in [*docs, (None, docs[-1][1]), (None, None), (7, docs[13][1])]]
     for data in (rows, []):
         table = spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long")
-        for _, step in corpus_pipeline.STAGES[1:-1]:
+        for _, step in corpus_pipeline.STAGES[:-1]:
             found = step(spark, table, str(tmp_path))
             assert found.columns == table.columns and found.count() <= len(data)
