@@ -16,9 +16,18 @@ def to_int(text: Column, kind: str = "int") -> Column:
     return text.try_cast(kind)
 
 
+_DAY = r"\d{4}-\d{1,2}-\d{1,2}"
+_TIME = r"[ T]\d{1,2}:\d{2}(:\d{2}(\.\d{1,9})?)?"
+
+
 def to_date(text: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
+    """A day of the years 1 to 9999, or NULL. The whole text must be a date: an ISO day, also with a
+    valid time of day, or one of ``formats``."""
     tidy = F.trim(text)
-    return F.coalesce(tidy.try_cast("date"), *[F.try_to_date(tidy, f) for f in formats])
+    iso = F.when(tidy.rlike(f"^{_DAY}$"), tidy.try_cast("date")).when(
+        tidy.rlike(f"^{_DAY}{_TIME}$"), tidy.try_cast("timestamp_ntz").cast("date"))
+    found = F.coalesce(iso, *[F.try_to_date(tidy, f) for f in formats])
+    return F.when(F.year(found).between(1, 9999), found)
 
 
 def to_decimal(text: Column, precision: int, scale: int) -> Column:

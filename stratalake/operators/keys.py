@@ -21,11 +21,12 @@ def highest_key(table: DataFrame, key_col: str) -> Column:
 def assign_keys(new_rows: DataFrame, id_col: str, key_col: str, base: Column | int = 0) -> DataFrame:
     """``new_rows`` with ``key_col`` = base + 1, 2, … in order of the unique whole number ``id_col``.
 
-    Rows are ranked inside narrow id ranges; a running total of the (pre-aggregated) range
+    A NULL id stops the job, because it has no place in that order. Rows are ranked inside narrow id ranges; a running total of the (pre-aggregated) range
     sizes says how many rows come before each range.
     """
     base = F.lit(base).cast("long") if isinstance(base, int) else base
-    bucket = F.shiftright(F.col(id_col).cast("long"), BUCKET_BITS)
+    given = F.coalesce(F.col(id_col).cast("long"), F.raise_error(F.lit(f"{id_col} is NULL")).cast("long"))
+    bucket = F.shiftright(given, BUCKET_BITS)
 
     sizes = new_rows.groupBy(bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_rows"))
     if isinstance(new_rows.schema[id_col].dataType, (ByteType, ShortType, IntegerType)):

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from stratalake import schemas as S
 from stratalake.operators import checks
+from stratalake.operators.facts import lookup_misses
 from stratalake.plans import gold as G
 from stratalake.plans import quality, silver
 from stratalake.session import stage
@@ -22,6 +23,7 @@ from stratalake.sources.snapshots import Store
 METRICS = "layer string, tbl string, rows long, started string, seconds double"
 DIMENSIONS = ("dim_date", "dim_department", "dim_treatment", "dim_insurance", "dim_patient", "dim_doctor")
 FACTS = ("fact_appointments", "fact_billing")
+MISSES = "gold misses"  # metrics rows of cleaned rows that a fact lacks
 
 
 class ConstraintError(Exception):
@@ -86,7 +88,7 @@ def run_bronze(spark: SparkSession, source_dir: str, root: str, load_ts: datetim
 def run_silver(spark: SparkSession, root: str, as_of: date, load_ts: datetime, id_type: str = "int") -> list[tuple]:
     layer = _Layer(open_layer(spark, root, "silver", id_type), "silver", load_ts)
     bronze = open_layer(spark, root, "bronze")
-    cleaned = {name: silver.clean_table(name, bronze.table(name), as_of, load_ts, id_type) for name in S.BRONZE_TABLES}
+    cleaned = {name: silver.clean_table(name, bronze.required(name), as_of, load_ts, id_type) for name in S.BRONZE_TABLES}
     rejected = {name: bad for name, (_, bad) in cleaned.items()}
     layer.write_all({name: lambda good=good, name=name: (good, _constraints(name))
                      for name, (good, _) in cleaned.items()})
@@ -112,19 +114,32 @@ def run_gold(spark: SparkSession, root: str, as_of: date, load_ts: datetime, id_
 
     loads: dict[str, Callable[[], DataFrame]] = {
         "dim_date": lambda: G.load_dates(run, old("dim_date")),
-        "dim_department": lambda: G.load_overwritten(run, old("dim_department"), clean.table("departments")),
-        "dim_treatment": lambda: G.load_overwritten(run, old("dim_treatment"), clean.table("treatments")),
-        "dim_insurance": lambda: G.load_overwritten(run, old("dim_insurance"), clean.table("insurance_providers")),
-        "dim_patient": lambda: G.load_patients(run, old("dim_patient"), clean.table("patients")),
-        "dim_doctor": lambda: G.load_doctors(run, old("dim_doctor"), clean.table("doctors")),
+        "dim_department": lambda: G.load_overwritten(run, old("dim_department"), clean.required("departments")),
+        "dim_treatment": lambda: G.load_overwritten(run, old("dim_treatment"), clean.required("treatments")),
+        "dim_insurance": lambda: G.load_overwritten(run, old("dim_insurance"), clean.required("insurance_providers")),
+        "dim_patient": lambda: G.load_patients(run, old("dim_patient"), clean.required("patients")),
+        "dim_doctor": lambda: G.load_doctors(run, old("dim_doctor"), clean.required("doctors")),
         "fact_appointments": lambda: G.load_appointments(
-            run, old("fact_appointments"), clean.table("appointments"), tables),
-        "fact_billing": lambda: G.load_bills(run, old("fact_billing"), clean.table("bills"), tables),
+            run, old("fact_appointments"), clean.required("appointments"), tables),
+        "fact_billing": lambda: G.load_bills(run, old("fact_billing"), clean.required("bills"), tables),
     }
     for names in (DIMENSIONS, FACTS):
         tables.update(layer.write_all({n: lambda n=n: table(n, loads[n]) for n in names}))
     check_integrity(tables)
-    return layer.publish()
+    return layer.publish() + fact_misses(clean, tables)
+
+
+def fact_misses(clean: Store, gold: dict[str, DataFrame]) -> list[tuple]:
+    """One metrics row per fact and look-up: cleaned rows that no dimension row fits and the fact lacks."""
+    found = []
+    for name, source, lookups in (
+            ("fact_appointments", G.appointment_source(clean.required("appointments")), G.appointment_lookups(gold)),
+            ("fact_billing", G.bill_source(clean.required("bills")), G.bill_lookups(gold))):
+        started, clock = datetime.now(), time.monotonic()
+        rows = lookup_misses(source, lookups).collect()  # one row per look-up
+        seconds = time.monotonic() - clock
+        found += [(MISSES, f"{name}.{r['lookup']}", r["missing_rows"], f"{started:%Y-%m-%d %H:%M:%S}", seconds) for r in rows]
+    return found
 
 
 def check_integrity(gold: dict[str, DataFrame]) -> None:
@@ -179,7 +194,7 @@ def run_pipeline(spark: SparkSession, source_dir: str, root: str, as_of: date, l
 
 def step_seconds(metrics: DataFrame) -> DataFrame:
     """Elapsed seconds and rows per layer; quality rows share one measurement."""
-    return metrics.groupBy("layer").agg(
+    return metrics.where(F.col("layer") != MISSES).groupBy("layer").agg(
         F.min("started").alias("started"),
         F.when(F.col("layer") == "quality", F.max("seconds")).otherwise(F.sum("seconds")).alias("seconds"),
         F.sum("rows").alias("rows"),

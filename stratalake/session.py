@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -17,18 +18,21 @@ SETTINGS = {
 }
 
 
-PARTITION_BYTES = 128 * 1024 * 1024
+PARTITION_BYTES = 1 << 30
+MOST_PARTITIONS = 50_000
 
 
 def build_session(app: str = "stratalake", master: str | None = None, input_bytes: int | None = None,
                   **settings: str) -> SparkSession:
     """A session with the settings the plans rely on; pass ``master`` for local runs only.
 
-    ``input_bytes`` sizes the shuffles: one partition per 128 MB of the largest input, so that each
-    fits an executor's memory. Spark merges partitions that turn out small.
+    ``input_bytes`` sizes the shuffles: one partition per GB of the largest input, which sorts and joins
+    spill within an executor. Their number has a ceiling, because the driver tracks every pair of map
+    task and partition; it changes parallelism, not results. Spark merges partitions that turn out small.
+    With tens of thousands of map tasks, also use push-based shuffle (``spark.shuffle.push.enabled``).
     """
     if input_bytes:
-        settings = {"spark.sql.shuffle.partitions": str(max(200, input_bytes // PARTITION_BYTES)), **settings}
+        settings = {"spark.sql.shuffle.partitions": str(min(MOST_PARTITIONS, max(200, input_bytes // PARTITION_BYTES))), **settings}
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
@@ -40,7 +44,8 @@ def build_session(app: str = "stratalake", master: str | None = None, input_byte
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder of its own.
+    Only a session whose tasks all run in this process (``local[n]``) and that names no folder, as in
+    tests, gets a temporary one of its own.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
@@ -48,7 +53,7 @@ def shared_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     folder = tempfile.mkdtemp(prefix="stratalake-")
     spark.sparkContext.setCheckpointDir(folder)

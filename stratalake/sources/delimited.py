@@ -14,7 +14,8 @@ from stratalake.schemas import MALFORMED, RAW
 def read_delimited(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
     """All columns as text, by position; the header line is skipped, whatever it says.
 
-    Lines with too few or too many fields keep what could be read, and the whole line goes
+    Quoting follows RFC 4180: a quoted field may hold commas, line breaks stay outside, a doubled quote is
+    a quote and a backslash is an ordinary character. An empty field is NULL, quoted or not. Lines with too few or too many fields keep what could be read, and the whole line goes
     to ``malformed_line``. Column pruning is off because Spark would otherwise stop counting
     the fields of a line whose later columns are not asked for. Spark refuses queries on the files
     that use ``malformed_line`` alone; ask for another column with it, or read the written table.
@@ -22,7 +23,7 @@ def read_delimited(spark: SparkSession, path: str, columns: Sequence[str]) -> Da
     schema = ", ".join(f"{c} string" for c in [*columns, MALFORMED])
     return (
         spark.read.schema(schema)
-        .options(header=True, enforceSchema=True, mode="PERMISSIVE", columnNameOfCorruptRecord=MALFORMED,
+        .options(header=True, enforceSchema=True, mode="PERMISSIVE", columnNameOfCorruptRecord=MALFORMED, escape='"',
                  columnPruning=False)
         .csv(path)
     )

@@ -52,6 +52,13 @@ class Store:
             return None
         return self.written(entry["run"], name)
 
+    def required(self, name: str) -> DataFrame:
+        """A table of the newest run; an error that names it where there is none."""
+        found = self.table(name)
+        if found is None:
+            raise LookupError(f"{self.folder}: table {name} has not been published")
+        return found
+
     def written(self, run: str, name: str) -> DataFrame:
         return self.spark.read.schema(self.schemas[name]).parquet(f"{self.folder}/{run}/{name}")
 

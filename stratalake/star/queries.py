@@ -137,8 +137,9 @@ def _write_sources(spark: SparkSession, folder: str, names: Sequence[str]) -> st
     for name in names:
         rows = star.untidy(spark, folder, name)
         if "last_name" in rows.columns:
-            rows = rows.where("last_name IS NOT NULL")  # would break a constraint and stop the run
-        rows.write.options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(
+            # a missing last name would break a constraint and stop the run
+            rows = rows.withColumn("last_name", F.coalesce("last_name", F.lit("Unknown")))
+        rows.write.options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(
             f"{source}/{name}.csv")
     return source
 
@@ -421,12 +422,12 @@ def dq_several_current(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def dq_date_range_appointments(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.date_range(star.fact_appointments(spark, folder), star.dates(spark, folder).where(FIRST_DATE),
+    return quality.date_range(star.fact_appointments(spark, folder), star.dates(spark, folder),
                               "earliest_appointment", "latest_appointment")
 
 
 def dq_date_range_billing(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.date_range(star.fact_billing(spark, folder), star.dates(spark, folder).where(FIRST_DATE),
+    return quality.date_range(star.fact_billing(spark, folder), star.dates(spark, folder),
                               "earliest_bill", "latest_bill")
 
 

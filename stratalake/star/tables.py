@@ -174,8 +174,8 @@ UNTIDY: dict[str, dict] = {
         "columns": {
             "patient_id": _dirty_id("P"),
             "first_name": "CASE WHEN k % 53 = 0 THEN NULL WHEN k % 59 = 0 THEN '  ' "
-                          "ELSE ' ' || substr(c_name, 1, 8) || ' ' END",
-            "last_name": "CASE WHEN k % 37 = 0 THEN NULL ELSE substr(c_name, 10) || '  ' END",
+                          "ELSE ' ' || substr(c_name, 1, instr(c_name, '#') - 1) || ' ' END",
+            "last_name": "CASE WHEN k % 37 = 0 THEN NULL ELSE substr(c_name, instr(c_name, '#') + 1) || '  ' END",
             "gender": "CASE k % 6 WHEN 0 THEN 'm' WHEN 1 THEN ' F ' WHEN 2 THEN 'MALE' WHEN 3 THEN 'female' "
                       "WHEN 4 THEN 'x' ELSE NULL END",
             "birth_date": _MIXED_DATE,
@@ -196,8 +196,8 @@ UNTIDY: dict[str, dict] = {
         "from": "(SELECT *, s_suppkey AS k FROM supplier)",
         "columns": {
             "doctor_id": _dirty_id("D"),
-            "first_name": "CASE WHEN k % 53 = 0 THEN NULL ELSE substr(s_name, 1, 8) END",
-            "last_name": "' ' || substr(s_name, 10)",
+            "first_name": "CASE WHEN k % 53 = 0 THEN NULL ELSE substr(s_name, 1, instr(s_name, '#') - 1) END",
+            "last_name": "' ' || substr(s_name, instr(s_name, '#') + 1)",
             "specialization": "' Nation ' || CAST(s_nationkey AS STRING)",
             "department_id": "CASE WHEN k % 13 = 0 THEN 'none' ELSE CAST(s_nationkey AS STRING) END",
             "qualification": "CASE k % 3 WHEN 0 THEN 'MD ' WHEN 1 THEN ' PhD' ELSE NULL END",

@@ -88,6 +88,12 @@ def test_delimited_files(spark, tmp_path):
     assert len(rows.where("malformed_line IS NOT NULL").select("p").collect()) == 2
 
 
+def test_quotes_and_backslashes(spark, tmp_path):
+    (tmp_path / "q.csv").write_text('p,q\n"He said ""hi"", ok",x\n"C:\\dir\\",y\n"",z\n')
+    rows = read_delimited(spark, str(tmp_path / "q.csv"), ["p", "q"]).collect()
+    assert [tuple(r) for r in rows] == [('He said "hi", ok', "x", None), ("C:\\dir\\", "y", None), (None, "z", None)]
+
+
 def test_malformed_lines_are_rejected_and_audit_columns_added(spark, tmp_path):
     (tmp_path / "departments.csv").write_text("any,header,will,do,here,x\n1,Heart,East,2nd,Dr. B,1991-01-01\n2,Short\n")
     bronze = load_bronze(spark, str(tmp_path), TS, {"departments": S.RAW["departments"]})["departments"]

@@ -24,6 +24,9 @@ def test_to_date(spark):
     got = values(spark, ["2024-01-15", "20240115", "01/15/2024", " 2024-01-15 ", "1/15/2024", "2024/01/15", "2024-02-30", "19800230", "soon", "", None],
                  casts.to_date)
     assert got == [date(2024, 1, 15)] * 6 + [None] * 5
+    bad = ["2024-01-15 garbage", "2024-01-15Tfoo", "2024-05", "12024-01-01", "2024-01-15 25:99", "0000-01-01", "20240115x"]
+    assert values(spark, bad, casts.to_date) == [None] * len(bad)
+    assert values(spark, ["2024-01-15 10:30", "2024-01-15T10:30:59.5"], casts.to_date) == [date(2024, 1, 15)] * 2
     assert values(spark, ["15.01.2024"], lambda c: casts.to_date(c, ("dd.MM.yyyy",))) == [date(2024, 1, 15)]
 
 

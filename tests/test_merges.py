@@ -29,6 +29,11 @@ def test_keys_follow_the_id_order(spark, kind, ids):
         (v, 11 + i) for i, v in enumerate(sorted(ids))]
 
 
+def test_a_missing_id_is_refused(spark):
+    with pytest.raises(Exception, match="id is NULL"):
+        assign_keys(spark.createDataFrame([(1,), (None,), (5,)], "id long"), "id", "key").collect()
+
+
 def test_keys_of_many_rows_are_dense(spark):
     df = spark.range(0, 3_000_000, 7)
     got = assign_keys(df, "id", "key").agg(F.count("*"), F.min("key"), F.max("key"), F.count_distinct("key"),

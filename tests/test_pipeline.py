@@ -21,6 +21,8 @@ def test_whole_run(spark, tmp_path):
     assert by_table["bronze", "bills"] == 3 and by_table["silver", "rejected_rows"] == 0
     assert by_table["gold", "dim_date"] == 9496
     assert by_table["gold", "fact_billing"] == 2  # the bill without insurance finds no provider
+    assert by_table["gold misses", "fact_billing.insurance_id"] == 1
+    assert by_table["gold misses", "fact_appointments.doctor_id"] == 0
     assert run.missing_tables(spark, root) == []
     assert {r["layer"] for r in run.step_seconds(metrics).collect()} == {"bronze", "silver", "gold", "quality"}
 
@@ -47,6 +49,11 @@ def test_second_run_on_equal_input_changes_only_overwritten_audit_times(spark, t
                       "dim_doctor": {TS1}, "fact_appointments": {TS1}, "fact_billing": {TS1}}
 
 
+def test_a_missing_layer_is_named(spark, tmp_path):
+    with pytest.raises(LookupError, match="patients has not been published"):
+        run.run_silver(spark, str(tmp_path / "wh"), D1, TS1)
+
+
 def test_changes_reach_history_and_facts(spark, tmp_path):
     root = str(tmp_path / "wh")
     run.run_pipeline(spark, write_sources(tmp_path / "a"), root, D1)
