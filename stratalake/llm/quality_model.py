@@ -67,6 +67,12 @@ def summed(groups: np.ndarray, hashes: np.ndarray, count: int) -> np.ndarray:
     return np.bincount(flat, weights=signs.ravel(), minlength=count * SIZE).reshape(count, SIZE)
 
 
+def in_slices(texts: list[str]) -> Iterator[pa.Array]:
+    """The texts in runs of bounded size, so that working memory does not grow with their number."""
+    for part in batches.slices(pa.record_batch([pa.array(texts, pa.string())], names=["text"])):
+        yield part.column("text")
+
+
 class Vectors:
     """Context vectors by hash."""
 
@@ -75,28 +81,26 @@ class Vectors:
 
     @classmethod
     def learn(cls, texts: list[str], words_kept: int) -> Vectors:
-        words, shapes = word_hashes(pa.array(texts, pa.string()))
-        doc = np.repeat(np.arange(len(texts)), words.counts)
-        # words and shapes have vectors of their own; a shape's hash is told from a word's by a seed
-        marked = batches.mix(shapes, 77)
-        seen, times = np.unique(words.hash, return_counts=True)
+        """Vectors of the most frequent words and of all shapes, from slices of the texts."""
+        slices = [word_hashes(part) for part in in_slices(texts)]
+        seen, times = np.unique(np.concatenate([words.hash for words, _ in slices]), return_counts=True)
         kept = seen[np.argsort(-times, kind="stable")[:words_kept]]
-        known = np.unique(np.concatenate((kept, np.unique(marked)[:words_kept])))
+        # a shape's hash is told from a word's by a seed
+        shapes = np.unique(np.concatenate([batches.mix(np.unique(shapes), 77) for _, shapes in slices]))[:words_kept]
+        known = np.unique(np.concatenate((kept, shapes)))
         total, counts = np.zeros((len(known), SIZE)), np.zeros(len(known))
-        for owners in (words.hash, marked):
-            at = np.searchsorted(known, owners)
-            found = known[np.minimum(at, len(known) - 1)] == owners
-            for step in range(-NEAR, NEAR + 1):
-                i = np.flatnonzero(found)
-                j = i + step
-                if not step:
-                    continue
-                i, j = i[(j >= 0) & (j < len(doc))], j[(j >= 0) & (j < len(doc))]
-                same = doc[i] == doc[j]
-                i, j = i[same], j[same]
-                for neighbours in (words.hash, marked):
-                    total += summed(at[i], neighbours[j], len(known))
-                counts += np.bincount(at[i], minlength=len(known))
+        for words, shapes in slices:
+            marked, doc = batches.mix(shapes, 77), np.repeat(np.arange(len(words.counts)), words.counts)
+            for owners in (words.hash, marked):
+                at = np.searchsorted(known, owners)
+                found = np.flatnonzero(known[np.minimum(at, len(known) - 1)] == owners)
+                for step in [*range(-NEAR, 0), *range(1, NEAR + 1)]:
+                    i = found[(found + step >= 0) & (found + step < len(doc))]
+                    i = i[doc[i] == doc[i + step]]
+                    for neighbours in (words.hash, marked):
+                        places, signs = index_entries(neighbours[i + step])
+                        np.add.at(total, (at[i][:, None], places), signs)
+                    counts += np.bincount(at[i], minlength=len(known))
         vectors = total / np.maximum(1, counts)[:, None]
         return cls(known, np.vstack((vectors, np.zeros((1, SIZE)))).astype(np.float32))
 
@@ -175,7 +179,7 @@ def fit(texts: list[str], label: np.ndarray, words_kept: int = 20_000) -> tuple[
     if not 0 < label.sum() < len(label):
         raise ValueError("labelled documents of both kinds are needed")
     vectors = Vectors.learn(texts, words_kept)
-    x, y = document_vectors(pa.array(texts, pa.string()), vectors), label.astype(float)
+    x, y = np.vstack([document_vectors(part, vectors) for part in in_slices(texts)]), label.astype(float)
     back = np.arange(len(y)) % 5 == 4
     if not 0 < y[~back].sum() < (~back).sum() or not back.any():
         back[:] = False
