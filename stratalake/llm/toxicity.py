@@ -282,7 +282,7 @@ def score(docs: DataFrame, model: Model, text_column: str = "text", threshold: f
     return table.restore(scored.withColumn("predicted", (F.col("score") >= threshold).cast("int")), "score", "predicted")
 
 
-def train(docs: DataFrame, labels: DataFrame, label_column: str = "toxic", rows: int = 1500, max_bytes: int = 20_000) -> Model:
+def train(docs: DataFrame, labels: DataFrame, label_column: str = "toxic", rows: int = 1200, max_bytes: int = 20_000) -> Model:
     """A model from at most ``rows`` labelled documents of each kind that are not held out."""
     drawn = sorted(labelled.sample(docs, labels, label_column, rows, max_bytes).collect())
     return fit([r["text"] for r in drawn], np.array([r["label"] for r in drawn]))
