@@ -151,6 +151,9 @@ def check_integrity(gold: dict[str, DataFrame]) -> None:
         for key in keys:
             if not checks.duplicates(gold[name], key).isEmpty():
                 raise ConstraintError(f"gold.{name}: duplicate {key}")
+    for name, key in (("dim_patient", "patient_id"), ("dim_doctor", "doctor_id")):
+        if not quality.several_current(gold[name], key).isEmpty():
+            raise ConstraintError(f"gold.{name}: several current versions of one {key}")
     for name, lookups in (("fact_appointments", G.appointment_lookups(gold)), ("fact_billing", G.bill_lookups(gold))):
         by_key = [look._replace(on=look.key_col) for look in lookups]
         lost = checks.orphans(gold[name], by_key).where("violations > 0").collect()
@@ -170,6 +173,12 @@ def missing_tables(spark: SparkSession, root: str) -> list[str]:
     return [name for name in S.GOLD_TABLES if name not in published]
 
 
+def quality_reports(spark: SparkSession, root: str, id_type: str = "int") -> dict[str, DataFrame]:
+    """The result sets of the quality step over the newest run: row counts, NULL keys, invalid rows,
+    ids with several current versions, first and last days."""
+    return quality.quality_reports(gold_tables(spark, root, id_type))
+
+
 def run_quality(spark: SparkSession, root: str, strict: bool = False, id_type: str = "int") -> list[tuple]:
     """Count violations; only ``strict`` turns them into an error."""
     started, clock = datetime.now(), time.monotonic()

@@ -558,6 +558,19 @@ SELECT CAST(sum(CASE WHEN total <= 500000 THEN 1 ELSE 0 END) AS BIGINT) AS zero_
        CAST(sum(CASE WHEN covered < 2000 THEN 1 ELSE 0 END) AS BIGINT) AS negative_covered
 FROM bills WHERE insurance_id IS NOT NULL"""),
     "dq_several_current": "SELECT c_custkey AS patient_id, CAST(2 AS BIGINT) AS current_rows FROM customer WHERE c_nationkey % 5 = 3",
+    "dq_several_current_doctors": "SELECT s_suppkey AS doctor_id, CAST(2 AS BIGINT) AS current_rows FROM supplier WHERE s_suppkey % 7 = 0",
+    "not_null_violations_facts": f"WITH a AS ({_clean('appointments')}), b AS ({_clean('bills')}) " + _broken("a", {
+        f"appointments_{c}": f"{c} IS NULL" for c in ("appointment_id", "patient_id", "doctor_id", "department_id", "treatment_id",
+                                                      "appointment_date")}) + " UNION ALL " + _broken("b", {
+        f"bills_{c}": f"{c} IS NULL" for c in ("bill_id", "appointment_id", "patient_id", "doctor_id", "treatment_id", "bill_date",
+                                               "total_amount")}),
+    "foreign_key_orphans_billing": _with(BILLS, DATES, select=_broken(
+        "(SELECT * FROM bills WHERE insurance_id IS NOT NULL) AS b", {
+            "date_key": f"date_key NOT IN ({_KNOWN['date_key']})",
+            "patient_key": "patient_id NOT IN (SELECT c_custkey FROM customer WHERE c_nationkey <> 9)",
+            "doctor_key": "doctor_id NOT IN (SELECT s_suppkey FROM supplier)",
+            "treatment_key": "treatment_id NOT IN (SELECT p_partkey FROM part WHERE p_brand <> 'Brand#9')",
+            "insurance_key": "insurance_id NOT IN (SELECT r_regionkey FROM region WHERE r_regionkey <> 4)"})),
     "dq_date_range_appointments": _with(VISITS, select="SELECT CAST(min(day) AS VARCHAR) AS earliest_appointment, "
                                         "CAST(max(day) AS VARCHAR) AS latest_appointment FROM visits"),
     "dq_date_range_billing": _with(BILLS, select="SELECT CAST(min(day) AS VARCHAR) AS earliest_bill, "

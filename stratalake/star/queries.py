@@ -421,6 +421,12 @@ def dq_several_current(spark: SparkSession, folder: str) -> DataFrame:
     return quality.several_current(people.unionByName(people.where("country = 'Country 3'")), "patient_id")
 
 
+def dq_several_current_doctors(spark: SparkSession, folder: str) -> DataFrame:
+    staff = star.read(spark, folder, "supplier").select(F.col("s_suppkey").alias("doctor_id"), F.lit(True).alias("is_current"))
+    old = staff.withColumn("is_current", F.lit(False))
+    return quality.several_current(staff.unionByName(staff.where("doctor_id % 7 = 0")).unionByName(old), "doctor_id")
+
+
 def dq_date_range_appointments(spark: SparkSession, folder: str) -> DataFrame:
     return quality.date_range(star.fact_appointments(spark, folder), star.dates(spark, folder),
                               "earliest_appointment", "latest_appointment")
@@ -441,6 +447,13 @@ def not_null_violations(spark: SparkSession, folder: str) -> DataFrame:
         .unionByName(checks.count_violations(staff, checks.null_counters(["doctor_id", "department_id"], "doctors_")))
 
 
+def not_null_violations_facts(spark: SparkSession, folder: str) -> DataFrame:
+    """Required columns of cleaned appointments and bills."""
+    return reduce(DataFrame.unionByName, (
+        checks.count_violations(_cleaned(table, spark, folder)[0], checks.null_counters(S.required(table), f"{table}_"))
+        for table in ("appointments", "bills")))
+
+
 def check_violations(spark: SparkSession, folder: str) -> DataFrame:
     visits = checks.failure_counters(gold.fact_conditions("fact_appointments"))
     bills = checks.failure_counters(gold.fact_conditions("fact_billing"))
@@ -467,6 +480,19 @@ def foreign_key_orphans(spark: SparkSession, folder: str) -> DataFrame:
     return checks.orphans(fact, [look._replace(on=look.key_col) for look in gold.appointment_lookups(dims)])
 
 
+def foreign_key_orphans_billing(spark: SparkSession, folder: str) -> DataFrame:
+    dims = {
+        "dim_date": star.dates(spark, folder).where(FIRST_DATE),
+        "dim_patient": star.read(spark, folder, "customer").where(f"c_nationkey <> {NEW_NATION}").select(
+            F.col("c_custkey").alias("patient_key")),
+        "dim_doctor": star.read(spark, folder, "supplier").select(F.col("s_suppkey").alias("doctor_key")),
+        "dim_treatment": star.read(spark, folder, "part").where(f"p_brand <> {NEW_BRAND}").select(
+            F.col("p_partkey").alias("treatment_key")),
+        "dim_insurance": star.providers(spark, folder).where("insurance_key <> 4"),
+    }
+    return checks.orphans(star.fact_billing(spark, folder), [look._replace(on=look.key_col) for look in gold.bill_lookups(dims)])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "monthly_appointments": monthly_appointments,
     "doctor_performance": doctor_performance,
@@ -499,6 +525,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_invalid_visits": dq_invalid_visits,
     "dq_invalid_bills": dq_invalid_bills,
     "dq_several_current": dq_several_current,
+    "dq_several_current_doctors": dq_several_current_doctors,
+    "not_null_violations_facts": not_null_violations_facts,
+    "foreign_key_orphans_billing": foreign_key_orphans_billing,
     "dq_date_range_appointments": dq_date_range_appointments,
     "dq_date_range_billing": dq_date_range_billing,
     "primary_key_violations": primary_key_violations,

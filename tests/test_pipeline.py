@@ -26,6 +26,10 @@ def test_whole_run(spark, tmp_path):
     assert run.missing_tables(spark, root) == []
     assert {r["layer"] for r in run.step_seconds(metrics).collect()} == {"bronze", "silver", "gold", "quality"}
 
+    found = run.quality_reports(spark, root)
+    assert {r["tbl"]: r["rows"] for r in found["row_counts"].collect()}["fact_billing"] == 2
+    assert found["several_current_doctors"].isEmpty() and found["date_range_billing"].count() == 1
+
     gold = run.gold_tables(spark, root)
     assert rows(gold["fact_billing"].select("bill_id", "billing_key", "recovery_rate").selectExpr(
         "bill_id", "billing_key", "cast(recovery_rate as string)"), "bill_id") == [(1, 1, "100.00"), (2, 2, "37.50")]
