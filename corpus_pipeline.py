@@ -26,8 +26,9 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group of near duplicates, once."""
-    groups = ngram_join.near_duplicates(docs)
+    """The document with the smallest doc_id of each group of near duplicates, once: documents of which 80 %
+    of the five-word shingles are the same."""
+    groups = ngram_join.near_duplicates(docs, size=5, percent=80)
     dropped = groups.filter("component_id <> doc_id").select("doc_id").distinct()
     # rows of one id count as one document; rows without an id do so if their texts are equal
     same = Window.partitionBy("doc_id", F.when(F.col("doc_id").isNull(), F.xxhash64("text"))).orderBy(

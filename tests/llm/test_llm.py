@@ -401,3 +401,15 @@ def test_pipeline_stages_on_edge_rows(spark, docs, tmp_path):
         for _, step in corpus_pipeline.STAGES[:-1]:
             found = step(spark, table, str(tmp_path))
             assert found.columns == table.columns and found.count() <= len(data)
+
+
+def test_pipeline_drops_near_copies_at_five_words(spark):
+    import corpus_pipeline
+
+    base = [f"v{i}" for i in range(100)]
+    copy = [f"new{i}" if i in (30, 70) else w for i, w in enumerate(base)]  # 86 of 106 five-word, 89 of 105 four-word shingles
+    far = [f"new{i}" if i in (20, 50, 80) else w for i, w in enumerate(base)]
+    rows = [(i, " ".join(words), "en", "s", 1) for i, words in enumerate((base, copy, far))]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted(r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, table, "").collect()) == [0, 2]
+    assert {r["component_id"] for r in queries.ngram_join.near_duplicates(table).collect()} == {0, 1, 2}
