@@ -11,8 +11,12 @@ counts is not judged.
 
 References are learnt from all documents of at least ``min_words`` words: class shares are averaged over
 documents as whole parts per million, and word counts added up, so the references do not depend on the
-order of rows. Languages with at least a thousandth of these documents have a reference, at most a thousand of a few dozen numbers each, which bounds what is
-broadcast. All others, NULL among them, are compared with the reference of all documents.
+order of rows. Every language with at least ``reference_docs`` of these documents and ``reference_words`` words in
+them has a reference of its own, however small its share. References are joined to the documents; Spark
+broadcasts them only if they are small. A document of any other language has nothing to be
+compared with and is not judged by divergence. A document without a language keeps its words unjudged; its character
+classes are compared with the references of the ``near_languages`` largest languages and of all documents,
+and the nearest counts.
 
 Edge cases: NULL text reads as the empty text, which has no words and fails. Rows are judged one by one,
 so equal rows get equal verdicts. Without any reference (an empty table, or no document of
@@ -49,7 +53,9 @@ class Rules:
     min_words: int = 50
     max_repeat_percent: int = 50
     common_words: int = 24
-    min_share: float = 0.001  # of the documents, for a language to have a reference
+    reference_docs: int = 20  # of a language, and words in them, for it to have a reference
+    reference_words: int = 5_000
+    near_languages: int = 1000  # whose classes a document without a language is compared with
     class_limit: float = 0.13
     class_slack: float = 1.0
     min_chars: int = 100
@@ -128,7 +134,8 @@ def class_counts(df: DataFrame) -> Column:
 
 
 def references(df: DataFrame, language: Column, rules: Rules) -> DataFrame:
-    """Per language (NULL: all documents): classes (shares), words and shares (the last: all other words)."""
+    """Per language (NULL: all documents, classes only): docs, total (of words), classes (shares), words and
+    shares (the last: all other words)."""
     shares = F.transform(class_counts(df), lambda n: F.floor(n * 1_000_000 / F.length(df["_text"])).cast("long"))
     entries = F.concat(
         F.array(F.struct(F.lit("docs").alias("kind"), F.lit("").alias("key"), F.lit(1).cast("long").alias("n"))),
@@ -137,7 +144,7 @@ def references(df: DataFrame, language: Column, rules: Rules) -> DataFrame:
     entries = F.when(df["n_words"] >= rules.min_words, entries)  # not a filter, which would split texts once more
     counts = stage(df.select(language.alias("language"), F.inline(entries))
                    .groupBy("language", "kind", "key").agg(F.sum("n").alias("n")))
-    pooled = counts.groupBy("kind", "key").agg(F.sum("n").alias("n")).select(F.lit(None).cast("string").alias("language"), "kind", "key", "n")
+    pooled = counts.filter("kind <> 'word'").groupBy("kind", "key").agg(F.sum("n").alias("n")).select(F.lit(None).cast("string").alias("language"), "kind", "key", "n")
     counts = counts.filter("language is not null").unionByName(pooled)
 
     best = Window.partitionBy("language").orderBy(F.col("n").desc(), F.col("key"))
@@ -149,10 +156,9 @@ def references(df: DataFrame, language: Column, rules: Rules) -> DataFrame:
         F.sum(F.when(F.col("kind") == "word", F.col("n"))).alias("total"),
         F.array(*(F.sum(F.when((F.col("kind") == "class") & (F.col("key") == str(i)), F.col("n")))
                   for i in range(N_CLASSES))).alias("sums"))
-    joined = totals.join(words, totals["language"].eqNullSafe(words["language"]), "left").select(
-        totals["language"], "docs", "total", "sums", "top")
+    joined = totals.join(words, "language", "left")
     return joined.select(
-        "language", "docs",
+        "language", "docs", "total",
         F.transform("sums", lambda n: n / F.aggregate("sums", F.lit(0).cast("long"), lambda a, b: a + b)).alias("classes"),
         F.transform("top", lambda t: t["key"]).alias("words"),
         F.concat(F.transform("top", lambda t: t["n"] / F.col("total")), F.array(
@@ -184,23 +190,20 @@ def judge(docs: DataFrame, text_column: str = "text", language_column: str = "la
     table = Table(docs)
     language = table.col(language_column).cast("string")
     based = with_base(table.df, table.col(text_column), rules)
-    learnt = references(based, language, rules)
-    everything = learnt.filter("language is null").select(
-        F.col("docs").alias("_all"), F.col("classes").alias("_all_classes"), F.col("words").alias("_all_words"), F.col("shares").alias("_all_shares"))
-    own = learnt.filter("language is not null").join(F.broadcast(everything)).filter(
-        F.col("docs") >= rules.min_share * F.col("_all")).select("language", "classes", "words", "shares")
-    # `own` has at most 1 / min_share rows and `everything` at most one
-    based = based.join(F.broadcast(own), language == F.col("language"), "left").join(
-        F.broadcast(everything), F.lit(True), "left")
-    chosen = {new: F.coalesce(F.col(old), F.col(f"_all_{old}")) for new, old in
-              (("_classes", "classes"), ("_common", "words"), ("_shares", "shares"))}
-    based = based.withColumns(chosen)
+    learnt = stage(references(based, language, rules))
+    own = learnt.filter((F.col("docs") >= rules.reference_docs) & (F.col("total") >= rules.reference_words)
+                        & F.col("language").isNotNull())
+    near = own.orderBy(F.col("docs").desc(), "language").limit(rules.near_languages).unionByName(learnt.filter("language is null"))
+    based = based.join(own.select("language", "classes", "words", "shares"), language == F.col("language"), "left").join(
+        F.broadcast(near.agg(F.collect_list("classes").alias("_near"))), F.lit(True), "left")
     chars = F.length("_text")
     shares = F.transform(class_counts(based), lambda n: n / F.length(based["_text"]))
+    compared = F.when(F.col("classes").isNotNull(), F.array("classes")).when(language.isNull(), F.col("_near"))
     judged = based.withColumns({
-        "class_distance": F.when(~F.col("base_failed") & (chars >= rules.min_chars), js_distance(shares, F.col("_classes"))),
-        "word_distance": F.when(~F.col("base_failed") & (F.col("n_words") >= rules.min_judged_words), js_distance(
-            word_shares(F.col("_words"), F.col("_common")), F.col("_shares"))),
+        "class_distance": F.when(~F.col("base_failed") & (chars >= rules.min_chars) & (F.size(compared) > 0), let(
+            shares, lambda found: F.array_min(F.transform(compared, lambda classes: js_distance(found, classes))))),
+        "word_distance": F.when(~F.col("base_failed") & (F.col("n_words") >= rules.min_judged_words) & F.col("words").isNotNull(),
+                                js_distance(word_shares(F.col("_words"), F.col("words")), F.col("shares"))),
     })
     strays = (F.col("class_distance") > rules.class_limit + rules.class_slack / F.sqrt(chars)) \
         | (F.col("word_distance") > rules.word_limit + rules.word_slack / F.sqrt("n_words"))

@@ -260,6 +260,23 @@ def test_quality_rules_reject_what_strays(spark):
     assert [r["kept"] for r in quality_rules.judge(frame(spark, [(1, "few words")])).collect()] == [False]
 
 
+def test_quality_rules_judge_no_language_by_another(spark):
+    rng = random.Random(12)
+
+    def texts(n, common, size):
+        return [" ".join(rng.choice([*common, *invented(rng, 4)]) for _ in range(size)) + "." for _ in range(n)]
+
+    english, french = ("the", "of", "and", "to"), ("le", "de", "et", "la")
+    rows = [(i, t, "en") for i, t in enumerate(texts(1100, english, 60))]
+    rows += [(2000 + i, t, None) for i, t in enumerate(texts(10, french, 300))] + [(3000, texts(1, french, 300)[0], "fr")]
+    rows += [(3100 + i, t, "it") for i, t in enumerate(texts(25, french, 300))]
+    rows += [(4000, texts(1, french, 300)[0], "en"), (4001, texts(1, english, 300)[0], "it"), (4002, rows[0][1].upper(), None)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = {r["doc_id"]: r for r in quality_rules.judge(table).collect()}
+    assert {i for i, r in found.items() if i >= 2000 and not r["kept"]} == {4000, 4001, 4002}
+    assert found[2000]["word_distance"] is None and found[3000]["word_distance"] is None and found[3100]["word_distance"] is not None
+
+
 def test_distance_of_known_histograms(spark):
     row = spark.range(1).select(quality_rules.js_distance(F.array(F.lit(1.0), F.lit(0.0)), F.array(F.lit(0.0), F.lit(1.0))).alias("far"),
                                 quality_rules.js_distance(F.array(F.lit(0.5), F.lit(0.5)), F.array(F.lit(0.5), F.lit(0.5))).alias("same")).first()
