@@ -79,7 +79,7 @@ def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Per document: removed units, as places in the original text, and what is left."""
-    kept = substring_dedup.dedup_units(_read(spark, folder, "documents").select("doc_id", "text"))
+    kept = substring_dedup.dedup_units(_read(spark, folder, "documents").select("doc_id", "text"), passages=True)
     return kept.select("doc_id", F.size("removed").cast("long").alias("n_removed"), F.aggregate(
         "removed", F.lit(0).cast("long"), lambda n, span: n + span["end"] - span["start"]).alias("chars_removed"), F.array_join(F.transform(
             "removed", lambda span: F.concat_ws("-", span["start"], span["end"])), ",").alias("removed"),

@@ -6,6 +6,11 @@ white space. A unit is normalised to its lower-cased words between single blanks
 stays: the order is doc_id (NULL last), then the place in the text. The rest is removed from the texts,
 and the places of the removed units in the original text are kept.
 
+With ``passages``, as the query has it, whole lines, paragraphs (between blank lines) and texts are units too, so that
+a repeated passage goes with its short sentences, and copies of a text go whole. A sentence then also ends after the
+full stops of Chinese and Japanese, and two letters of a script without blanks count as one word. Removed
+places that lie in another are not reported.
+
 Units are grouped by a 128-bit digest. The earliest is a minimum per digest, taken before the shuffle,
 so a passage in a third of all documents is not gathered anywhere; only digests that come up twice go
 on, and Spark splits a hot one in the join that marks what is removed. A document's removed places are
@@ -35,26 +40,34 @@ from stratalake.session import stage
 
 _UNITS = "_id long, _mark long, _start int, _end int, _low long, _high long"
 _CUT = re.compile(r"[.!?]+(?=\s)|\n")
+#: Ends of sentences, lines, paragraphs and texts.
+_PASSAGES = (re.compile(r"[.!?]+(?=\s)|[\u3002\uff01\uff1f]+|\n"), re.compile(r"\n"), re.compile(r"\n\s*\n"), re.compile(r"(?!)"))
+_NO_BLANKS = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 
 
-def units(text: str, min_words: int) -> Iterator[tuple[int, int, bytes]]:
+def units(text: str, min_words: int, passages: bool = False) -> Iterator[tuple[int, int, bytes]]:
     """(start, end, digest) of the units with enough words; white space around a unit is outside it."""
-    start = 0
-    for end in [*(m.end() for m in _CUT.finditer(text)), len(text)]:
-        unit = text[start:end]
-        words = unit.lower().split()
-        if len(words) >= min_words:
-            left = len(unit) - len(unit.lstrip())
-            yield start + left, start + len(unit.rstrip()), hashlib.blake2b(" ".join(words).encode(), digest_size=16).digest()
-        start = end
-
-
-def _all_units(parts: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
+    seen, blankless = set(), passages and not text.isascii()
+    for cut in _PASSAGES if passages else (_CUT,):
+        start = 0
+        for end in [*(m.end() for m in cut.finditer(text)), len(text)]:
+            unit = text[start:end]
+            place = start + len(unit) - len(unit.lstrip()), start + len(unit.rstrip())
+            start = end
+            if place in seen:  # a line of one sentence, a paragraph of one line
+                continue
+            seen.add(place)
+            words = unit.lower().split()
+            if len(words) >= min_words or blankless and len(words) + len(_NO_BLANKS.findall(unit)) // 2 >= min_words:
+                yield *place, hashlib.blake2b(" ".join(words).encode(), digest_size=16).digest()
+
+
+def _all_units(parts: Iterator[pa.RecordBatch], min_words: int, passages: bool) -> Iterator[pa.RecordBatch]:
     for batch in parts:
         for part in batches.slices(batch, "_text"):
             row, starts, ends, digests = [], [], [], []
             for i, text in enumerate(part.column("_text").to_pylist()):
-                for start, end, digest in units(text or "", min_words):
+                for start, end, digest in units(text or "", min_words, passages):
                     row.append(i)
                     starts.append(start)
                     ends.append(end)
@@ -67,24 +80,29 @@ def _all_units(parts: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.R
 
 def _cut_texts(parts: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
     for batch in parts:
-        kept = []
+        kept, outer = [], []
         for value, spans in zip(batch.column(text).to_pylist(), batch.column("removed").to_pylist()):
-            at, pieces = 0, []
-            for span in spans:
-                pieces.append(value[at:span["start"]])
-                at = span["end"]
+            at, pieces, whole = 0, [], []
+            for span in sorted(spans, key=lambda s: (s["start"], -s["end"])):
+                if span["end"] > at:  # not within the last one
+                    pieces.append(value[at:span["start"]])
+                    at = span["end"]
+                    whole.append(span)
             kept.append(value if value is None else "".join(pieces) + value[at:])
-        columns = dict(zip(batch.schema.names, batch.columns)) | {text: pa.array(kept, pa.string())}
+            outer.append(whole)
+        columns = dict(zip(batch.schema.names, batch.columns)) | {
+            text: pa.array(kept, pa.string()), "removed": pa.array(outer, batch.schema.field("removed").type)}
         yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
 
-def dedup_units(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_words: int = 6) -> DataFrame:
+def dedup_units(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_words: int = 6,
+                passages: bool = False) -> DataFrame:
     """``docs`` with repeated units cut out of the text, and removed: their places (start, end) in code
-    points of the original text, in order."""
+    points of the original text, in order. ``passages``: whole lines, paragraphs and texts are units too."""
     table = Table(docs)
     text = table.at(text_column)
     keyed = table.df.select("*", table.col(id_column).cast("long").alias("_id"), F.xxhash64(text).alias("_mark"))
-    found = keyed.select("_id", "_mark", F.col(text).alias("_text")).mapInArrow(lambda parts: _all_units(parts, min_words), _UNITS)
+    found = keyed.select("_id", "_mark", F.col(text).alias("_text")).mapInArrow(lambda parts: _all_units(parts, min_words, passages), _UNITS)
     found = stage(found)
 
     rank = F.struct(F.col("_id").isNull().alias("_none"), "_id", "_mark", "_start")

@@ -232,6 +232,20 @@ def test_substring_dedup_equal_rows_and_no_ids(spark):
     assert substring_dedup.dedup_units(frame(spark, [])).collect() == []
 
 
+def test_substring_dedup_of_whole_passages(spark):
+    line = "Yes. No. Maybe so. Who knows? Not me. Go on."
+    list_ = "one item\ntwo items\n and three\nfour"
+    copy = "Short one.\n\nShort two.\n\nShort three."
+    thai, chinese = "\u0e2a\u0e27\u0e31\u0e2a\u0e14\u0e35" * 4, "".join(chr(0x4e00 + i) for i in range(30))
+    texts = [f"{line}\nfirst", f"{list_}\n\nfirst", copy, f"{thai}\nfirst", f"{chinese}\u3002first",
+             f"second\n{line.lower()}\nend", f"second\n\n{list_}\n\nend", copy, f"second\n{thai}", f"second\n{chinese}\u3002end"]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = {r["doc_id"]: (r["text"], len(r["removed"])) for r in substring_dedup.dedup_units(table, passages=True).collect()}
+    assert [kept[i] for i in range(5)] == [(t, 0) for t in texts[:5]]
+    assert [kept[i] for i in range(5, 10)] == [("second\n\nend", 1), ("second\n\n\n\nend", 1), ("", 1), ("second\n", 1), ("second\nend", 1)]
+    assert {tuple(map(tuple, r["removed"])) for r in substring_dedup.dedup_units(table).collect()} == {()}
+
+
 # quality rules
 
 
