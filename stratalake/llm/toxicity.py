@@ -239,12 +239,14 @@ def fit(texts: list[str], label: np.ndarray, landmarks: int = 40, max_words: int
     negative = mapped(clean)
     for _ in range(rounds):
         found = {max(bag, key=lambda w: (odds[w] > TELLING, value[w], w)) for bag in toxic_bags}
-        positive = sorted(w for w in found if (odds[w] > TELLING or fitted and value[w] > 0) and not counts[w][0])
+        # a word of clean documents needs the log odds, whatever the machine finds
+        positive = sorted(w for w in found if odds[w] > TELLING or fitted and value[w] > 0 and not counts[w][0])
         often = np.array([counts[w][1] for w in positive] * 2, dtype=float)
         positive += _with_letters_put_in(positive)
-        x = np.vstack((mapped(positive), negative))
-        y = np.concatenate((np.ones(len(positive)), -np.ones(len(clean))))
-        weight = np.concatenate((often / often.sum(), np.full(len(clean), clean_weight / len(clean))))
+        other = ~np.isin(clean, positive)
+        x = np.vstack((mapped(positive), negative[other]))
+        y = np.concatenate((np.ones(len(positive)), -np.ones(other.sum())))
+        weight = np.concatenate((often / often.sum(), np.full(other.sum(), clean_weight / other.sum())))
         w, bias = _machine(x, y, weight)
         weights = Weights(table.rows, (marks @ (root @ w)).astype(np.float32)[:, None])
         distinct = sorted(set().union(*toxic_bags))

@@ -341,6 +341,17 @@ def test_toxicity_tolerates_letters_put_in(spark, toxic):
     assert 0 <= none["score"] <= 0.5 and toxicity.score(table.limit(0), model).collect() == []
 
 
+def test_toxicity_learns_from_words_that_one_clean_document_quotes():
+    rng = random.Random(6)
+    insults = ["scoundrel", "nitwit", "blockhead"]
+    texts = [". ".join([" ".join(invented(rng, 8)), " ".join(invented(rng, 8)) + (f" you {insults[i // 2 % 3]}" if i % 2 else "")])
+             for i in range(600)]
+    texts[0] += " you " + " ".join(insults)  # one clean document of 300
+    model = toxicity.fit(texts, np.array([i % 2 for i in range(600)]))
+    value = model.scores(model.values([*insults, "kelsun mora"], toxicity.Subsequences()))
+    assert min(value[:3]) > 0.7 > 0.5 > value[3]
+
+
 def test_quality_model_learns(spark):
     def make(rng, good):
         return ("".join(prose(rng, 12).capitalize() + ". " for _ in range(4)) if good
