@@ -1,4 +1,4 @@
-"""Training-data operators: ten independent modules over documents, pages and benchmarks.
+"""Training-data operators: independent modules over documents, pages and benchmarks.
 
 Nothing else in the library imports this package. Functions that run inside tasks are shipped with
 the task, so executors need numpy, pandas and pyarrow but not this package.

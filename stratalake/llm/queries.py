@@ -9,8 +9,8 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stratalake.llm import (bpe, decontaminate, labelled, licenses, line_dedup, ngram_join, quality_model, quality_rules, substring_dedup,
-                            toxicity, warc)
+from stratalake.llm import (bpe, decontaminate, filter_audit, labelled, licenses, line_dedup, ngram_join, quality_model, quality_rules,
+                            simhash, spelling, substring_dedup, toxicity, warc)
 from stratalake.session import shared_dir
 
 
@@ -107,6 +107,18 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.audit(_read(spark, folder, "documents"), _read(spark, folder, "labels"))
+
+
+def op12_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.group(_read(spark, folder, "documents"))
+
+
+def op13_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(_read(spark, folder, "documents"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -114,4 +126,5 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_licenses, op2_decontaminate, op3_quality_model, op4_bpe, op5_toxicity, op6_substring_dedup, op7_warc, op8_ngram_join, op9_quality_rules, op10_line_dedup, pipeline)}
+    return {f.__name__: f for f in (op1_licenses, op2_decontaminate, op3_quality_model, op4_bpe, op5_toxicity, op6_substring_dedup, op7_warc, op8_ngram_join, op9_quality_rules, op10_line_dedup,
+                                   op11_filter_audit, op12_spelling, op13_simhash, pipeline)}

@@ -3,7 +3,11 @@
 import hashlib
 import re
 import string
+import zlib
 from collections import Counter, defaultdict
+from itertools import permutations
+
+import xxhash
 
 LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
 SPACES = " \t\n\x0b\x0c\r"
@@ -107,3 +111,91 @@ def dedup_units(docs, min_words=6):
 
 def sha(text):
     return hashlib.sha256(text.encode()).hexdigest()
+
+
+def audit(docs, labels):
+    """{(part, order, step): measures} of the rows (id, text, part) and labels (id, quality, toxic)."""
+    def fails(i, text):
+        found = words(text)
+        yield "A", len(found) < 50
+        yield "B", 100 * len(set(found)) < 65 * len(found)
+        yield "C", 100 * sum("A" <= c <= "Z" for c in text) > 5 * len(text)
+        yield "D", any(c in text for c in "#$%&*|")
+        yield "E", i is not None and any(j is not None and j < i and (t or "") == text for j, t, _ in docs)
+
+    marks, out = defaultdict(set), {}
+    for i, quality, toxic in labels:
+        marks[i] |= {name for name, label in (("good", quality), ("toxic", toxic)) if label == 1}
+    judged = [(part or "", {x for x, bad in fails(i, text or "") if bad}, marks[i] if i is not None else set()) for i, text, part in docs]
+    for part in {p for p, _, _ in judged}:
+        own = [(f, m) for p, f, m in judged if p == part]
+        shapley = Counter()
+        for order in permutations("ABCDE"):
+            left = own
+            for step, letter in enumerate(order, 1):
+                gone = [x for x in left if letter in x[0]]
+                left = [x for x in left if letter not in x[0]]
+                failing = [x for x in own if letter in x[0]]
+                shapley[letter] += len(gone)
+                out[part, "".join(order), step] = [len(left), len(gone), len(failing) - len(gone), sum(f == {letter} for f, _ in failing),
+                                                   sum("good" in m for _, m in gone), sum("toxic" in m for _, m in gone)]
+        for (p, order, step), measures in out.items():
+            if p == part:
+                measures.append(shapley[order[step - 1]])
+    return out
+
+
+def edit_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        old, row = row, [i]
+        for j, y in enumerate(b, 1):
+            row.append(min(old[j] + 1, row[-1] + 1, old[j - 1] + (x != y)))
+    return row[-1]
+
+
+def spelling_words(docs):
+    """Counter of the words of (id, text) rows, with the letters deleted that the rule names."""
+    found = Counter()
+    for i, text in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = run.translate(LOWER)
+            h = zlib.crc32(f"{'' if i is None else i}:{run}".encode())
+            found[run if h % 199 else run[:h % len(run)] + run[h % len(run) + 1:]] += 1
+    return Counter({w: n for w, n in found.items() if len(w) >= 6 and n >= 5})
+
+
+def variants(counts):
+    """{word: (form, root, n, n_near, form_n)}."""
+    near = {w: [x for x in counts if abs(len(x) - len(w)) <= 1 and edit_distance(w, x) == 1] for w in counts}
+    form = {}
+    for w, others in near.items():
+        best = min(others, key=lambda x: (-counts[x], x), default=None)
+        form[w] = best if best and counts[best] >= 5 * counts[w] else None
+
+    def root(w):
+        return w if form[w] is None else root(form[w])
+
+    return {w: (form[w], root(w), counts[w], len(near[w]), counts[form[w]] if form[w] else None) for w in counts}
+
+
+def simhash(text, size=3):
+    found = [w.translate(LOWER) for w in words(text)]
+    shingles = [" ".join(found[i:i + size]) for i in range(max(1, len(found) - size + 1))] if found else []
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << bit for bit in range(64) if 2 * sum(h >> bit & 1 for h in hashes) > len(hashes))
+
+
+def closed(ids, linked):
+    """{id: smallest id it can reach} for the pairs of ``ids`` for which ``linked`` holds."""
+    ids = sorted(set(ids))
+    least = {i: i for i in ids}
+    pairs = [(i, j) for n, i in enumerate(ids) for j in ids[:n] if linked(i, j)]
+    changed = True
+    while changed:
+        changed = False
+        for i, j in pairs:
+            low = min(least[i], least[j])
+            changed |= least[i] != low or least[j] != low
+            least[i] = least[j] = low
+    return least
