@@ -26,10 +26,13 @@ def recovery_rate(paid: Column, covered: Column, total: Column) -> Column:
     return F.when(total > 0, rate).otherwise(F.lit(0).cast("decimal(10,2)"))
 
 
+# Fixed value: how text is compared where letter case and trailing blanks do not count.
+COLLATION = "UTF8_LCASE_RTRIM"
+
+
 def differs(left: Column, right: Column, blank, ignore_case: bool = False) -> Column:
-    """Inequality in which NULL equals ``blank``. With ``ignore_case``, letter case and
-    trailing blanks of text do not count."""
+    """Inequality in which NULL equals ``blank``. With ``ignore_case``, text is compared by ``COLLATION``."""
     a, b = F.coalesce(left, F.lit(blank)), F.coalesce(right, F.lit(blank))
     if ignore_case and isinstance(blank, str):
-        a, b = F.lower(F.rtrim(a)), F.lower(F.rtrim(b))
+        a, b = F.collate(a, COLLATION), F.collate(b, COLLATION)
     return a != b

@@ -5,26 +5,31 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import datetime
-from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stratalake.operators.merge import Staged, unstaged
 from stratalake.schemas import MALFORMED
 
 
 class Rules(NamedTuple):
-    """How one raw table is cleaned."""
+    """How one raw table is cleaned. ``parsed`` values are worked out once per raw row; ``checks`` and ``columns``
+    use them by name, and ``key`` is one of them."""
 
     source: str
     raw: Sequence[str]
-    key: Column
+    parsed: Mapping[str, Column]
+    key: str
     checks: Sequence[tuple[str, Column]]
     newest_by: str | None
     columns: Mapping[str, Column]
 
 
+ACCEPTED, REJECTED = "accepted", "rejected"
+
+
 def keep_newest(df: DataFrame, keys: Sequence[Column], newest_by: str | None, ties: Sequence[str]) -> DataFrame:
     """One row per key: greatest ``newest_by`` (NULL last), then smallest ``ties``.
 
@@ -38,21 +43,40 @@ def keep_newest(df: DataFrame, keys: Sequence[Column], newest_by: str | None, ti
     return ranked.where("_rank = 1").drop("_rank")
 
 
-def clean(bronze: DataFrame, rules: Rules, load_ts: datetime) -> tuple[DataFrame, DataFrame]:
-    """(accepted, rejected). Every raw row that fails a check is in ``rejected`` with all its reasons;
-    rows that only lose against a newer row of the same id are in neither."""
-    checks, raw = list(rules.checks), list(rules.raw)
+def judge(bronze: DataFrame, rules: Rules) -> DataFrame:
+    """The raw rows with the parsed values, every failed check's name (``_reason``) and the verdict on the row."""
+    checks = list(rules.checks)
     if MALFORMED in bronze.columns:
         checks = [("malformed row", F.col(MALFORMED).isNotNull()), *checks]
-        raw = [*raw, MALFORMED]
-    failed = reduce(lambda a, b: a | b, [F.coalesce(bad, F.lit(True)) for _, bad in checks])
+    raw = [c for c in bronze.columns if c in rules.raw or c == MALFORMED]
+    judged = bronze.select(*raw, *[c.alias(name) for name, c in rules.parsed.items()]).withColumn("_reason", reason(checks))
+    return judged.withColumn("_verdict", F.when(F.col("_reason") == "", ACCEPTED).otherwise(REJECTED))
+
+
+def _once(judged: DataFrame, verdict: str) -> DataFrame:
+    """The rows of one verdict of a table that is not written. The others go by a generator without output:
+    a filter would move below the parsed values and work them out again for each use."""
+    kept = F.when(F.col("_verdict") == verdict, F.array(F.lit(1)))
+    return judged.select(*judged.columns, F.explode(kept).alias("_kept")).drop("_kept")
+
+
+def clean(bronze: DataFrame, rules: Rules, load_ts: datetime, staged: Staged = unstaged) -> tuple[DataFrame, DataFrame]:
+    """(accepted, rejected). Every raw row that fails a check is in ``rejected`` with all its reasons;
+    rows that only lose against a newer row of the same id are in neither.
+
+    ``staged`` may write the judged rows in folders by verdict; both results then come from one pass over the raw table.
+    """
+    judged = judge(bronze, rules)
+    raw = [c for c in judged.columns if c in rules.raw or c == MALFORMED]
+    written = staged(judged, "_verdict")
+    good, bad = (written.where(F.col("_verdict") == v) if written is not judged else _once(judged, v) for v in (ACCEPTED, REJECTED))
     accepted = (
-        keep_newest(bronze.where(~failed).select(*rules.raw), [rules.key], rules.newest_by, rules.raw)
+        keep_newest(good.select(*rules.raw, *rules.parsed), [F.col(rules.key)], rules.newest_by, rules.raw)
         .select(*[c.alias(name) for name, c in rules.columns.items()], F.lit(load_ts).alias("dwh_load_date"))
     )
-    rejected = bronze.where(failed).select(
+    rejected = bad.select(
         F.lit(f"bronze.{rules.source}").alias("source_table"),
-        reason(checks).alias("rejection_reason"),
+        F.col("_reason").alias("rejection_reason"),
         row_to_json(raw).alias("raw_row_json"),
         F.lit(load_ts).alias("rejected_at"),
     )

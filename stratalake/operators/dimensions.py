@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from datetime import date, datetime
 from functools import reduce
 
@@ -11,68 +11,52 @@ from pyspark.sql import functions as F
 
 from stratalake.functions.measures import differs
 from stratalake.operators.keys import assign_keys, highest_key
+from stratalake.operators.merge import CHANGE, EXPIRE, KEEP, Staged, match, outcome, split, unstaged
 
 
 def scd1_merge(dim: DataFrame, snapshot: DataFrame, id_col: str, attrs: Sequence[str], key_col: str,
-               load_ts: datetime, staged: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+               load_ts: datetime, staged: Staged = unstaged, highest: Column | int | None = None) -> DataFrame:
     """Overwrite every row the snapshot also has (audit time included, changed or not), append
     the rest of the snapshot under new keys, leave rows the snapshot lacks as they are.
-    ``staged`` may materialise the new rows, which key assignment reads twice."""
-    stamp = F.lit(load_ts)
-    incoming = snapshot.select(id_col, F.struct(*attrs).alias("_new"))
-    seen = F.col("_new").isNotNull()
-    kept = dim.join(incoming, id_col, "left").select(
-        key_col, id_col,
-        *[F.when(seen, F.col(f"_new.{a}")).otherwise(F.col(a)).alias(a) for a in attrs],
-        F.when(seen, stamp).otherwise(F.col("dwh_load_date")).alias("dwh_load_date"),
-    )
-    added = snapshot.select(id_col, *attrs).join(dim.select(id_col), id_col, "left_anti")
-    added = assign_keys(staged(added), id_col, key_col, highest_key(dim, key_col)).withColumn("dwh_load_date", stamp)
-    return kept.unionByName(added)
+    ``staged`` may materialise the matched rows, which are read three times; ``highest`` is the largest key
+    given so far, where it is known."""
+    stamp, seen = F.lit(load_ts), F.col("_new").isNotNull()
+    pairs = match(dim, snapshot.select(id_col, *attrs), id_col, F.lit(CHANGE))
+    taken = {id_col: F.col(id_col), **{a: F.col(f"_new.{a}") for a in attrs}, "dwh_load_date": stamp}
+    rows = outcome(pairs, {
+        key_col: F.col(f"_old.{key_col}"), id_col: F.col(id_col),
+        **{a: F.when(seen, F.col(f"_new.{a}")).otherwise(F.col(f"_old.{a}")) for a in attrs},
+        "dwh_load_date": F.when(seen, stamp).otherwise(F.col("_old.dwh_load_date")),
+    }, taken)
+    kept, added = split(rows, [key_col, *taken], list(taken), staged)
+    return kept.unionByName(assign_keys(added, id_col, key_col, highest_key(dim, key_col) if highest is None else highest))
 
 
 def scd2_merge(dim: DataFrame, snapshot: DataFrame, id_col: str, attrs: Sequence[str],
                tracked: Mapping[str, object], key_col: str, as_of: date, load_ts: datetime,
-               ignore_case: bool = False,
-               staged: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+               ignore_case: bool = False, staged: Staged = unstaged, highest: Column | int | None = None) -> DataFrame:
     """Expire the current version of each id whose tracked attributes changed and add a new one.
 
     ``tracked`` maps an attribute to the value that stands for its NULL. A current version whose
     tracked attributes did not change keeps all its columns, changed or not; expiring sets only
     ``end_date`` and ``is_current``; ids missing from the snapshot are left alone.
-    Needs at most one current version per id, which this merge itself guarantees. ``staged`` may
-    materialise the new versions, which key assignment reads twice.
+    Needs at most one current version per id, which this merge itself guarantees. Only current versions take
+    part in the match. ``staged`` may materialise the matched rows, which are read three times; ``highest`` is the
+    largest key given so far, where it is known.
     """
-    def changed(old: str, new: str) -> Column:
-        tests = [differs(F.col(f"{old}.{c}"), F.col(f"{new}.{c}"), blank, ignore_case)
-                 for c, blank in tracked.items()]
-        return reduce(lambda a, b: a | b, tests)
-
-    watched = F.struct(*tracked)
-    current = dim.where("is_current")
-
-    expired = F.col("_new").isNotNull() & changed("_old", "_new")
-    versions = (
-        current.withColumn("_old", watched)
-        .join(snapshot.select(id_col, watched.alias("_new")), id_col, "left")
-        .withColumn("_expired", expired)
-        .withColumn("end_date", F.when(F.col("_expired"), F.lit(as_of)).otherwise(F.col("end_date")))
-        .withColumn("is_current", ~F.col("_expired"))
-        .select(*dim.columns)
-    )
-    added = (
-        snapshot.select(id_col, *attrs).withColumn("_new", watched)
-        .join(current.select(id_col, watched.alias("_old")), id_col, "left")
-        .where(F.col("_old").isNull() | changed("_old", "_new"))
-        .drop("_old", "_new")
-    )
-    added = assign_keys(staged(added), id_col, key_col, highest_key(dim, key_col)).select(
-        "*",
-        F.lit(as_of).alias("effective_date"),
-        F.lit(None).cast("date").alias("end_date"),
-        F.lit(True).alias("is_current"),
-        F.lit(load_ts).alias("dwh_load_date"),
-    )
+    changed = reduce(lambda a, b: a | b, [
+        differs(F.col(f"_old.{c}"), F.col(f"_new.{c}"), blank, ignore_case) for c, blank in tracked.items()])
+    pairs = match(dim.where("is_current"), snapshot.select(id_col, *attrs), id_col, F.when(changed, EXPIRE).otherwise(KEEP))
+    expired = F.col("_class") == EXPIRE
+    stored = {c: F.col(id_col) if c == id_col else F.col(f"_old.{c}") for c in dim.columns}
+    version = {
+        id_col: F.col(id_col), **{a: F.col(f"_new.{a}") for a in attrs},
+        "effective_date": F.lit(as_of), "end_date": F.lit(None).cast("date"), "is_current": F.lit(True), "dwh_load_date": F.lit(load_ts),
+    }
+    rows = outcome(pairs, {
+        **stored, "end_date": F.when(expired, F.lit(as_of)).otherwise(F.col("_old.end_date")), "is_current": ~expired}, version)
+    versions, added = split(rows, dim.columns, list(version), staged)
+    added = assign_keys(added, id_col, key_col, highest_key(dim, key_col) if highest is None else highest)
     return dim.where("NOT is_current").unionByName(versions).unionByName(added)
 
 

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from datetime import datetime
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.functions.measures import differs
 from stratalake.operators.keys import assign_keys, highest_key
+from stratalake.operators.merge import CHANGE, KEEP, Staged, match, outcome, split, unstaged
 
 
 class Lookup(NamedTuple):
@@ -70,24 +71,31 @@ def lookup_misses(rows: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
     return unknown_ids(rows, {look.on: look.ids() for look in lookups}).drop("null_rows")
 
 
+def fact_changes(fact: DataFrame, source: DataFrame, id_col: str, mutable: Mapping[str, object], lookups: Sequence[Lookup],
+                 load_ts: datetime, ignore_case: bool = False) -> DataFrame:
+    """(_class, _side, columns): every fact row as it will be, and the source rows of unknown ids with the
+    columns that ``lookups`` go by. Foreign keys, date key and every other column of a known id never move."""
+    stamp, changed = F.lit(load_ts), F.col("_class") == CHANGE
+    differing = reduce(lambda a, b: a | b, [
+        differs(F.col(f"_old.{c}"), F.col(f"_new.{c}"), blank, ignore_case) for c, blank in mutable.items()])
+    pairs = match(fact, source, id_col, F.when(differing, CHANGE).otherwise(KEEP))
+    stored = {c: F.col(id_col) if c == id_col else F.col(f"_old.{c}") for c in fact.columns}
+    stored |= {c: F.when(changed, F.col(f"_new.{c}")).otherwise(F.col(f"_old.{c}")) for c in mutable}
+    stored["dwh_load_date"] = F.when(changed, stamp).otherwise(F.col("_old.dwh_load_date"))
+    wanted = [c for c in source.columns if c in fact.columns or c in {look.on for look in lookups}]
+    return outcome(pairs, stored, {**{c: F.col(id_col) if c == id_col else F.col(f"_new.{c}") for c in wanted}, "dwh_load_date": stamp})
+
+
 def fact_upsert(fact: DataFrame, source: DataFrame, id_col: str, mutable: Mapping[str, object],
                 lookups: Sequence[Lookup], key_col: str, load_ts: datetime, ignore_case: bool = False,
-                staged: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+                staged: Staged = unstaged, highest: Column | int | None = None) -> DataFrame:
     """Update the mutable columns of known ids where one differs, then add unknown ids.
 
-    Foreign keys, date key and every other column of a known id never move. ``staged`` may
-    materialise the new rows, which key assignment reads twice.
+    ``staged`` may materialise the matched rows and the new ones, which are read several times; ``highest`` is the
+    largest key given so far, where it is known.
     """
-    stamp = F.lit(load_ts)
-    incoming = source.select(id_col, F.struct(*mutable).alias("_new"))
-    tests = [differs(F.col(c), F.col(f"_new.{c}"), blank, ignore_case) for c, blank in mutable.items()]
-    changed = F.col("_new").isNotNull() & reduce(lambda a, b: a | b, tests)
-    updated = fact.join(incoming, id_col, "left").withColumn("_changed", changed).select(*[
-        F.when(F.col("_changed"), F.col(f"_new.{c}") if c in mutable else stamp).otherwise(F.col(c)).alias(c)
-        if c in mutable or c == "dwh_load_date" else F.col(c)
-        for c in fact.columns
-    ])
-    unseen = source.join(fact.select(id_col), id_col, "left_anti")
+    rows = fact_changes(fact, source, id_col, mutable, lookups, load_ts, ignore_case)
+    kept, unseen = split(rows, fact.columns, [c for c in rows.columns if c in source.columns or c == "dwh_load_date"], staged)
     added = staged(lookup_keys(unseen, lookups))
-    added = assign_keys(added, id_col, key_col, highest_key(fact, key_col)).withColumn("dwh_load_date", stamp)
-    return updated.unionByName(added.select(*fact.columns))
+    added = assign_keys(added, id_col, key_col, highest_key(fact, key_col) if highest is None else highest)
+    return kept.unionByName(added.select(*fact.columns))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
 from datetime import date, datetime
 from typing import NamedTuple
 
@@ -14,7 +14,9 @@ from stratalake.functions.calendar import date_key
 from stratalake.functions.measures import recovery_rate
 from stratalake.operators.calendar import dim_date
 from stratalake.operators.dimensions import scd1_merge, scd2_merge
-from stratalake.operators.facts import Lookup, fact_upsert
+from stratalake.operators.facts import Lookup, fact_changes, lookup_keys
+from stratalake.operators.keys import assign_keys
+from stratalake.operators.merge import KEEP, Staged, split, unstaged
 
 Tables = Mapping[str, DataFrame]
 
@@ -32,31 +34,24 @@ class Run(NamedTuple):
     first_day: date = FIRST_DAY
     last_day: date = LAST_DAY
     ignore_case: bool = False
-    staged: Callable[[DataFrame], DataFrame] = lambda df: df
+    staged: Staged = unstaged
 
 
 def load_dates(run: Run, old: DataFrame) -> DataFrame:
     return dim_date(run.spark, run.first_day, run.last_day, old)
 
 
-def load_overwritten(run: Run, old: DataFrame, snapshot: DataFrame) -> DataFrame:
+def load_overwritten(run: Run, old: DataFrame, snapshot: DataFrame, highest: int = 0) -> DataFrame:
     """Departments, treatments and insurance: key first, id second, audit time last."""
     key, id_col, *attrs, _ = old.columns
-    return scd1_merge(old, snapshot, id_col, attrs, key, run.load_ts, run.staged)
+    return scd1_merge(old, snapshot, id_col, attrs, key, run.load_ts, run.staged, highest)
 
 
-def _versioned(run: Run, old: DataFrame, snapshot: DataFrame, tracked: Mapping[str, object]) -> DataFrame:
+def load_versioned(run: Run, old: DataFrame, snapshot: DataFrame, tracked: Mapping[str, object], highest: int = 0) -> DataFrame:
+    """Patients and doctors; ``highest`` is the largest key given so far."""
     key, id_col, *attrs = old.columns[:-4]
     return scd2_merge(old, snapshot, id_col, attrs, tracked, key, run.as_of, run.load_ts, run.ignore_case,
-                      run.staged)
-
-
-def load_patients(run: Run, old: DataFrame, patients: DataFrame) -> DataFrame:
-    return _versioned(run, old, patients, S.PATIENT_TRACKED)
-
-
-def load_doctors(run: Run, old: DataFrame, doctors: DataFrame) -> DataFrame:
-    return _versioned(run, old, doctors, S.DOCTOR_TRACKED)
+                      run.staged, highest)
 
 
 def appointment_source(appointments: DataFrame) -> DataFrame:
@@ -90,15 +85,46 @@ def bill_lookups(dims: Tables) -> list[Lookup]:
     ]
 
 
-def load_appointments(run: Run, old: DataFrame, appointments: DataFrame, dims: Tables) -> DataFrame:
-    return fact_upsert(old, appointment_source(appointments), "appointment_id", S.VISIT_MUTABLE,
-                       appointment_lookups(dims), "appointment_key", run.load_ts, run.ignore_case, run.staged)
+# The cleaned table that each dimension and fact comes from, and the tracked attributes of those that keep history.
+DIMENSIONS: dict[str, tuple[str, Mapping[str, object] | None]] = {
+    "dim_department": ("departments", None), "dim_treatment": ("treatments", None), "dim_insurance": ("insurance_providers", None),
+    "dim_patient": ("patients", S.PATIENT_TRACKED), "dim_doctor": ("doctors", S.DOCTOR_TRACKED),
+}
+FACTS = {"fact_appointments": "appointments", "fact_billing": "bills"}
+
+
+class FactLoad(NamedTuple):
+    """What loads one fact: its source with the columns of the fact, and the look-ups of its dimensions."""
+
+    source: DataFrame
+    id_col: str
+    key_col: str
+    mutable: Mapping[str, object]
+    lookups: list[Lookup]
+
+
+def fact_lookups(name: str, dims: Tables) -> list[Lookup]:
+    return appointment_lookups(dims) if name == "fact_appointments" else bill_lookups(dims)
+
+
+def fact_load(name: str, clean: DataFrame, dims: Tables) -> FactLoad:
+    if name == "fact_appointments":
+        return FactLoad(appointment_source(clean), "appointment_id", "appointment_key", S.VISIT_MUTABLE, appointment_lookups(dims))
+    return FactLoad(bill_source(clean), "bill_id", "billing_key", S.BILL_MUTABLE, bill_lookups(dims))
 
 
-def load_bills(run: Run, old: DataFrame, bills: DataFrame, dims: Tables) -> DataFrame:
-    merged = fact_upsert(old.drop("recovery_rate"), bill_source(bills), "bill_id", S.BILL_MUTABLE,
-                         bill_lookups(dims), "billing_key", run.load_ts, run.ignore_case, run.staged)
-    return with_recovery_rate(merged).select(*old.columns)
+def fact_delta(run: Run, name: str, old: DataFrame, load: FactLoad, highest: int) -> DataFrame:
+    """The rows of a fact that this load changes or adds, as they will be stored; all others stay as they are."""
+    stored = old.drop("recovery_rate")
+    rows = fact_changes(stored, load.source, load.id_col, load.mutable, load.lookups, run.load_ts, run.ignore_case)
+    rows = rows.where(F.col("_class") != KEEP)
+    source = [c for c in rows.columns if c in load.source.columns or c == "dwh_load_date"]
+    changed, unseen = split(rows, stored.columns, source, run.staged)
+    added = assign_keys(run.staged(lookup_keys(unseen, load.lookups)), load.id_col, load.key_col, highest)
+    delta = changed.unionByName(added.select(*stored.columns))
+    if "recovery_rate" in old.columns:
+        delta = with_recovery_rate(delta)
+    return run.staged(delta.select(*old.columns))
 
 
 def with_recovery_rate(bills: DataFrame) -> DataFrame:

@@ -4,25 +4,37 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Collection, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import nullcontext
 from datetime import date, datetime
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake import schemas as S
+from stratalake.functions.casts import DATE_FORMATS
 from stratalake.operators import checks
 from stratalake.operators.facts import lookup_misses
 from stratalake.plans import gold as G
 from stratalake.plans import quality, silver
-from stratalake.session import stage
+from stratalake.session import Staging
 from stratalake.sources.delimited import load_bronze
-from stratalake.sources.snapshots import Store
+from stratalake.sources.snapshots import Layout, Part, Store, dense
 
 METRICS = "layer string, tbl string, rows long, started string, seconds double"
 DIMENSIONS = ("dim_date", "dim_department", "dim_treatment", "dim_insurance", "dim_patient", "dim_doctor")
 FACTS = ("fact_appointments", "fact_billing")
+LAYERS = ("bronze", "silver", "gold")
+# Facts lie in a folder per month, so a run rewrites only the months it changes; inside, rows are dealt by business id.
+_MONTH = "date_key div 100"
+LAYOUTS = {
+    "dim_department": Layout("department_key"), "dim_treatment": Layout("treatment_key"), "dim_insurance": Layout("insurance_key"),
+    "dim_patient": Layout("patient_key"), "dim_doctor": Layout("doctor_key"),
+    "fact_appointments": Layout("appointment_key", _MONTH, "appointment_id", "date_key"),
+    "fact_billing": Layout("billing_key", _MONTH, "bill_id", "date_key"),
+}
 MISSES = "gold misses"  # metrics rows of cleaned rows that a fact lacks
 
 
@@ -40,37 +52,51 @@ class _Layer:
     def __init__(self, store: Store, layer: str, load_ts: datetime):
         self.store, self.layer, self.load_ts = store, layer, load_ts
         self.run = f"run-{load_ts:%Y%m%d%H%M%S}-{uuid.uuid4().hex[:8]}"
-        self.counts: dict[str, int] = {}
+        self.tables: dict[str, list[Part]] = {}
         self.metrics: list[tuple] = []
 
-    def write(self, name: str, df: DataFrame, counters: dict | None = None) -> DataFrame:
+    def write(self, name: str, df: DataFrame, counters: dict | None = None, write: Callable | None = None) -> DataFrame:
         """Write a table, check the counters taken on the way and return it as written."""
         started, clock = datetime.now(), time.monotonic()
-        seen = self.store.write(self.run, name, df, counters)
-        self.metrics.append((self.layer, name, seen["rows"], f"{started:%Y-%m-%d %H:%M:%S}",
-                             time.monotonic() - clock))
-        broken = {check: n for check, n in seen.items() if check != "rows" and n}
+        parts, seen = (write or self.store.write)(self.run, name, df, counters)
+        self.note(name, parts, started, clock)
+        broken = {check: n for check, n in seen.items() if n}
         if broken:
             raise ConstraintError(f"{self.layer}.{name}: {broken}")
-        self.counts[name] = seen["rows"]
-        return self.store.written(self.run, name)
+        return self.store.read(name, parts)
 
-    def write_all(self, loads: Mapping[str, Callable[[], tuple[DataFrame, dict]]]) -> dict[str, DataFrame]:
+    def note(self, name: str, parts: list[Part], started: datetime, clock: float) -> None:
+        self.tables[name] = parts
+        self.metrics.append((self.layer, name, sum(p.rows for p in parts), f"{started:%Y-%m-%d %H:%M:%S}", time.monotonic() - clock))
+
+    def write_all(self, jobs: Mapping[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
         """Write independent tables side by side, so that one table's last tasks do not leave the
-        cluster idle; ``loads`` gives each table's plan and counters. Raises the first failure in order."""
-        with ThreadPoolExecutor(max_workers=4) as pool:
-            jobs = {name: pool.submit(lambda load=load, name=name: self.write(name, *load()))
-                    for name, load in loads.items()}
-            return {name: job.result() for name, job in jobs.items()}
+        cluster idle. Raises the first failure in order."""
+        return side_by_side(jobs)
 
     def publish(self) -> list[tuple]:
-        self.store.publish(self.run, self.counts, self.load_ts)
+        self.store.publish(self.run, self.tables, self.load_ts)
         order = list(self.store.schemas)
         return sorted(self.metrics, key=lambda row: order.index(row[1]))
 
+    def __enter__(self) -> _Layer:
+        return self
+
+    def __exit__(self, failure, *_) -> None:
+        if failure is not None:
+            self.store.abandon(self.run)
+
+
+def side_by_side(jobs: Mapping[str, Callable]) -> dict:
+    """The results of some driver-side calls that each run Spark jobs; the first failure in order is raised when
+    all have ended, so nothing is still being written then."""
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        running = {name: pool.submit(job) for name, job in jobs.items()}
+    return {name: job.result() for name, job in running.items()}
 
-def open_layer(spark: SparkSession, root: str, layer: str, id_type: str = "int") -> Store:
-    return Store(spark, root, layer, S.layer_schemas(layer, id_type))
+
+def open_layer(spark: SparkSession, root: str, layer: str, id_type: str = "int", version: int | None = None) -> Store:
+    return Store(spark, root, layer, S.layer_schemas(layer, id_type), LAYOUTS if layer == "gold" else None, version)
 
 
 def _constraints(name: str) -> dict:
@@ -80,85 +106,128 @@ def _constraints(name: str) -> dict:
 
 
 def run_bronze(spark: SparkSession, source_dir: str, root: str, load_ts: datetime) -> list[tuple]:
-    layer = _Layer(open_layer(spark, root, "bronze"), "bronze", load_ts)
-    layer.write_all({name: lambda df=df: (df, {}) for name, df in load_bronze(spark, source_dir, load_ts).items()})
-    return layer.publish()
+    with _Layer(open_layer(spark, root, "bronze"), "bronze", load_ts) as layer:
+        layer.write_all({name: lambda df=df, name=name: layer.write(name, df)
+                         for name, df in load_bronze(spark, source_dir, load_ts).items()})
+        return layer.publish()
 
 
-def run_silver(spark: SparkSession, root: str, as_of: date, load_ts: datetime, id_type: str = "int") -> list[tuple]:
-    layer = _Layer(open_layer(spark, root, "silver", id_type), "silver", load_ts)
+def run_silver(spark: SparkSession, root: str, as_of: date, load_ts: datetime, id_type: str = "int",
+               formats: Sequence[str] = DATE_FORMATS) -> list[tuple]:
+    """Each raw table is read once: its rows are written by verdict, and both results come from there."""
     bronze = open_layer(spark, root, "bronze")
-    cleaned = {name: silver.clean_table(name, bronze.required(name), as_of, load_ts, id_type) for name in S.BRONZE_TABLES}
-    rejected = {name: bad for name, (_, bad) in cleaned.items()}
-    layer.write_all({name: lambda good=good, name=name: (good, _constraints(name))
-                     for name, (good, _) in cleaned.items()})
-    layer.write("rejected_rows", silver.reject_log(rejected), _constraints("rejected_rows"))
-    return layer.publish()
+    with _Layer(open_layer(spark, root, "silver", id_type), "silver", load_ts) as layer, Staging(spark) as staged:
+        def clean(name: str) -> DataFrame:
+            good, bad = silver.clean_table(name, bronze.required(name), as_of, load_ts, id_type, formats, staged)
+            layer.write(name, good, _constraints(name))
+            return bad
+
+        rejected = layer.write_all({name: lambda name=name: clean(name) for name in S.BRONZE_TABLES})
+        layer.write("rejected_rows", silver.reject_log(rejected), _constraints("rejected_rows"))
+        return layer.publish()
 
 
 def run_gold(spark: SparkSession, root: str, as_of: date, load_ts: datetime, id_type: str = "int",
-             first_day: date = G.FIRST_DAY, last_day: date = G.LAST_DAY, ignore_case: bool = False) -> list[tuple]:
-    """All dimensions, then both facts, which look up the dimensions as the run has written them."""
-    layer = _Layer(open_layer(spark, root, "gold", id_type), "gold", load_ts)
-    run = G.Run(spark, as_of, load_ts, id_type, first_day, last_day, ignore_case, stage)
-    clean = open_layer(spark, root, "silver", id_type)
-    tables: dict[str, DataFrame] = {}
-
-    def old(name: str) -> DataFrame:
-        published = layer.store.table(name)
-        return S.empty(spark, name, id_type) if published is None else published
-
-    def table(name: str, load: Callable[[], DataFrame]) -> tuple[DataFrame, dict]:
-        df = S.conform(load(), name, id_type)
-        return (df.sortWithinPartitions("date_key") if name in FACTS else df), _constraints(name)
-
-    loads: dict[str, Callable[[], DataFrame]] = {
-        "dim_date": lambda: G.load_dates(run, old("dim_date")),
-        "dim_department": lambda: G.load_overwritten(run, old("dim_department"), clean.required("departments")),
-        "dim_treatment": lambda: G.load_overwritten(run, old("dim_treatment"), clean.required("treatments")),
-        "dim_insurance": lambda: G.load_overwritten(run, old("dim_insurance"), clean.required("insurance_providers")),
-        "dim_patient": lambda: G.load_patients(run, old("dim_patient"), clean.required("patients")),
-        "dim_doctor": lambda: G.load_doctors(run, old("dim_doctor"), clean.required("doctors")),
-        "fact_appointments": lambda: G.load_appointments(
-            run, old("fact_appointments"), clean.required("appointments"), tables),
-        "fact_billing": lambda: G.load_bills(run, old("fact_billing"), clean.required("bills"), tables),
-    }
-    for names in (DIMENSIONS, FACTS):
-        tables.update(layer.write_all({n: lambda n=n: table(n, loads[n]) for n in names}))
-    check_integrity(tables)
-    return layer.publish() + fact_misses(clean, tables)
+             first_day: date = G.FIRST_DAY, last_day: date = G.LAST_DAY, ignore_case: bool = False,
+             buckets: int = 8) -> list[tuple]:
+    """All dimensions, then both facts, which look up the dimensions as the run has written them.
+
+    ``buckets`` is the number of files of each month of a fact, and so of the tasks that match a fact with its source;
+    it is fixed by the first run.
+    """
+    with _Layer(open_layer(spark, root, "gold", id_type), "gold", load_ts) as layer, Staging(spark) as staged:
+        run = G.Run(spark, as_of, load_ts, id_type, first_day, last_day, ignore_case, staged)
+        clean = open_layer(spark, root, "silver", id_type)
+
+        def old(name: str) -> DataFrame:
+            published = layer.store.table(name)
+            return S.empty(spark, name, id_type) if published is None else published
+
+        def highest(name: str) -> int:
+            return max((p.high or 0 for p in layer.store.parts(name)), default=0)
+
+        def dimension(name: str) -> DataFrame:
+            if name == "dim_date":
+                df = G.load_dates(run, old(name))
+            else:
+                source, tracked = G.DIMENSIONS[name]
+                more = () if tracked is None else (tracked,)
+                df = (G.load_overwritten if tracked is None else G.load_versioned)(
+                    run, old(name), clean.required(source), *more, highest(name))
+            return layer.write(name, S.conform(df, name, id_type), _constraints(name))
+
+        def fact(name: str) -> DataFrame:
+            load = G.fact_load(name, clean.required(G.FACTS[name]), tables)
+            started, clock = datetime.now(), time.monotonic()
+            with layer.store.clustered(name) if layer.store.parts(name) else nullcontext(old(name)) as stored:
+                delta = G.fact_delta(run, name, stored, load, highest(name))
+            months = [r[0] for r in delta.select(F.expr(LAYOUTS[name].divide_by).cast("int")).distinct().collect()]  # days of dim_date
+            parts = layer.store.parts(name)
+            if not months:  # all parts stay
+                layer.note(name, parts, started, clock)
+                return layer.store.read(name, parts)
+            touched = layer.store.read(name, [p for p in parts if p.part in months])
+            rows = touched.join(delta.select(load.id_col), load.id_col, "left_anti").select(*delta.columns).unionByName(delta)
+            return layer.write(name, S.conform(rows, name, id_type), _constraints(name), partial(layer.store.write_parts, buckets=buckets))
+
+        tables: dict[str, DataFrame] = {}
+        for names, load in ((DIMENSIONS, dimension), (FACTS, fact)):
+            tables.update(layer.write_all({n: lambda n=n, load=load: load(n) for n in names}))
+        check_integrity(tables, dense(spark, layer.tables))
+        misses = fact_misses(clean, tables)
+        return layer.publish() + misses
 
 
 def fact_misses(clean: Store, gold: dict[str, DataFrame]) -> list[tuple]:
     """One metrics row per fact and look-up: cleaned rows that no dimension row fits and the fact lacks."""
-    found = []
-    for name, source, lookups in (
-            ("fact_appointments", G.appointment_source(clean.required("appointments")), G.appointment_lookups(gold)),
-            ("fact_billing", G.bill_source(clean.required("bills")), G.bill_lookups(gold))):
+    def count(name: str) -> list[tuple]:
+        load = G.fact_load(name, clean.required(G.FACTS[name]), gold)
         started, clock = datetime.now(), time.monotonic()
-        rows = lookup_misses(source, lookups).collect()  # one row per look-up
+        rows = lookup_misses(load.source, load.lookups).collect()  # one row per look-up
         seconds = time.monotonic() - clock
-        found += [(MISSES, f"{name}.{r['lookup']}", r["missing_rows"], f"{started:%Y-%m-%d %H:%M:%S}", seconds) for r in rows]
-    return found
+        return [(MISSES, f"{name}.{r['lookup']}", r["missing_rows"], f"{started:%Y-%m-%d %H:%M:%S}", seconds) for r in rows]
+
+    found = side_by_side({name: partial(count, name) for name in FACTS})
+    return [row for name in FACTS for row in found[name]]
+
 
+def check_integrity(gold: dict[str, DataFrame], proven: Collection[str] = ()) -> None:
+    """Primary, unique and foreign keys of all gold tables; raises on the first that is broken.
 
-def check_integrity(gold: dict[str, DataFrame]) -> None:
-    """Primary, unique and foreign keys of all gold tables; raises on the first that is broken."""
-    unique = {name: [S.columns(name)[0]] for name in S.GOLD_TABLES}
+    The generated keys of ``proven`` tables are known to be unique, so only business ids and the keys of
+    other tables are grouped. At most three queries run, side by side.
+    """
+    unique = {name: [] if name in proven else [S.columns(name)[0]] for name in S.GOLD_TABLES}
     for name in ("dim_department", "dim_treatment", "dim_insurance"):
         unique[name].append(S.columns(name)[1])
-    for name, keys in unique.items():
-        for key in keys:
-            if not checks.duplicates(gold[name], key).isEmpty():
-                raise ConstraintError(f"gold.{name}: duplicate {key}")
-    for name, key in (("dim_patient", "patient_id"), ("dim_doctor", "doctor_id")):
-        if not quality.several_current(gold[name], key).isEmpty():
-            raise ConstraintError(f"gold.{name}: several current versions of one {key}")
-    for name, lookups in (("fact_appointments", G.appointment_lookups(gold)), ("fact_billing", G.bill_lookups(gold))):
+
+    def repeated() -> list:
+        found = [checks.duplicates(gold[name], key).select(F.lit(f"{name}: duplicate {key}").alias("broken"))
+                 for name, keys in unique.items() for key in keys]
+        found += [quality.several_current(gold[name], key).select(F.lit(f"{name}: several current versions of one {key}").alias("broken"))
+                  for name, key in (("dim_patient", "patient_id"), ("dim_doctor", "doctor_id"))]
+        return [r["broken"] for r in reduce(DataFrame.unionByName, found).distinct().collect()]  # a row per check
+
+    def lost(name: str) -> list:
+        lookups = G.fact_lookups(name, gold)
         by_key = [look._replace(on=look.key_col) for look in lookups]
-        lost = checks.orphans(gold[name], by_key).where("violations > 0").collect()
-        if lost:
-            raise ConstraintError(f"gold.{name}: unknown keys {[tuple(r) for r in lost]}")
+        return [tuple(r) for r in checks.orphans(gold[name], by_key).where("violations > 0").collect()]
+
+    found = side_by_side({"keys": repeated, **{name: partial(lost, name) for name in FACTS}})
+    if found["keys"]:
+        raise ConstraintError(f"gold.{', '.join(sorted(found['keys']))}")
+    for name in FACTS:
+        if found[name]:
+            raise ConstraintError(f"gold.{name}: unknown keys {found[name]}")
+
+
+def fact_between(spark: SparkSession, root: str, name: str, first_day: date, last_day: date, id_type: str = "int") -> DataFrame:
+    """The rows of a fact from ``first_day`` to ``last_day``; only the files of those months are opened."""
+    first, last = (day.year * 10000 + day.month * 100 + day.day for day in (first_day, last_day))
+    found = open_layer(spark, root, "gold", id_type).table(name, first // 100, last // 100)
+    if found is None:
+        raise LookupError(f"{root}/gold: table {name} has not been published")
+    return found.where(F.col("date_key").between(first, last))
 
 
 def gold_tables(spark: SparkSession, root: str, id_type: str = "int") -> dict[str, DataFrame]:
@@ -189,15 +258,28 @@ def run_quality(spark: SparkSession, root: str, strict: bool = False, id_type: s
     return [("quality", r["check_name"], r["violations"], f"{started:%Y-%m-%d %H:%M:%S}", seconds) for r in found]
 
 
+def retire(spark: SparkSession, root: str, keep_runs: int) -> list[str]:
+    """Remove runs of all layers that are older than the newest ``keep_runs`` and that no reader has leased."""
+    return [folder for layer in LAYERS for folder in open_layer(spark, root, layer).retire(keep_runs)]
+
+
 def run_pipeline(spark: SparkSession, source_dir: str, root: str, as_of: date, load_ts: datetime | None = None,
                  strict: bool = False, id_type: str = "int", first_day: date = G.FIRST_DAY,
-                 last_day: date = G.LAST_DAY) -> DataFrame:
-    """All four steps in order; the first failure stops the run. Returns one metrics row per table."""
+                 last_day: date = G.LAST_DAY, ignore_case: bool = False, formats: Sequence[str] = DATE_FORMATS,
+                 keep_runs: int | None = None, buckets: int = 8) -> DataFrame:
+    """All four steps in order; the first failure stops the run. Returns one metrics row per table.
+
+    With ``keep_runs``, older runs that no reader has leased are removed at the end, also after a failure.
+    """
     load_ts = load_ts or datetime.combine(as_of, datetime.min.time())
-    metrics = run_bronze(spark, source_dir, root, load_ts)
-    metrics += run_silver(spark, root, as_of, load_ts, id_type)
-    metrics += run_gold(spark, root, as_of, load_ts, id_type, first_day, last_day)
-    metrics += run_quality(spark, root, strict, id_type)
+    try:
+        metrics = run_bronze(spark, source_dir, root, load_ts)
+        metrics += run_silver(spark, root, as_of, load_ts, id_type, formats)
+        metrics += run_gold(spark, root, as_of, load_ts, id_type, first_day, last_day, ignore_case, buckets)
+        metrics += run_quality(spark, root, strict, id_type)
+    finally:
+        if keep_runs is not None:
+            retire(spark, root, keep_runs)
     return spark.createDataFrame(metrics, METRICS)
 
 

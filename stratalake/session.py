@@ -13,6 +13,7 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.maxConcurrentOutputFileWriters": "8",  # writes into a few folders need no sort
     "spark.ui.enabled": "false",
     "spark.python.sql.dataFrameDebugging.enabled": "false",  # call-site capture slows plan building
 }
@@ -60,10 +61,50 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
-def stage(df: DataFrame) -> DataFrame:
+def _path(spark: SparkSession, path: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, path = _path(spark, path)
+    return files.exists(path)
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """The folders right below a folder; none where it does not exist."""
+    files, at = _path(spark, path)
+    return [f"{path}/{f.getPath().getName()}" for f in files.listStatus(at) if f.isDirectory()] if files.exists(at) else []
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder of this library's, if it is there."""
+    files, path = _path(spark, path)
+    files.delete(path, True)
+
+
+def stage(df: DataFrame, by: str | None = None, folder: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and go on from the written table: later uses neither
     recompute it nor depend on any executor staying alive, read only the columns they need, and
-    see its true size when Spark chooses a join."""
-    path = f"{shared_dir(df.sparkSession)}/staged-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    see its true size when Spark chooses a join. With ``by``, rows of each value of that text column lie in a
+    folder of their own, so that a filter on it reads nothing else."""
+    path = f"{folder or shared_dir(df.sparkSession)}/staged-{uuid.uuid4().hex}"
+    writer = df.write if by is None else df.write.partitionBy(by)
+    writer.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+class Staging:
+    """``stage`` for the length of a block: the staged tables are removed at its end, also after a failure."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.folder = spark, f"{shared_dir(spark)}/staging-{uuid.uuid4().hex}"
+
+    def __call__(self, df: DataFrame, by: str | None = None) -> DataFrame:
+        return stage(df, by, self.folder)
+
+    def __enter__(self) -> Staging:
+        return self
+
+    def __exit__(self, *_) -> None:
+        delete(self.spark, self.folder)

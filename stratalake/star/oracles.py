@@ -190,8 +190,12 @@ def _int(c: str) -> str:
 
 
 def _date(c: str) -> str:
-    return (f"coalesce(TRY_CAST({c} AS DATE), CAST(try_strptime({c}, '%Y%m%d') AS DATE), "
-            f"CAST(try_strptime({c}, '%m/%d/%Y') AS DATE))")
+    """The whole text is an ISO day, one with a time of day, or one of the other three forms."""
+    day = f"regexp_extract(trim({c}), '^(\\d{{4}}-\\d{{1,2}}-\\d{{1,2}})([ T]\\d{{1,2}}:\\d{{2}}(:\\d{{2}}(\\.\\d+)?)?)?$', 1)"
+    timed = f"(length({day}) = length(trim({c})) OR TRY_CAST(trim({c}) AS TIMESTAMP) IS NOT NULL)"
+    others = " ".join(f"WHEN regexp_full_match(trim({c}), '{shape}') THEN CAST(try_strptime(trim({c}), '{form}') AS DATE)" for shape, form in (
+        ("\\d{8}", "%Y%m%d"), ("\\d{1,2}/\\d{1,2}/\\d{4}", "%m/%d/%Y"), ("\\d{4}/\\d{1,2}/\\d{1,2}", "%Y/%m/%d")))
+    return f"CASE WHEN {day} <> '' AND {timed} THEN TRY_CAST({day} AS DATE) {others} END"
 
 
 def _dec(c: str, p: int, s: int) -> str:
@@ -519,6 +523,8 @@ ORACLES: dict[str, str] = {
     "billing_recovery": RECOVERY,
     "patient_analysis": PATIENTS,
     "patient_analysis_exact": PATIENTS_EXACT,
+    "monthly_appointments_marts": MONTHLY,
+    "department_summary_marts": DEPARTMENTS,
     "dim_date": CALENDAR,
     **{f"clean_{table}": _clean(table) for table in RAW},
     "reject_rows": _ALL_REJECTS,

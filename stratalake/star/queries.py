@@ -17,7 +17,7 @@ from stratalake.operators import checks
 from stratalake.operators.dimensions import history_of_changes, scd1_merge, scd2_merge
 from stratalake.operators.facts import Lookup, fact_upsert, lookup_misses
 from stratalake.operators.keys import assign_keys
-from stratalake.plans import gold, quality, reports, run, silver
+from stratalake.plans import gold, marts, quality, reports, run, silver
 from stratalake.session import shared_dir, stage
 from stratalake.sources.delimited import load_bronze
 from stratalake.star import tables as star
@@ -76,6 +76,20 @@ def billing_recovery(spark: SparkSession, folder: str) -> DataFrame:
     return reports.billing_recovery(star.fact_billing(spark, folder), star.providers(spark, folder))
 
 
+def _marts(report: Callable, spark: SparkSession, folder: str, dim: DataFrame) -> DataFrame:
+    """A report from the daily tables alone."""
+    visits = star.fact_appointments(spark, folder)
+    return report(stage(marts.visit_totals(visits)), stage(marts.visit_keys(visits)), dim)
+
+
+def monthly_appointments_marts(spark: SparkSession, folder: str) -> DataFrame:
+    return _marts(marts.monthly_appointments, spark, folder, star.dates(spark, folder))
+
+
+def department_summary_marts(spark: SparkSession, folder: str) -> DataFrame:
+    return _marts(marts.department_summary, spark, folder, star.departments(spark, folder))
+
+
 def _patients(report: Callable, spark: SparkSession, folder: str) -> DataFrame:
     return report(star.patients(spark, folder), star.fact_appointments(spark, folder),
                   star.fact_billing(spark, folder), star.dates(spark, folder))
@@ -171,7 +185,7 @@ def _scd1(spark: SparkSession, first: DataFrame, second: DataFrame, id_col: str,
     empty = spark.createDataFrame([], T.StructType(
         [T.StructField(key_col, T.LongType()), *first.schema.fields, T.StructField("dwh_load_date", T.TimestampType())]))
     dim = stage(scd1_merge(empty, first, id_col, attrs, key_col, LOAD_1))
-    return scd1_merge(dim, second, id_col, attrs, key_col, LOAD_2)
+    return scd1_merge(dim, second, id_col, attrs, key_col, LOAD_2, stage)
 
 
 def scd1_treatments(spark: SparkSession, folder: str) -> DataFrame:
@@ -222,7 +236,7 @@ def _scd2(spark: SparkSession, first: DataFrame, second: DataFrame, id_col: str,
     empty = spark.createDataFrame([], T.StructType(
         [T.StructField(key_col, T.LongType()), *first.schema.fields, *history.fields]))
     dim = stage(scd2_merge(empty, first, id_col, attrs, tracked, key_col, DAY_1, LOAD_1))
-    return dim, scd2_merge(dim, second, id_col, attrs, tracked, key_col, DAY_2, LOAD_2)
+    return dim, scd2_merge(dim, second, id_col, attrs, tracked, key_col, DAY_2, LOAD_2, staged=stage)
 
 
 def _patient_loads(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
@@ -498,6 +512,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "doctor_performance": doctor_performance,
     "department_summary": department_summary,
     "billing_recovery": billing_recovery,
+    "monthly_appointments_marts": monthly_appointments_marts,
+    "department_summary_marts": department_summary_marts,
     "patient_analysis": patient_analysis,
     "patient_analysis_exact": patient_analysis_exact,
     "dim_date": dim_date,

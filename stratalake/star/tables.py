@@ -150,8 +150,12 @@ def patients(spark: SparkSession, folder: str) -> DataFrame:
 _ISO = "CAST(1940 + k % 70 AS STRING) || '-' || lpad(CAST(1 + k % 12 AS STRING), 2, '0') || '-' || " \
        "lpad(CAST(1 + k % 28 AS STRING), 2, '0')"
 _DAY = "CAST(1 + k % 28 AS STRING)"
+# Text that looks like a date but is none, or is one with a time of day.
+_NEARLY_DATE = ("WHEN {n} % 47 = 0 THEN '2024-01-15 garbage' WHEN {n} % 53 = 0 THEN '2024-05' WHEN {n} % 59 = 0 THEN '12024-01-15' "
+                "WHEN {n} % 67 = 0 THEN '2024-01-15 25:30' WHEN {n} % 79 = 0 THEN ' 2001-02-03 10:30:00 ' ")
 _MIXED_DATE = (
     "CASE WHEN k % 41 = 0 THEN 'unknown' WHEN k % 43 = 0 THEN '1980-02-30' "
+    + _NEARLY_DATE.format(n="k") +
     "WHEN k % 5 = 0 THEN CAST(1940 + k % 70 AS STRING) || lpad(CAST(1 + k % 12 AS STRING), 2, '0') "
     f"|| lpad({_DAY}, 2, '0') "
     f"WHEN k % 5 = 1 THEN lpad(CAST(1 + k % 12 AS STRING), 2, '0') || '/' || lpad({_DAY}, 2, '0') || '/' "
@@ -261,7 +265,7 @@ UNTIDY: dict[str, dict] = {
             "doctor_id": "' ' || CAST(l_suppkey AS STRING)",
             "department_id": "CAST(l_suppkey % 10 AS STRING)",
             "treatment_id": "CAST(l_partkey AS STRING)",
-            "appointment_date": "CASE WHEN l_partkey % 61 = 0 THEN '2024-02-30' "
+            "appointment_date": "CASE WHEN l_partkey % 61 = 0 THEN '2024-02-30' " + _NEARLY_DATE.format(n="l_partkey") +
                                 "ELSE CAST(CAST(l_shipdate AS DATE) AS STRING) END",
             "appointment_time": "' 0' || CAST(l_linenumber AS STRING) || ':30 '",
             "duration_minutes": "CASE WHEN l_partkey % 17 = 0 THEN 'short' "
@@ -284,7 +288,7 @@ UNTIDY: dict[str, dict] = {
             "doctor_id": "CAST(k % 10 AS STRING)",
             "insurance_id": "CASE WHEN k % 11 = 0 THEN NULL ELSE CAST(o_custkey % 5 AS STRING) END",
             "treatment_id": "CAST(k % 200 AS STRING)",
-            "bill_date": "CASE WHEN k % 73 = 0 THEN 'soon' ELSE CAST(CAST(o_orderdate AS DATE) AS STRING) END",
+            "bill_date": "CASE WHEN k % 73 = 0 THEN 'soon' " + _NEARLY_DATE.format(n="k") + "ELSE CAST(CAST(o_orderdate AS DATE) AS STRING) END",
             "total_amount": "CASE WHEN k % 59 = 0 THEN '0' WHEN k % 61 = 0 THEN '-5' WHEN k % 67 = 0 THEN 'n/a' "
                             "WHEN k % 71 = 0 THEN NULL ELSE CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS STRING) END",
             "insurance_covered": "CASE WHEN k % 3 = 0 THEN NULL ELSE ' ' || CAST(k % 1000 AS STRING) || '.5 ' END",

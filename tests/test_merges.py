@@ -161,3 +161,63 @@ def test_hot_id_is_split_when_the_dimension_is_too_large_to_broadcast(spark):
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert "skew=true" in plan or "skewJoin=true" in plan
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def watched(plans):
+    def staged(df, by=None):
+        plans.append(plan_of(df))
+        return stage(df, by)
+    return staged
+
+
+def test_each_side_of_a_merge_is_shuffled_once(spark, no_broadcast):
+    people = stage(spark.range(200).selectExpr("id + 1 AS k", "cast(id AS int) AS id", "'n' AS name", "'Rome' AS city", "1 AS dept",
+                                               "date'2024-01-01' AS effective_date", "cast(NULL AS date) AS end_date",
+                                               "true AS is_current", "timestamp'2024-01-01' AS dwh_load_date"))
+    snapshot = stage(spark.range(100, 300).selectExpr("cast(id AS int) AS id", "'n' AS name", "if(id % 2 = 0, 'Bari', 'Rome') AS city", "1 AS dept"))
+    fact = stage(spark.range(200).selectExpr("id + 1 AS fk", "cast(id AS int) AS id", "20240101 AS date_key", "5L AS pk", "'x' AS status",
+                                             "cast(1 AS decimal(10,2)) AS fee", "timestamp'2024-01-01' AS dwh_load_date"))
+    visits = stage(spark.range(100, 300).selectExpr("cast(id AS int) AS id", "1 AS pid", "20240101 AS date_key", "'y' AS status",
+                                                    "cast(1 AS decimal(10,2)) AS fee"))
+    lookups = [Lookup(spark.createDataFrame([(1, 5)], "pid int, pk long"), "pid", "pid", "pk")]
+    merges = {
+        "scd1": lambda staged: scd1_merge(people.select("k", "id", "name", "dwh_load_date"), snapshot.select("id", "name"), "id", ["name"], "k", TS[1], staged),
+        "scd2": lambda staged: scd2_merge(people, snapshot, "id", ["name", "city", "dept"], TRACKED, "k", D[1], TS[1], staged=staged),
+        "fact": lambda staged: fact_upsert(fact, visits, "id", {"status": "", "fee": -1}, lookups, "fk", TS[1], staged=staged),
+    }
+    for name, merge in merges.items():
+        plans = []
+        rows = merge(watched(plans))
+        assert plans[0].count("Exchange hashpartitioning") == 2 and plans[0].count("FullOuter") == 1, name
+        assert plans[0].count("FileScan") == 2, name
+        assert "FullOuter" not in plan_of(rows) and not any("FullOuter" in p for p in plans[1:]), name
+        assert rows.count() == {"scd1": 300, "scd2": 350, "fact": 300}[name]
+
+
+def test_merging_into_nothing_needs_no_join(spark):
+    plans = []
+    snapshot = stage(spark.range(50).selectExpr("cast(id AS int) AS id", "'n' AS name", "'Rome' AS city", "1 AS dept"))
+    rows = scd2_merge(spark.createDataFrame([], DIM), snapshot, "id", ["name", "city", "dept"], TRACKED, "k", D[0], TS[0], staged=watched(plans))
+    assert "Join" not in plans[0] and "Exchange" not in plans[0] and rows.count() == 50
+
+
+def test_repeated_and_missing_ids_of_a_source_are_not_lost(spark):
+    """NULL ids meet nothing; they reach key assignment, which refuses them."""
+    dim = spark.createDataFrame([(1, 1, "a", TS[0])], "k long, id int, name string, dwh_load_date timestamp")
+    with pytest.raises(Exception, match="id is NULL"):
+        scd1_merge(dim, spark.createDataFrame([(None, "x")], "id int, name string"), "id", ["name"], "k", TS[1]).collect()

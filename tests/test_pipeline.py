@@ -1,8 +1,16 @@
+import os
 from datetime import date, datetime
+from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
+from stratalake import schemas as S
+from stratalake.operators.merge import match
+from stratalake.plans import gold as G
 from stratalake.plans import reports, run
+from stratalake.session import shared_dir
+from stratalake.sources.snapshots import Layout, Store, dense
 from tests.sources import CLEAN, write_sources
 
 D1, D2, D3 = date(2024, 1, 1), date(2024, 2, 1), date(2024, 3, 1)
@@ -112,3 +120,176 @@ def test_nothing_published_yet(spark, tmp_path):
     store = run.open_layer(spark, str(tmp_path / "none"), "gold")
     assert store.latest() is None and store.table("dim_date") is None
     assert len(run.missing_tables(spark, str(tmp_path / "none"))) == 8
+
+
+# Publication by part, retention, key proofs -----------------------------------------------------
+
+MONTHS = [f"{i},{1 + i % 2},{1 + i % 2},1,1,2023-{1 + i % 12:02d}-{1 + i % 28:02d},09:00,30,Completed,50.00,ok" for i in range(1, 61)]
+
+
+def data_files(root, name):
+    return {str(p.relative_to(root)) for p in Path(root, "gold").glob(f"run-*/{name}/**/*.parquet")}
+
+
+def test_a_change_in_one_month_rewrites_that_month_only(spark, tmp_path):
+    root = str(tmp_path / "wh")
+    run.run_pipeline(spark, write_sources(tmp_path / "a", appointments=MONTHS), root, D1)
+    first = run.open_layer(spark, root, "gold")
+    before = {p.part: p for p in first.parts("fact_appointments")}
+    assert sorted(before) == [202300 + m for m in range(1, 13)] and all(p.rows == 5 for p in before.values())
+    files, bills = data_files(root, "fact_appointments"), data_files(root, "fact_billing")
+    old = rows(first.table("fact_appointments"), "appointment_key")
+
+    lines = list(MONTHS)
+    lines[2] = lines[2].replace("Completed", "Cancelled")  # April
+    lines.append("90,1,1,1,1,2023-04-30,09:00,30,Completed,50.00,new")
+    run.run_pipeline(spark, write_sources(tmp_path / "b", appointments=lines), root, D2)
+    second = run.open_layer(spark, root, "gold")
+    after = {p.part: p for p in second.parts("fact_appointments")}
+    assert {m for m in after if after[m] != before[m]} == {202304}
+    assert after[202304].rows == 6 and after[202304].run != before[202304].run
+    added = data_files(root, "fact_appointments") - files
+    assert added and all("_part=202304/" in f for f in added)
+    assert data_files(root, "fact_billing") == bills  # nothing changed there
+    # one version each: the first Store still reads what it opened
+    assert rows(first.table("fact_appointments"), "appointment_key") == old
+    new = rows(second.table("fact_appointments"), "appointment_key")
+    assert len(new) == 61 and [r for r in new if r not in old] == [r for r in new if r[1] in (3, 90)]
+    assert new[60][0] == 61 and new[2][8] == "Cancelled" and new[2][-1] == TS2
+    run.check_integrity(run.gold_tables(spark, root))
+
+
+def test_a_month_opens_its_own_files_only(spark, tmp_path):
+    root = str(tmp_path / "wh")
+    run.run_pipeline(spark, write_sources(tmp_path / "a", appointments=MONTHS), root, D1)
+    april = run.fact_between(spark, root, "fact_appointments", date(2023, 4, 2), date(2023, 4, 30))
+    whole = run.gold_tables(spark, root)["fact_appointments"]
+    assert 0 < len(april.inputFiles()) < len(whole.inputFiles()) and all("_part=202304" in f for f in april.inputFiles())
+    assert rows(april, "appointment_key") == rows(whole.where("date_key BETWEEN 20230402 AND 20230430"), "appointment_key")
+    with pytest.raises(LookupError):
+        run.fact_between(spark, str(tmp_path / "none"), "fact_billing", D1, D2)
+
+
+def test_a_stored_fact_is_matched_without_a_shuffle(spark, tmp_path):
+    root = str(tmp_path / "wh")
+    run.run_pipeline(spark, write_sources(tmp_path / "a", appointments=MONTHS), root, D1, buckets=3)
+    run.run_pipeline(spark, write_sources(tmp_path / "b", appointments=MONTHS[:3] + [MONTHS[3].replace("50.00", "51.00")]), root, D2, buckets=5)
+    store, clean = run.open_layer(spark, root, "gold"), run.open_layer(spark, root, "silver")
+    assert {p.buckets for p in store.parts("fact_appointments")} == {3}  # as the first run dealt them
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with store.clustered("fact_appointments") as fact:
+            source = G.appointment_source(clean.required("appointments"))
+            plan = match(fact, source, "appointment_id", F.lit("keep"))._jdf.queryExecution().executedPlan().toString()
+            assert fact.count() == 60
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    before_join, source_side = plan.split("FileScan")[1:3]
+    assert plan.count("Exchange hashpartitioning(appointment_id") == 1 and "Bucketed: true" in before_join
+    assert "Exchange" not in plan[:plan.index("FileScan")]
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("stratalake_")]
+
+
+def test_retention_spares_leased_runs(spark, tmp_path):
+    root = str(tmp_path / "wh")
+    staged = set(os.listdir(shared_dir(spark)))
+    run.run_pipeline(spark, write_sources(tmp_path / "a", appointments=MONTHS), root, D1, keep_runs=2)
+    reader = run.open_layer(spark, root, "gold")
+    with reader.lease() as lease:
+        assert lease.version == 1
+        for i, day in enumerate((D2, D3, date(2024, 4, 1))):
+            changed = [MONTHS[0].replace("50.00", f"{60 + i}.00"), *MONTHS[1:]]
+            run.run_pipeline(spark, write_sources(tmp_path / f"b{i}", appointments=changed), root, day, keep_runs=1)
+        assert rows(reader.table("fact_appointments"), "appointment_key")[0][10] == 50
+        assert len(list(Path(root, "bronze").glob("run-*"))) == 1
+        assert len(list(Path(root, "gold").glob("run-*"))) == 2  # versions 1 and 4
+    removed = run.retire(spark, root, 1)
+    # version 4 still names the months that version 1 has written
+    assert removed == [] and rows(run.gold_tables(spark, root)["fact_appointments"], "appointment_key")[0][10] == 62
+    run.run_pipeline(spark, write_sources(tmp_path / "c", appointments=[x.replace("50.00", "70.00") for x in MONTHS], bills=[
+        x.replace("paid", "overdue").replace("partial", "overdue").replace("pending", "overdue") for x in CLEAN["bills"]]), root, date(2024, 5, 1), keep_runs=1)
+    assert len(list(Path(root, "gold").glob("run-*"))) == 1
+    with pytest.raises(LookupError, match="has been removed"):
+        run.open_layer(spark, root, "gold", version=1).lease()
+    assert set(os.listdir(shared_dir(spark))) == staged  # no staged folder is left
+    with pytest.raises(ValueError):
+        run.retire(spark, root, 0)
+
+
+def test_a_failed_run_leaves_nothing_behind(spark, tmp_path):
+    root, staged = str(tmp_path / "wh"), set(os.listdir(shared_dir(spark)))
+    run.run_pipeline(spark, write_sources(tmp_path / "a"), root, D1, keep_runs=3)
+    before = {p.name for layer in run.LAYERS for p in Path(root, layer).glob("run-*")}
+    with pytest.raises(run.ConstraintError):
+        run.run_pipeline(spark, write_sources(tmp_path / "b", **{BROKEN[0][0]: [*CLEAN[BROKEN[0][0]], BROKEN[0][1]]}), root, D2, keep_runs=3)
+    after = {p.name for layer in ("silver", "gold") for p in Path(root, layer).glob("run-*")}
+    assert {n for n in after if "20240201" in n and Path(root, "gold", n).exists()} == set() and before >= {n for n in after if "20240101" in n}
+    assert set(os.listdir(shared_dir(spark))) == staged
+
+
+def test_keys_are_proven_by_what_was_written(spark, tmp_path):
+    store = Store(spark, str(tmp_path), "x", {"t": S.schema("dim_department")}, {"t": Layout("department_key")})
+
+    def proven(i, keys):
+        empty = S.empty(spark, "dim_department")
+        df = spark.createDataFrame([(k,) for k in keys], "department_key long").join(empty.drop("department_key"), F.lit(True), "left") \
+            .select(*empty.columns)
+        return dense(spark, {"t": store.write(f"run-{i}", "t", df)[0]})
+
+    assert proven(0, [3, 1, 2]) == {"t"} and proven(1, range(1, 500)) == {"t"} and proven(2, []) == {"t"}
+    for i, damaged in enumerate([[1, 1, 3], [1, 2, 2, 4], [2, 3], [0, 1, 2], [1, 3], [1, 2, 3, None], [1, 1, 3, 3, 5], [-1, 1, 3]]):
+        assert proven(10 + i, damaged) == set(), damaged
+
+
+def test_damage_is_found_with_and_without_a_proof(spark, tmp_path):
+    root = str(tmp_path / "wh")
+    run.run_pipeline(spark, write_sources(tmp_path / "a"), root, D1)
+    store, gold = run.open_layer(spark, root, "gold"), run.gold_tables(spark, root)
+    parts = {name: store.parts(name) for name in S.GOLD_TABLES}
+    names = dense(spark, parts)
+    assert names == set(S.GOLD_TABLES) - {"dim_date"}
+    run.check_integrity(gold, names)
+    twice = {**gold, "dim_patient": gold["dim_patient"].union(gold["dim_patient"])}
+    with pytest.raises(run.ConstraintError, match="several current versions of one patient_id"):
+        run.check_integrity(twice, names)
+    with pytest.raises(run.ConstraintError, match="duplicate department_id"):
+        run.check_integrity({**gold, "dim_department": gold["dim_department"].withColumn("department_id", F.lit(1))}, names)
+    spoilt = parts["fact_billing"][0]._replace(print=7)
+    assert "fact_billing" not in dense(spark, {**parts, "fact_billing": [spoilt, *parts["fact_billing"][1:]]})
+    with pytest.raises(run.ConstraintError, match="duplicate billing_key"):
+        run.check_integrity({**gold, "fact_billing": gold["fact_billing"].union(gold["fact_billing"])}, names - {"fact_billing"})
+
+
+def test_letter_case_and_trailing_blanks_may_be_ignored_in_a_run(spark, tmp_path):
+    shouted = [x.replace("Rome", "ROME") for x in CLEAN["patients"]]
+    visits = [x.replace("Completed", "Resting") for x in CLEAN["appointments"]]
+    for ignore_case, versions in ((True, 2), (False, 3)):
+        root = str(tmp_path / f"wh{ignore_case}")
+        run.run_pipeline(spark, write_sources(tmp_path / "a", appointments=visits), root, D1, ignore_case=ignore_case)
+        loud = [x.replace("Resting", "RESTING") for x in visits]
+        run.run_pipeline(spark, write_sources(tmp_path / "b", patients=shouted, appointments=loud), root, D2, ignore_case=ignore_case)
+        gold = run.gold_tables(spark, root)
+        assert gold["dim_patient"].count() == versions
+        stamps = {r["appointment_id"]: r["dwh_load_date"] for r in gold["fact_appointments"].collect()}
+        assert stamps[1] == (TS1 if ignore_case else TS2) and stamps[2] == TS1
+
+
+def test_date_forms_of_a_run(spark, tmp_path):
+    source = write_sources(tmp_path / "a", appointments=[CLEAN["appointments"][0].replace("2023-01-02", "02.01.2023")])
+    run.run_pipeline(spark, source, str(tmp_path / "x"), D1, formats=("dd.MM.yyyy",))
+    assert [r["date_key"] for r in run.gold_tables(spark, str(tmp_path / "x"))["fact_appointments"].collect()] == [20230102]
+    run.run_pipeline(spark, source, str(tmp_path / "y"), D1)
+    assert run.open_layer(spark, str(tmp_path / "y"), "silver").required("rejected_rows").count() == 1
+
+
+def test_each_raw_table_is_scanned_once(spark, tmp_path):
+    from stratalake.plans import silver
+    from stratalake.session import Staging
+
+    run.run_bronze(spark, write_sources(tmp_path / "a", appointments=[*CLEAN["appointments"], "x,1,1,1,1,2023-01-02,,,,,"]), str(tmp_path / "wh"), TS1)
+    raw = run.open_layer(spark, str(tmp_path / "wh"), "bronze").required("appointments")
+    with Staging(spark) as staged:
+        good, bad = silver.clean_table("appointments", raw, D1, TS1, staged=staged)
+        assert good.count() == 3 and [r["rejection_reason"] for r in bad.collect()] == ["invalid appointment_id"]
+        for df in (good, bad):
+            assert df.inputFiles() and not any("bronze" in f for f in df.inputFiles())
