@@ -95,7 +95,8 @@ def fact_upsert(fact: DataFrame, source: DataFrame, id_col: str, mutable: Mappin
     largest key given so far, where it is known.
     """
     rows = fact_changes(fact, source, id_col, mutable, lookups, load_ts, ignore_case)
-    kept, unseen = split(rows, fact.columns, [c for c in rows.columns if c in source.columns or c == "dwh_load_date"], staged)
+    new = [c for c in rows.columns if c in source.columns or c == "dwh_load_date"]
+    kept, unseen = split(rows, fact.columns, new, unstaged if fact.isEmpty() else staged)  # a first load joins nothing
     added = staged(lookup_keys(unseen, lookups))
     added = assign_keys(added, id_col, key_col, highest_key(fact, key_col) if highest is None else highest)
     return kept.unionByName(added.select(*fact.columns))

@@ -148,7 +148,7 @@ def layer_schemas(layer: str, id_type: str = "int") -> dict[str, T.StructType]:
 
 def empty(spark: SparkSession, table: str, id_type: str = "int") -> DataFrame:
     """A table that has no snapshot yet (SNK-4)."""
-    return spark.createDataFrame([], schema(table, id_type))
+    return spark.createDataFrame([], schema(table, id_type)).limit(0)  # the limit tells Spark that there are no rows
 
 
 def conform(df: DataFrame, table: str, id_type: str = "int") -> DataFrame:

@@ -163,7 +163,7 @@ def warehouse_load(spark: SparkSession, folder: str) -> DataFrame:
     source = _write_sources(spark, folder, S.BRONZE_TABLES)
     root = f"{shared_dir(spark)}/warehouse-{uuid.uuid4().hex}"
     run.run_pipeline(spark, source, root, AS_OF, LOAD_1, id_type="bigint",
-                     first_day=date(1995, 1, 1), last_day=date(2002, 12, 31))
+                     first_day=date(1995, 1, 1), last_day=date(2002, 12, 31), buckets=2)
     published = [
         run.open_layer(spark, root, layer, "bigint").log()
         .select(F.explode("tables").alias("tbl", "rows")).withColumn("tbl", F.concat(F.lit(f"{layer}."), "tbl"))

@@ -212,7 +212,8 @@ def test_each_side_of_a_merge_is_shuffled_once(spark, no_broadcast):
 def test_merging_into_nothing_needs_no_join(spark):
     plans = []
     snapshot = stage(spark.range(50).selectExpr("cast(id AS int) AS id", "'n' AS name", "'Rome' AS city", "1 AS dept"))
-    rows = scd2_merge(spark.createDataFrame([], DIM), snapshot, "id", ["name", "city", "dept"], TRACKED, "k", D[0], TS[0], staged=watched(plans))
+    rows = scd2_merge(spark.createDataFrame([], DIM).limit(0), snapshot, "id", ["name", "city", "dept"], TRACKED, "k", D[0], TS[0],
+                      staged=watched(plans))
     assert "Join" not in plans[0] and "Exchange" not in plans[0] and rows.count() == 50
 
 
