@@ -75,7 +75,7 @@ def write(pages: DataFrame, folder: str, id_column: str = "page_id", url_column:
 
 
 def _field(header: Column, name: str) -> Column:
-    found = F.regexp_extract(header, rf"(?m)^{name}: ?([^\r\n]*)", 1)
+    found = F.regexp_extract(header, rf"(?md)^{name}: ?([^\r\n]*)", 1)
     return F.when(found != "", found)
 
 
@@ -86,7 +86,7 @@ def read_headers(spark: SparkSession, folder: str) -> DataFrame:
     warc, http = F.substring_index(header, _END, 1), F.substring_index(F.substring_index(header, _END, -2), _END, 1)
 
     def id_in(name: str) -> Column:
-        found = F.regexp_extract(warc, rf"(?m)^{name}: <{_NAME}(-?\d+)>", 1)
+        found = F.regexp_extract(warc, rf"(?md)^{name}: <{_NAME}(-?\d+)>", 1)
         return F.when(found != "", found.cast("long"))
 
     return spark.read.parquet(f"{folder}/headers").select(
