@@ -82,27 +82,32 @@ def words_of(text: Column) -> Column:
 def repeated_words(words: Column) -> Column:
     """How many words lie in a 3-word window that comes up twice or more.
 
-    Windows are sorted as the upper bits of their hash followed by their place; neighbours of one hash
-    count if their words are equal.
+    Only a text whose window hashes are not all different is looked at closer: its windows are sorted as the upper
+    bits of their hash followed by their place, and neighbours of one hash count if their words are equal.
     """
-    def covered(all_: Column) -> Column:
+    shift = partial(F.call_function, "shiftright")
+
+    def covered(all_: Column, hashes: Column) -> Column:
         bits = F.length(F.bin(F.size(all_)))
-        shift = partial(F.call_function, "shiftright")
 
         def same(x: Column, other: Column) -> Column:
             mask = F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1
             at, to = x.bitwiseAND(mask).cast("int") + 1, other.bitwiseAND(mask).cast("int") + 1
             return (shift(x, bits) == shift(other, bits)) & (F.slice(all_, at, 3) == F.slice(all_, to, 3))
 
-        keys = F.transform(all_, lambda w, i: F.call_function("shiftleft", F.xxhash64(
-            w, F.get(all_, i + 1), F.get(all_, i + 2)), bits).bitwiseOR(i.cast("long")))
-        again = let(F.sort_array(F.slice(keys, 1, F.size(all_) - 2)), lambda s: F.transform(
+        keys = F.transform(hashes, lambda h, i: F.call_function("shiftleft", h, bits).bitwiseOR(i.cast("long")))
+        again = let(F.sort_array(keys), lambda s: F.transform(
             F.filter(s, lambda x, i: same(x, F.get(s, i + 1)) | same(x, F.get(s, i - 1))),
             lambda x: x.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1)))
         places = F.transform(again, lambda i: F.array(i, i + 1, i + 2))
-        return F.when(F.size(all_) < 4, 0).otherwise(F.size(F.array_distinct(F.flatten(places)))).cast("long")
+        return F.size(F.array_distinct(F.flatten(places)))
+
+    def windows(all_: Column) -> Column:
+        hashes = F.transform(all_, lambda w, i: F.xxhash64(w, F.get(all_, i + 1), F.get(all_, i + 2)))
+        return F.slice(hashes, 1, F.greatest(F.size(all_) - 2, F.lit(0)))
 
-    return let(words, covered)
+    return let(words, lambda all_: let(windows(all_), lambda hashes: F.when(
+        F.size(F.array_distinct(hashes)) < F.size(hashes), covered(all_, hashes)).otherwise(0))).cast("long")
 
 
 def duplicate_lines(text: Column) -> Column:
@@ -137,13 +142,15 @@ def references(df: DataFrame, language: Column, rules: Rules) -> DataFrame:
     """Per language (NULL: all documents, classes only): docs, total (of words), classes (shares), words and
     shares (the last: all other words)."""
     shares = F.transform(class_counts(df), lambda n: F.floor(n * 1_000_000 / F.length(df["_text"])).cast("long"))
+    # words hold no blank, so keys that start with one are free for the other counts
     entries = F.concat(
-        F.array(F.struct(F.lit("docs").alias("kind"), F.lit("").alias("key"), F.lit(1).cast("long").alias("n"))),
-        F.transform(shares, lambda n, i: F.struct(F.lit("class").alias("kind"), i.cast("string").alias("key"), n.alias("n"))),
-        F.transform("_words", lambda w: F.struct(F.lit("word").alias("kind"), w.alias("key"), F.lit(1).cast("long").alias("n"))))
+        F.array(F.struct(F.lit(" docs").alias("key"), F.lit(1).cast("long").alias("n"))),
+        F.transform(shares, lambda n, i: F.struct(F.concat(F.lit(" class "), i.cast("string")).alias("key"), n.alias("n"))),
+        F.transform("_words", lambda w: F.struct(w.alias("key"), F.lit(1).cast("long").alias("n"))))
     entries = F.when(df["n_words"] >= rules.min_words, entries)  # not a filter, which would split texts once more
-    counts = stage(df.select(language.alias("language"), F.inline(entries))
-                   .groupBy("language", "kind", "key").agg(F.sum("n").alias("n")))
+    found = stage(df.select(language.alias("language"), F.inline(entries)).groupBy("language", "key").agg(F.sum("n").alias("n")))
+    kind = F.when(F.col("key") == " docs", "docs").when(F.col("key").startswith(" "), "class").otherwise("word")
+    counts = found.select("language", kind.alias("kind"), F.regexp_replace("key", "^ (docs|class )", "").alias("key"), "n")
     pooled = counts.filter("kind <> 'word'").groupBy("kind", "key").agg(F.sum("n").alias("n")).select(F.lit(None).cast("string").alias("language"), "kind", "key", "n")
     counts = counts.filter("language is not null").unionByName(pooled)
 
@@ -175,14 +182,22 @@ def js_distance(p: Column, q: Column) -> Column:
     return F.sqrt(F.greatest(F.lit(0.0), total / 2))
 
 
-def word_shares(words: Column, common: Column) -> Column:
-    """Shares of the common words among the words, and of all others."""
+def word_shares(words: Column, common: Column, most: int) -> Column:
+    """Shares of the at most ``most`` common words among the words, and of all others.
+
+    Every common word becomes a character of its own and all others nothing, so counting a word is counting a character.
+    """
+    marks = [chr(48 + i) for i in range(most)]
+    by_place = F.array(F.lit(""), *map(F.lit, marks))
+
     def shares(found: Column, total: Column) -> Column:
-        return F.concat(F.transform(common, lambda c: (F.size(found) - F.size(F.array_remove(found, c))) / total),
-                        F.array((total - F.size(found)) / total))
+        counts = F.transform(F.slice(F.array(*map(F.lit, marks)), 1, F.size(common)), lambda mark: (
+            F.length(found) - F.length(F.replace(found, mark, F.lit("")))) / total)
+        return F.concat(counts, F.array((total - F.length(found)) / total))
 
-    return let(words, lambda all_: let(F.filter(all_, lambda w: F.array_contains(common, w)),
-                                       lambda found: shares(found, F.size(all_))))
+    return let(words, lambda all_: let(
+        F.array_join(F.transform(all_, lambda w: F.get(by_place, F.array_position(common, w).cast("int"))), ""),
+        lambda found: shares(found, F.size(all_))))
 
 
 def judge(docs: DataFrame, text_column: str = "text", language_column: str = "lang", rules: Rules = Rules()) -> DataFrame:
@@ -203,7 +218,7 @@ def judge(docs: DataFrame, text_column: str = "text", language_column: str = "la
         "class_distance": F.when(~F.col("base_failed") & (chars >= rules.min_chars) & (F.size(compared) > 0), let(
             shares, lambda found: F.array_min(F.transform(compared, lambda classes: js_distance(found, classes))))),
         "word_distance": F.when(~F.col("base_failed") & (F.col("n_words") >= rules.min_judged_words) & F.col("words").isNotNull(),
-                                js_distance(word_shares(F.col("_words"), F.col("words")), F.col("shares"))),
+                                js_distance(word_shares(F.col("_words"), F.col("words"), rules.common_words), F.col("shares"))),
     })
     strays = (F.col("class_distance") > rules.class_limit + rules.class_slack / F.sqrt(chars)) \
         | (F.col("word_distance") > rules.word_limit + rules.word_slack / F.sqrt("n_words"))
