@@ -1,6 +1,7 @@
 """Plain single-process versions of the operators, for small tables."""
 
 import hashlib
+import math
 import re
 import string
 import zlib
@@ -64,7 +65,7 @@ def shingles(text, size=4):
     return {tuple(found[i:i + size]) for i in range(max(1, len(found) - size + 1))} if found else set()
 
 
-def near_duplicates(docs, percent=85):
+def near_duplicates(docs, percent=85, size=4):
     """{id: smallest id it can reach}."""
     parent = {i: i for i, _ in docs}
 
@@ -73,7 +74,7 @@ def near_duplicates(docs, percent=85):
             i = parent[i]
         return i
 
-    sets = [(i, shingles(text)) for i, text in docs]
+    sets = [(i, shingles(text, size)) for i, text in docs]
     for n, (i, a) in enumerate(sets):
         for j, b in sets[:n]:
             if a and b and 100 * len(a & b) >= percent * len(a | b):
@@ -91,6 +92,41 @@ def base_rules(text):
     return (len(found), sum(map(len, found)), sum(text.count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)), len(covered))
 
 
+def quality(docs):
+    """The rows of op9 for (id, text, lang): id, base columns, base_failed, kept."""
+    def classes(text, base):
+        found = [len(re.findall("[A-Z\xc0-\xde]", text)), len(re.findall(r"[.,;:?!'\"()-]", text)), len(text) - base[1], base[2]]
+        return [*found, len(text) - sum(found)]
+
+    def distance(p, q):
+        return math.sqrt(max(0, sum(x * math.log2(x / ((a + b) / 2)) for a, b in zip(p, q) for x in (a, b) if x > 0) / 2))
+
+    judged = [(i, text or "", lang, base_rules(text)) for i, text, lang in docs]
+    learnt = [(lang, classes(text, base), len(text), words(text)) for _, text, lang, base in judged if base[0] >= 50]
+    sums, holders, counts = defaultdict(lambda: [0] * 5), Counter(), defaultdict(Counter)
+    for lang, found, size, held in learnt:
+        for key in (lang, "all"):
+            sums[key] = [a + n * 1_000_000 // size for a, n in zip(sums[key], found)]
+        holders[lang] += 1
+        counts[lang].update(held)
+    shares = {lang: [n / sum(total) for n in total] for lang, total in sums.items()}
+    own = [lang for lang in holders if lang is not None and holders[lang] >= 20 and counts[lang].total() >= 5000]
+    common = {lang: sorted(counts[lang], key=lambda w: (-counts[lang][w], w))[:24] for lang in own}
+    out = []
+    for i, text, lang, base in judged:
+        failed, strays = base[0] < 50 or 100 * base[4] > 50 * base[0], False
+        compared = [shares[lang]] if lang in own else [shares[k] for k in [*own, "all"] if k in shares] if lang is None else []
+        if not failed and len(text) >= 100 and compared:
+            found = [n / len(text) for n in classes(text, base)]
+            strays = min(distance(found, c) for c in compared) > 0.13 + 1 / math.sqrt(len(text))
+        if not failed and lang in own:
+            held, total = Counter(words(text)), counts[lang].total()
+            p, q = [held[w] / base[0] for w in common[lang]], [counts[lang][w] / total for w in common[lang]]
+            strays |= distance([*p, 1 - sum(p)], [*q, 1 - sum(q)]) > 0.14 + 1.65 / math.sqrt(base[0])
+        out.append((i, *base, failed, not failed and not strays))
+    return out
+
+
 def dedup_units(docs, min_words=6):
     """(kept text, [(start, end)]) of every (id, text), ids distinct and not NULL."""
     seen, out = set(), {}

@@ -181,11 +181,15 @@ def test_decode_of_unknown_and_broken_ids():
 def test_warc_round_trip(spark, tmp_path):
     pages = [(1, "http://a/", "same é"), (2, "http://b/\r\nX: y", "same é"), (3, None, None), (4, "http://d", ""), (5, "http://e", "other\r\n\r\nend"),
              (2, "http://b2", "same é"), (None, "http://n", "same é")]
+    # other line ends than those of a header do not start one of its lines
+    pages += [(10 + i, f"http://u{end}{field}", f"page {i} é{end}") for i, (end, field) in enumerate(
+        (end, field) for end in "\x85\u2028\u2029\x0b\x0c" for field in ("WARC-Payload-Digest: sha1:AAAA", "WARC-Refers-To: <urn:page:7>", "WARC-Type: x"))]
     table = spark.createDataFrame([(*p, "x") for p in pages], "page_id long, url string, html string, digest string")
     warc.write(table, str(tmp_path / "archive"))
     rows = warc.read(spark, str(tmp_path / "archive")).collect()
-    assert spark.read.parquet(str(tmp_path / "archive/payloads")).count() == 3
-    assert sorted((r["id"] or -1, r["record_type"], r["refers_to"]) for r in rows) == sorted([
+    assert spark.read.parquet(str(tmp_path / "archive/payloads")).count() == 18
+    assert all((r["record_type"], r["refers_to"], r["url"]) == ("response", None, dict(p[:2] for p in pages)[r["id"]]) for r in rows if (r["id"] or 0) >= 10)
+    assert sorted((r["id"] or -1, r["record_type"], r["refers_to"]) for r in rows if (r["id"] or 0) < 10) == sorted([
         (-1, "revisit", 2), (1, "revisit", 2), (2, "response", None), (2, "response", None), (3, "revisit", 4), (4, "response", None), (5, "response", None)],
         key=lambda r: (r[0], r[1], r[2] or 0))
     for r in rows:
@@ -195,7 +199,7 @@ def test_warc_round_trip(spark, tmp_path):
         assert head.startswith(b"WARC/1.1\r\nWARC-Type: ") and b"\r\nX: y" not in head
         length = int(next(x for x in head.split(b"\r\n") if x.startswith(b"Content-Length")).split(b":")[1])
         assert block[length:] == b"\r\n\r\n" and block[:length].split(b"\r\n\r\n", 1)[1] == (payload if r["record_type"] == "response" else b"")
-    assert warc.verified(spark, str(tmp_path / "archive")).count() == 7
+    assert warc.verified(spark, str(tmp_path / "archive")).count() == len(pages)
 
 
 def test_warc_notices_damage_and_keeps_small_payloads_apart(spark, tmp_path):
@@ -411,18 +415,27 @@ def test_query_equals_sql(spark, name):
     assert compare(queries.registered()[name](spark, FOLDER), connect(FOLDER), oracles.ORACLES[name]) is None
 
 
+@needs_data
+@pytest.mark.parametrize("without", [None, "fr"])
+def test_quality_rules_equal_plain_version(spark, tmp_path, without):
+    """Over the whole table, and with one language's documents left without a language."""
+    table = spark.read.parquet(f"{FOLDER}/documents.parquet").withColumn("lang", F.nullif("lang", F.lit(without)))
+    table.write.parquet(f"{tmp_path}/documents.parquet")
+    docs = [tuple(r) for r in table.select("doc_id", "text", "lang").collect()]
+    expected = sorted(brute.quality(docs))
+    assert sorted(map(tuple, queries.op9_quality_rules(spark, str(tmp_path)).collect())) == expected
+    assert 0 < sum(r[-1] for r in expected) < sum(not r[-2] for r in expected)
+
+
 @needs_data
 def test_pipeline_equals_plain_version(spark, library):
     import corpus_pipeline
 
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
-    table = spark.read.parquet(f"{FOLDER}/documents.parquet")
-    kept = [(r["doc_id"], r["text"]) for r in quality_rules.judge(table).filter("kept").select("doc_id", "text").collect()]
-    for i, text in kept:
-        base = brute.base_rules(text)
-        assert base[0] >= 50 and 100 * base[4] <= 50 * base[0]
+    table = [tuple(r) for r in spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text", "lang").collect()]
+    kept = [(i, text) for (i, text, _), row in zip(table, brute.quality(table)) if row[-1]]
     kept = [(i, text) for (i, _), (text, _, _) in zip(kept, brute.line_dedup(kept))]
-    groups = brute.near_duplicates(kept)
+    groups = brute.near_duplicates(kept, percent=80, size=5)
     kept = [(i, text) for i, text in kept if groups[i] == i]
     items = [tuple(r) for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").select("item_id", "text").collect()]
     kept = [row for row, (_, hit, _) in zip(kept, brute.hits([t for _, t in kept], items)) if not hit]
