@@ -182,4 +182,6 @@ def reject_log(rejected: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def reject_counts(log: DataFrame) -> DataFrame:
-    return log.groupBy("source_table", "rejection_reason").agg(F.count(F.lit(1)).alias("count"))
+    """Rejected rows per table and reason, by table and the most frequent first; one row per pair, so the sort is small."""
+    counts = log.groupBy("source_table", "rejection_reason").agg(F.count(F.lit(1)).alias("count"))
+    return counts.orderBy("source_table", F.desc("count"), "rejection_reason")

@@ -284,14 +284,14 @@ _CLEAN = {
 }
 
 
-def _clean(table: str, keep: str = "true") -> str:
+def _clean(table: str, keep: str = "true", load: int | None = None) -> str:
     """Accepted rows of a raw table, newest per id."""
     key, checks, newest, projection = _CLEAN[table]
     bad = " OR ".join(f"({sql})" for _, sql in checks)
     order = ([f"{newest} DESC NULLS LAST"] if newest else []) + [
         f"{c} ASC NULLS FIRST" for c in RAW[table] if c != newest]
     return (f"SELECT {projection} FROM (SELECT *, row_number() OVER (PARTITION BY {_int(key)} ORDER BY {', '.join(order)}) AS rn "
-            f"FROM ({untidy_sql(table)}) AS raw WHERE NOT ({bad}) AND ({keep})) AS ranked WHERE rn = 1")
+            f"FROM ({untidy_sql(table, load)}) AS raw WHERE NOT ({bad}) AND ({keep})) AS ranked WHERE rn = 1")
 
 
 def _rejects(table: str, keep: str = "true") -> str:
@@ -482,6 +482,92 @@ SELECT {_BILL_OUT}, CASE WHEN moved THEN '1999-07-01 00:00:00' ELSE '1998-07-01
 UNION ALL SELECT {_BILL_OUT}, '1999-07-01 00:00:00' FROM added""")
 
 
+# A whole run, twice ------------------------------------------------------------------------------
+
+def _differ(names: dict[str, str]) -> str:
+    return " OR ".join(f"coalesce(x.{c}, {blank}) <> coalesce(y.{c}, {blank})" for c, blank in names.items())
+
+
+def _versions(name: str, table: str, id_col: str, tracked: dict[str, str]) -> str:
+    """<name>1 and <name>2 (both loads), <name>_changes and <name>_dim (all versions, with key)."""
+    loads = ", ".join(f"{name}{n} AS MATERIALIZED (SELECT * RENAME ({id_col} AS id) FROM ("
+                      + _clean(table, load=n).replace("2024 - year", f"{year} - year") + "))" for n, year in ((1, 1995), (2, 1998)))
+    ranked = f"{name}_old AS (SELECT *, row_number() OVER (ORDER BY id) AS key FROM {name}1)"
+    changes = f"{name}_changes AS (SELECT x.id FROM {name}1 x JOIN {name}2 y ON x.id = y.id WHERE {_differ(tracked)})"
+    return f"""{loads}, {ranked}, {changes}, {name}_dim AS (
+  SELECT *, '1995-01-01' AS effective_date, CASE WHEN id IN (SELECT id FROM {name}_changes) THEN '1998-07-01' END AS end_date,
+         id NOT IN (SELECT id FROM {name}_changes) AS is_current, '1998-07-01 00:00:00' AS dwh_load_date FROM {name}_old
+  UNION ALL BY NAME
+  SELECT *, (SELECT count(*) FROM {name}1) + row_number() OVER (ORDER BY id) AS key, '1998-07-01' AS effective_date, NULL AS end_date,
+         true AS is_current, '1999-07-01 00:00:00' AS dwh_load_date FROM {name}2
+  WHERE id NOT IN (SELECT id FROM {name}1) OR id IN (SELECT id FROM {name}_changes))"""
+
+
+def _keyed(name: str, table: str, id_col: str) -> str:
+    """Keys of a dimension that both loads deliver alike."""
+    return f"{name}_dim AS MATERIALIZED (SELECT {id_col} AS id, row_number() OVER (ORDER BY {id_col}) AS key, true AS is_current FROM ({_clean(table)}))"
+
+
+def _loaded(name: str, table: str, id_col: str, day: str, dims: dict[str, str], tracked: dict[str, str]) -> str:
+    """<name>_fact: the fact after both loads, with fact_key and dwh_load_date."""
+    def found(load: int) -> str:
+        keys = {**dims} if load == 2 else {d: i for d, i in dims.items()}
+        joins = " ".join(f"JOIN (SELECT id AS {d}_id_, key AS {d}_key FROM {d}_{'old' if load == 1 and d in ('p', 'd') else 'dim'} "
+                         + ("" if load == 1 and d in ("p", "d") else "WHERE is_current") + f") {d}k ON {d}_id_ = {i}" for d, i in keys.items())
+        return (f"SELECT s.*, CAST(strftime(CAST({day} AS DATE), '%Y%m%d') AS INT) AS date_key, {', '.join(f'{d}_key' for d in dims)} "
+                f"FROM {name}{load} s {joins} WHERE {day} BETWEEN '1995-01-01' AND '2002-12-31'")
+
+    moved = f"(y.{id_col} IS NOT NULL AND ({_differ(tracked)}))"
+    taken = ", ".join(f"CASE WHEN {moved} THEN y.{c} ELSE x.{c} END AS {c}" for c in tracked)
+    return f"""{name}1 AS MATERIALIZED ({_clean(table, load=1)}), {name}2 AS MATERIALIZED ({_clean(table, load=2)}),
+{name}_first AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY {id_col}) AS fact_key FROM ({found(1)})),
+{name}_fact AS (
+  SELECT x.* REPLACE ({taken}), CASE WHEN {moved} THEN '1999-07-01 00:00:00' ELSE '1998-07-01 00:00:00' END AS dwh_load_date
+  FROM {name}_first x LEFT JOIN {name}2 y ON x.{id_col} = y.{id_col}
+  UNION ALL BY NAME
+  SELECT *, (SELECT count(*) FROM {name}_first) + row_number() OVER (ORDER BY {id_col}) AS fact_key, '1999-07-01 00:00:00' AS dwh_load_date
+  FROM ({found(2)}) WHERE {id_col} NOT IN (SELECT {id_col} FROM {name}_first))"""
+
+
+def _content(table: str, source: str, columns: str) -> str:
+    parts = ", '|', ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in columns.split(", "))
+    return f"SELECT '{table}' AS tbl, concat({parts}) AS content FROM {source}"
+
+
+def _amount(c: str, kind: str) -> str:
+    return f"CAST({c} AS {kind})"
+
+
+_CENTS = {c: f"CAST({c} * 100 AS HUGEINT)" for c in ("patient_paid", "insurance_covered", "total_amount")}
+_TWICE_RECOVERY = (f"CASE WHEN total_amount > 0 THEN CAST((20000 * ({_CENTS['patient_paid']} + {_CENTS['insurance_covered']}) + {_CENTS['total_amount']}) "
+                   f"// (2 * {_CENTS['total_amount']}) AS DECIMAL(18,0)) * 0.01 ELSE 0 END")
+TWO_LOADS = "WITH " + ",\n".join((
+    _versions("p", "patients", "patient_id", {"insurance_status": "''", "city": "''", "country": "''"}),
+    _versions("d", "doctors", "doctor_id", {"specialization": "''", "department_id": "0", "status": "''"}),
+    _keyed("dep", "departments", "department_id"), _keyed("t", "treatments", "treatment_id"),
+    _keyed("i", "insurance_providers", "insurance_id"),
+    _loaded("a", "appointments", "appointment_id", "appointment_date",
+            {"p": "patient_id", "d": "doctor_id", "dep": "department_id", "t": "treatment_id"},
+            {"status": "''", "duration_minutes": "-1", "consultation_fee": "-1"}),
+    _loaded("b", "bills", "bill_id", "bill_date",
+            {"p": "patient_id", "d": "doctor_id", "t": "treatment_id", "i": "insurance_id"},
+            {"payment_status": "''", "total_amount": "-1", "insurance_covered": "-1", "patient_paid": "-1", "outstanding_amount": "-1"}),
+    "b_money AS (SELECT * REPLACE (" + ", ".join(f"CAST({c} AS DECIMAL(18,2)) AS {c}" for c in (
+        "total_amount", "insurance_covered", "patient_paid", "outstanding_amount")) + ") FROM b_fact)",
+)) + "\n" + "\nUNION ALL ".join((
+    _content("dim_patient", "p_dim", "key, id, first_name, last_name, full_name, gender, birth_date, age, blood_type, city, country, "
+             "insurance_status, registration_date, effective_date, end_date, is_current, dwh_load_date"),
+    _content("dim_doctor", "d_dim", "key, id, first_name, last_name, full_name, specialization, department_id, qualification, hire_date, "
+             "status, effective_date, end_date, is_current, dwh_load_date"),
+    _content("fact_appointments", "(SELECT * REPLACE (CAST(consultation_fee AS DECIMAL(10,2)) AS consultation_fee) FROM a_fact)",
+             "fact_key, appointment_id, date_key, p_key, d_key, dep_key, t_key, appointment_time, status, duration_minutes, "
+             "consultation_fee, dwh_load_date"),
+    _content("fact_billing", f"(SELECT *, CAST({_TWICE_RECOVERY} AS DECIMAL(10,2)) AS recovery_rate FROM b_money)",
+             "fact_key, bill_id, appointment_id, date_key, p_key, d_key, t_key, i_key, payment_status, total_amount, insurance_covered, "
+             "patient_paid, outstanding_amount, recovery_rate, dwh_load_date"),
+))
+
+
 def _misses(fact: str, cte: str, lookups: dict[str, str]) -> str:
     return " UNION ALL ".join(
         f"SELECT '{column}' AS lookup, count(*) AS missing_rows, count(DISTINCT coalesce(CAST({column} AS VARCHAR), 'none')) "
@@ -532,9 +618,10 @@ ORACLES: dict[str, str] = {
     "silver_row_counts": " UNION ALL ".join(
         f"SELECT 'silver.{t}' AS tbl, count(*) AS rows FROM ({_clean(t)}) AS c" for t in RAW),
     "dedup_lineitem": _with(ITEMS, select="SELECT * FROM items"),
-    "bronze_bills_csv": "SELECT *, CAST(NULL AS VARCHAR) AS malformed_line, 'bills.csv' AS dwh_source, "
-                        f"'1998-07-01 00:00:00' AS dwh_load_date FROM ({untidy_sql('bills')}) AS raw",
+    **{f"bronze_{table}_csv": f"SELECT *, CAST(NULL AS VARCHAR) AS malformed_line, '{table}.csv' AS dwh_source, "
+                              f"'1998-07-01 00:00:00' AS dwh_load_date FROM ({untidy_sql(table)}) AS raw" for table in RAW},
     "warehouse_load": WAREHOUSE,
+    "warehouse_two_loads": TWO_LOADS,
     "surrogate_keys": "SELECT o_orderkey * 1000003 - 5 AS id, 100 + row_number() OVER (ORDER BY o_orderkey) AS order_key "
                       "FROM orders",
     "scd1_treatments": SCD1_TREATMENTS,

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Sequence
-from datetime import date
+from collections.abc import Callable, Mapping, Sequence
+from datetime import date, datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -129,7 +129,7 @@ def reject_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def reject_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return silver.reject_counts(_rejects(spark, folder)).orderBy("source_table", F.desc("count"))
+    return silver.reject_counts(_rejects(spark, folder))
 
 
 def silver_row_counts(spark: SparkSession, folder: str) -> DataFrame:
@@ -140,30 +140,34 @@ def dedup_lineitem(spark: SparkSession, folder: str) -> DataFrame:
     return star.line_items(spark, folder)
 
 
-def bronze_bills_csv(spark: SparkSession, folder: str) -> DataFrame:
-    """Raw bills written as a delimited file and loaded back with audit columns."""
-    source = _write_sources(spark, folder, ["bills"])
-    return load_bronze(spark, source, LOAD_1, {"bills": S.RAW["bills"]})["bills"]
+def _bronze_query(table: str) -> Callable[[SparkSession, str], DataFrame]:
+    """A raw table written as a delimited file and loaded back with audit columns."""
+    def load(spark: SparkSession, folder: str) -> DataFrame:
+        source = _write_sources(spark, {table: star.untidy(spark, folder, table)})
+        return load_bronze(spark, source, LOAD_1, {table: S.RAW[table]})[table]
+    return load
 
 
-def _write_sources(spark: SparkSession, folder: str, names: Sequence[str]) -> str:
+def _write_sources(spark: SparkSession, tables: Mapping[str, DataFrame]) -> str:
     source = f"{shared_dir(spark)}/sources-{uuid.uuid4().hex}"
-    for name in names:
-        rows = star.untidy(spark, folder, name)
-        if "last_name" in rows.columns:
-            # a missing last name would break a constraint and stop the run
-            rows = rows.withColumn("last_name", F.coalesce("last_name", F.lit("Unknown")))
+    for name, rows in tables.items():
         rows.write.options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(
             f"{source}/{name}.csv")
     return source
 
 
+def _whole_run(spark: SparkSession, folder: str, root: str, as_of: date, stamp: datetime, load: int | None = None) -> None:
+    raw = {name: star.untidy(spark, folder, name, load) for name in S.BRONZE_TABLES}
+    if load is None:  # a missing last name would break a constraint and stop the run
+        raw |= {name: raw[name].withColumn("last_name", F.coalesce("last_name", F.lit("Unknown"))) for name in ("patients", "doctors")}
+    run.run_pipeline(spark, _write_sources(spark, raw), root, as_of, stamp, id_type="bigint",
+                     first_day=date(1995, 1, 1), last_day=date(2002, 12, 31), buckets=2)
+
+
 def warehouse_load(spark: SparkSession, folder: str) -> DataFrame:
     """All seven raw tables through files, cleaning, star schema and publication; rows per published table."""
-    source = _write_sources(spark, folder, S.BRONZE_TABLES)
     root = f"{shared_dir(spark)}/warehouse-{uuid.uuid4().hex}"
-    run.run_pipeline(spark, source, root, AS_OF, LOAD_1, id_type="bigint",
-                     first_day=date(1995, 1, 1), last_day=date(2002, 12, 31), buckets=2)
+    _whole_run(spark, folder, root, AS_OF, LOAD_1)
     published = [
         run.open_layer(spark, root, layer, "bigint").log()
         .select(F.explode("tables").alias("tbl", "rows")).withColumn("tbl", F.concat(F.lit(f"{layer}."), "tbl"))
@@ -172,6 +176,18 @@ def warehouse_load(spark: SparkSession, folder: str) -> DataFrame:
     return reduce(DataFrame.unionByName, published)
 
 
+def warehouse_two_loads(spark: SparkSession, folder: str) -> DataFrame:
+    """Every row of the published facts and of the dimensions that keep history, as text, after two whole loads."""
+    root = f"{shared_dir(spark)}/warehouse-{uuid.uuid4().hex}"
+    _whole_run(spark, folder, root, DAY_1, LOAD_1, 1)
+    _whole_run(spark, folder, root, DAY_2, LOAD_2, 2)
+    published = run.gold_tables(spark, root, "bigint")
+    return reduce(DataFrame.unionByName, [
+        published[name].select(F.lit(name).alias("tbl"), F.concat_ws("|", *[
+            F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in published[name].columns]).alias("content"))
+        for name in ("dim_patient", "dim_doctor", "fact_appointments", "fact_billing")])
+
+
 # Keys and dimension merges ---------------------------------------------------------------------
 
 def surrogate_keys(spark: SparkSession, folder: str) -> DataFrame:
@@ -522,8 +538,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "reject_counts": reject_counts,
     "silver_row_counts": silver_row_counts,
     "dedup_lineitem": dedup_lineitem,
-    "bronze_bills_csv": bronze_bills_csv,
+    **{f"bronze_{table}_csv": _bronze_query(table) for table in S.BRONZE_TABLES},
     "warehouse_load": warehouse_load,
+    "warehouse_two_loads": warehouse_two_loads,
     "surrogate_keys": surrogate_keys,
     "scd1_treatments": scd1_treatments,
     "scd1_departments": scd1_departments,

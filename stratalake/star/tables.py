@@ -307,21 +307,40 @@ def _replaced(base: Mapping[str, str], changed: Mapping[str, str]) -> list[str]:
     return [f"{changed.get(name, text)} AS {name}" for name, text in base.items()]
 
 
-def untidy_sql(table: str) -> str:
-    """The raw table as one SELECT over the star schema."""
+# Two loads of a whole run: rows that only the second delivers, rows that it no longer delivers, and what it changes.
+LOADS = {1: "k % 8 <> 3", 2: "k % 8 <> 5"}
+_SECOND = {
+    "patients": {"city": "CASE WHEN k % 10 = 0 THEN 'Second' ELSE {} END",
+                 "first_name": "CASE WHEN k % 6 = 0 THEN 'Renamed' ELSE {} END"},  # not tracked
+    "doctors": {"status": "CASE WHEN k % 4 = 0 THEN 'active' ELSE {} END"},
+    "appointments": {"status": "CASE WHEN l_partkey % 4 = 0 THEN 'complete' ELSE {} END",
+                     "consultation_fee": "CASE WHEN l_partkey % 11 = 0 THEN '77.70' ELSE {} END"},
+    "bills": {"patient_paid": "CASE WHEN k % 6 = 0 THEN '1.25' ELSE {} END"},
+}
+
+
+def untidy_sql(table: str, load: int | None = None) -> str:
+    """The raw table as one SELECT over the star schema; with ``load``, as the first or second of two loads delivers it."""
     spec = UNTIDY[table]
-    sql = f"SELECT {', '.join(_replaced(spec['columns'], {}))} FROM {spec['from']} AS t"
+    columns, kept = dict(spec["columns"]), "true"
+    if load and table in _SECOND:
+        kept = LOADS[load]
+        # a missing last name would break a constraint and stop the run
+        columns |= {"last_name": f"coalesce({columns['last_name']}, 'Unknown')"} if "last_name" in columns else {}
+        if load == 2:
+            columns |= {c: sql.format(columns[c]) for c, sql in _SECOND[table].items()}
+    sql = f"SELECT {', '.join(_replaced(columns, {}))} FROM {spec['from']} AS t WHERE {kept}"
     if spec["again"]:
-        sql += (f" UNION ALL SELECT {', '.join(_replaced(spec['columns'], spec['changed']))} "
-                f"FROM {spec['from']} AS t WHERE {spec['again']}")
+        sql += (f" UNION ALL SELECT {', '.join(_replaced(columns, spec['changed']))} "
+                f"FROM {spec['from']} AS t WHERE {spec['again']} AND {kept}")
     return sql
 
 
-def untidy(spark: SparkSession, folder: str, table: str) -> DataFrame:
+def untidy(spark: SparkSession, folder: str, table: str, load: int | None = None) -> DataFrame:
     """The raw table as a DataFrame."""
     spec = UNTIDY[table]
     names = [n for n in ("customer", "supplier", "part", "orders", "lineitem") if n in spec["from"]]
-    text = untidy_sql(table)
+    text = untidy_sql(table, load)
     for name in names:  # pass the tables as arguments instead of registering views
         text = text.replace(f"FROM {name}", f"FROM {{{name}}}").replace(f"JOIN {name} ", f"JOIN {{{name}}} ")
     return spark.sql(text, **{name: read(spark, folder, name) for name in names})

@@ -105,3 +105,18 @@ def test_malformed_lines_are_rejected_and_audit_columns_added(spark, tmp_path):
     row = log.collect()[0]
     assert row["rejection_reason"] == "malformed row" and json.loads(row["raw_row_json"])["malformed_line"] == "2,Short"
     assert [tuple(r) for r in silver.reject_counts(log).collect()] == [("bronze.departments", "malformed row", 1)]
+
+
+def test_reject_counts_come_in_order(spark):
+    log = spark.createDataFrame([(t, r) for t, r, n in (("b", "x", 2), ("b", "y", 5), ("a", "z", 1), ("b", "w", 2), ("a", "x", 7)) for _ in range(n)],
+                                "source_table string, rejection_reason string").repartition(4)
+    assert [tuple(r) for r in silver.reject_counts(log).collect()] == [("a", "x", 7), ("a", "z", 1), ("b", "y", 5), ("b", "w", 2), ("b", "x", 2)]
+
+
+def test_a_date_is_parsed_once_per_row(spark):
+    """The plan names the parser of each format once, whatever uses the day."""
+    raw = spark.createDataFrame([], ", ".join(f"{c} string" for c in S.RAW["bills"])).repartition(1)
+    accepted, rejected = silver.clean_table("bills", raw, AS_OF, TS)
+    for df in (accepted, rejected):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("gettimestamp") == 3 and plan.count("as date)") <= 6

@@ -11,7 +11,7 @@ from stratalake.star.queries import registered
 from tests.oracle_check import compare, connect
 
 FOLDER = "/root/testdata/sf0.001"
-SLOW = {"warehouse_load"}  # whole runs are covered by test_pipeline
+SLOW = {"warehouse_load", "warehouse_two_loads"}  # whole runs are covered by test_pipeline
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test data not present")
 
