@@ -103,8 +103,8 @@ def repeated_words(words: Column) -> Column:
         return F.size(F.array_distinct(F.flatten(places)))
 
     def windows(all_: Column) -> Column:
-        hashes = F.transform(all_, lambda w, i: F.xxhash64(w, F.get(all_, i + 1), F.get(all_, i + 2)))
-        return F.slice(hashes, 1, F.greatest(F.size(all_) - 2, F.lit(0)))
+        return let(F.transform(all_, lambda w: F.xxhash64(w)), lambda h: F.slice(
+            F.transform(h, lambda x, i: F.xxhash64(x, F.get(h, i + 1), F.get(h, i + 2))), 1, F.greatest(F.size(h) - 2, F.lit(0))))
 
     return let(words, lambda all_: let(windows(all_), lambda hashes: F.when(
         F.size(F.array_distinct(hashes)) < F.size(hashes), covered(all_, hashes)).otherwise(0))).cast("long")
@@ -195,9 +195,13 @@ def word_shares(words: Column, common: Column, most: int) -> Column:
             F.length(found) - F.length(F.replace(found, mark, F.lit("")))) / total)
         return F.concat(counts, F.array((total - F.length(found)) / total))
 
-    return let(words, lambda all_: let(
-        F.array_join(F.transform(all_, lambda w: F.get(by_place, F.array_position(common, w).cast("int"))), ""),
-        lambda found: shares(found, F.size(all_))))
+    def found(all_: Column, longest: Column) -> Column:
+        # most words are longer than the common ones and need not be compared with them
+        return F.array_join(F.transform(all_, lambda w: F.when(
+            F.length(w) <= longest, F.get(by_place, F.array_position(common, w).cast("int")))), "")
+
+    return let(words, lambda all_: let(F.array_max(F.transform(common, lambda c: F.length(c))), lambda longest: let(
+        found(all_, longest), lambda marked: shares(marked, F.size(all_)))))
 
 
 def judge(docs: DataFrame, text_column: str = "text", language_column: str = "lang", rules: Rules = Rules()) -> DataFrame:
