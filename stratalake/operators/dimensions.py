@@ -54,7 +54,7 @@ def scd2_merge(dim: DataFrame, snapshot: DataFrame, id_col: str, attrs: Sequence
         "effective_date": F.lit(as_of), "end_date": F.lit(None).cast("date"), "is_current": F.lit(True), "dwh_load_date": F.lit(load_ts),
     }
     rows = outcome(pairs, {
-        **stored, "end_date": F.when(expired, F.lit(as_of)).otherwise(F.col("_old.end_date")), "is_current": ~expired}, version)
+        **stored, "end_date": F.when(expired, F.lit(as_of)).otherwise(F.col("_old.end_date")), "is_current": ~expired}, version, expires=True)
     versions, added = split(rows, dim.columns, list(version), staged)
     added = assign_keys(added, id_col, key_col, highest_key(dim, key_col) if highest is None else highest)
     return dim.where("NOT is_current").unionByName(versions).unionByName(added)

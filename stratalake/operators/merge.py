@@ -36,17 +36,20 @@ def match(old: DataFrame, new: DataFrame, id_col: str, verdict: Column) -> DataF
     return pairs.withColumn("_class", kind)
 
 
-def outcome(pairs: DataFrame, old: Mapping[str, Column], new: Mapping[str, Column]) -> DataFrame:
+def outcome(pairs: DataFrame, old: Mapping[str, Column], new: Mapping[str, Column], expires: bool = False) -> DataFrame:
     """(_class, _side, columns): the stored row of a pair as it will be, its new row, or both for EXPIRE.
 
     ``old`` and ``new`` give the columns of either row; a column that only one of them names is NULL in the other.
+    ``expires`` says whether the pairs may have that class.
     """
     kind = F.col("_class")
-    sides = F.when(kind == EXPIRE, F.array(F.lit(OLD), F.lit(NEW))).when(kind == INSERT, F.array(F.lit(NEW))).otherwise(F.array(F.lit(OLD)))
+    side = F.when(kind == INSERT, NEW).otherwise(OLD)
+    if expires:
+        side = F.explode(F.when(kind == EXPIRE, F.array(F.lit(OLD), F.lit(NEW))).otherwise(F.array(side)))
     stored = F.col("_side") == OLD
     columns = [F.when(stored, old[c]).otherwise(new[c]) if c in old and c in new else F.when(stored, old[c]) if c in old
                else F.when(~stored, new[c]) for c in {**old, **new}]
-    rows = pairs.withColumn("_side", F.explode(sides))
+    rows = pairs.withColumn("_side", side)
     return rows.select("_class", "_side", *[c.alias(name) for c, name in zip(columns, {**old, **new})])
 
 
