@@ -10,6 +10,18 @@ from pyspark.sql import functions as F
 
 from stratalake.operators.checks import count_violations, duplicates, flag_sums, null_counters
 
+# The result sets of the quality step, as they are published.
+REPORTS = {
+    "row_counts": "tbl string, rows bigint",
+    "null_keys_appointments": "null_date_key bigint, null_patient_key bigint, null_doctor_key bigint, null_department_key bigint, null_treatment_key bigint",
+    "null_keys_billing": "null_date_key bigint, null_patient_key bigint, null_doctor_key bigint, null_treatment_key bigint, null_insurance_key bigint",
+    "invalid_visits": "negative_fees bigint, zero_duration bigint",
+    "invalid_bills": "zero_total bigint, negative_outstanding bigint, negative_covered bigint",
+    "several_current_patients": "patient_id bigint, current_rows bigint",
+    "several_current_doctors": "doctor_id bigint, current_rows bigint",
+    "date_range_appointments": "earliest_appointment date, latest_appointment date",
+    "date_range_billing": "earliest_bill date, latest_bill date",
+}
 APPOINTMENT_KEYS = ["date_key", "patient_key", "doctor_key", "department_key", "treatment_key"]
 BILL_KEYS = ["date_key", "patient_key", "doctor_key", "treatment_key", "insurance_key"]
 

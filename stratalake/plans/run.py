@@ -12,6 +12,7 @@ from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stratalake import schemas as S
 from stratalake.functions.casts import DATE_FORMATS
@@ -248,19 +249,33 @@ def quality_reports(spark: SparkSession, root: str, id_type: str = "int") -> dic
     return quality.quality_reports(gold_tables(spark, root, id_type))
 
 
-def run_quality(spark: SparkSession, root: str, strict: bool = False, id_type: str = "int") -> list[tuple]:
-    """Count violations; only ``strict`` turns them into an error."""
+def run_quality(spark: SparkSession, root: str, strict: bool = False, id_type: str = "int", load_ts: datetime | None = None) -> list[tuple]:
+    """Publish the result sets of the quality step and count violations; only ``strict`` turns them into an error."""
     started, clock = datetime.now(), time.monotonic()
-    found = quality.violations(gold_tables(spark, root, id_type)).collect()
+    gold = gold_tables(spark, root, id_type)
+    with _Layer(open_quality(spark, root), "quality", load_ts or started) as layer:
+        def report(name: str, df: DataFrame) -> Callable[[], object]:
+            columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in layer.store.schemas[name]]
+            return partial(layer.write, name, df.select(*columns))
+
+        jobs = {name: report(name, df) for name, df in quality.quality_reports(gold).items()}
+        found = side_by_side({**jobs, "violations": quality.violations(gold).collect})["violations"]
+        layer.publish()
     seconds = time.monotonic() - clock
     if strict and any(r["violations"] for r in found):
         raise QualityError(str({r["check_name"]: r["violations"] for r in found if r["violations"]}))
     return [("quality", r["check_name"], r["violations"], f"{started:%Y-%m-%d %H:%M:%S}", seconds) for r in found]
 
 
+def open_quality(spark: SparkSession, root: str) -> Store:
+    """The result sets of the newest quality step, a table each."""
+    return Store(spark, root, "quality", {name: T.StructType.fromDDL(ddl) for name, ddl in quality.REPORTS.items()})
+
+
 def retire(spark: SparkSession, root: str, keep_runs: int) -> list[str]:
     """Remove runs of all layers that are older than the newest ``keep_runs`` and that no reader has leased."""
-    return [folder for layer in LAYERS for folder in open_layer(spark, root, layer).retire(keep_runs)]
+    stores = [*(open_layer(spark, root, layer) for layer in LAYERS), open_quality(spark, root)]
+    return [folder for store in stores for folder in store.retire(keep_runs)]
 
 
 def run_pipeline(spark: SparkSession, source_dir: str, root: str, as_of: date, load_ts: datetime | None = None,
@@ -276,7 +291,7 @@ def run_pipeline(spark: SparkSession, source_dir: str, root: str, as_of: date, l
         metrics = run_bronze(spark, source_dir, root, load_ts)
         metrics += run_silver(spark, root, as_of, load_ts, id_type, formats)
         metrics += run_gold(spark, root, as_of, load_ts, id_type, first_day, last_day, ignore_case, buckets)
-        metrics += run_quality(spark, root, strict, id_type)
+        metrics += run_quality(spark, root, strict, id_type, load_ts)
     finally:
         if keep_runs is not None:
             retire(spark, root, keep_runs)

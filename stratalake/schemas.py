@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -41,97 +43,117 @@ VISIT_MUTABLE = {"appointment_status": "", "duration_minutes": -1, "consultation
 BILL_MUTABLE = {"payment_status": "", "total_amount": -1, "insurance_covered": -1, "patient_paid": -1,
                 "outstanding_amount": -1}
 
-# Typed tables. "!" marks a column that may not be NULL, "/n" the longest text allowed.
-_SILVER = {
-    "patients": "patient_id id!, first_name string/100!, last_name string/100!, full_name string/200, "
-                "gender string/20, birth_date date, age int, blood_type string/10, city string/100, "
-                "country string/100, phone string/30, email string/150, registration_date date, "
-                "insurance_status string/20, dwh_load_date timestamp",
-    "doctors": "doctor_id id!, first_name string/100!, last_name string/100!, full_name string/200, "
-               "specialization string/100, department_id id, qualification string/100, hire_date date, "
-               "status string/20, phone string/30, dwh_load_date timestamp",
-    "departments": "department_id id!, department_name string/100!, building string/50, floor string/20, "
-                   "head_doctor string/100, established_date date, dwh_load_date timestamp",
-    "treatments": "treatment_id id!, treatment_name string/150!, treatment_type string/100, "
-                  "diagnosis_code string/20, diagnosis_name string/150, standard_cost decimal(10,2), "
-                  "duration_minutes int, dwh_load_date timestamp",
-    "insurance_providers": "insurance_id id!, provider_name string/150!, plan_type string/50, "
-                           "coverage_pct decimal(5,2), max_coverage_amount decimal(12,2), status string/20, "
-                           "dwh_load_date timestamp",
-    "appointments": "appointment_id id!, patient_id id!, doctor_id id!, department_id id!, treatment_id id!, "
-                    "appointment_date date!, appointment_time string/20, duration_minutes int, status string/30, "
-                    "consultation_fee decimal(10,2), notes string/500, dwh_load_date timestamp",
-    "bills": "bill_id id!, appointment_id id!, patient_id id!, doctor_id id!, insurance_id id, treatment_id id!, "
-             "bill_date date!, total_amount decimal(12,2)!, insurance_covered decimal(12,2), "
-             "patient_paid decimal(12,2), outstanding_amount decimal(12,2), payment_status string/30, "
-             "dwh_load_date timestamp",
-    "rejected_rows": "rejected_id bigint!, source_table string/50!, rejection_reason string/300!, "
-                     "raw_row_json string, rejected_at timestamp!",
+# The declared tables. Business ids are BIGINT here and take the type that a run asks for.
+SILVER = {
+    "patients": """
+        patient_id BIGINT NOT NULL, first_name VARCHAR(100) NOT NULL, last_name VARCHAR(100) NOT NULL,
+        full_name VARCHAR(200), gender VARCHAR(20), birth_date DATE, age INT, blood_type VARCHAR(10),
+        city VARCHAR(100), country VARCHAR(100), phone VARCHAR(30), email VARCHAR(150), registration_date DATE,
+        insurance_status VARCHAR(20), dwh_load_date TIMESTAMP""",
+    "doctors": """
+        doctor_id BIGINT NOT NULL, first_name VARCHAR(100) NOT NULL, last_name VARCHAR(100) NOT NULL,
+        full_name VARCHAR(200), specialization VARCHAR(100), department_id BIGINT, qualification VARCHAR(100),
+        hire_date DATE, status VARCHAR(20), phone VARCHAR(30), dwh_load_date TIMESTAMP""",
+    "departments": """
+        department_id BIGINT NOT NULL, department_name VARCHAR(100) NOT NULL, building VARCHAR(50),
+        floor VARCHAR(20), head_doctor VARCHAR(100), established_date DATE, dwh_load_date TIMESTAMP""",
+    "treatments": """
+        treatment_id BIGINT NOT NULL, treatment_name VARCHAR(150) NOT NULL, treatment_type VARCHAR(100),
+        diagnosis_code VARCHAR(20), diagnosis_name VARCHAR(150), standard_cost DECIMAL(10,2),
+        duration_minutes INT, dwh_load_date TIMESTAMP""",
+    "insurance_providers": """
+        insurance_id BIGINT NOT NULL, provider_name VARCHAR(150) NOT NULL, plan_type VARCHAR(50),
+        coverage_pct DECIMAL(5,2), max_coverage_amount DECIMAL(12,2), status VARCHAR(20),
+        dwh_load_date TIMESTAMP""",
+    "appointments": """
+        appointment_id BIGINT NOT NULL, patient_id BIGINT NOT NULL, doctor_id BIGINT NOT NULL,
+        department_id BIGINT NOT NULL, treatment_id BIGINT NOT NULL, appointment_date DATE NOT NULL,
+        appointment_time VARCHAR(20), duration_minutes INT, status VARCHAR(30), consultation_fee DECIMAL(10,2),
+        notes VARCHAR(500), dwh_load_date TIMESTAMP""",
+    "bills": """
+        bill_id BIGINT NOT NULL, appointment_id BIGINT NOT NULL, patient_id BIGINT NOT NULL,
+        doctor_id BIGINT NOT NULL, insurance_id BIGINT, treatment_id BIGINT NOT NULL, bill_date DATE NOT NULL,
+        total_amount DECIMAL(12,2) NOT NULL, insurance_covered DECIMAL(12,2), patient_paid DECIMAL(12,2),
+        outstanding_amount DECIMAL(12,2), payment_status VARCHAR(30), dwh_load_date TIMESTAMP""",
+    "rejected_rows": """
+        rejected_id BIGINT NOT NULL, source_table VARCHAR(50) NOT NULL, rejection_reason VARCHAR(300) NOT NULL,
+        raw_row_json STRING, rejected_at TIMESTAMP NOT NULL""",
 }
-_HISTORY = "effective_date date!, end_date date, is_current boolean!, dwh_load_date timestamp"
-_GOLD = {
-    "dim_date": "date_key int!, full_date date!, year int, quarter int, quarter_name string/5, month int, "
-                "month_name string/20, day_of_month int, day_of_week int, day_name string/20, week_number int, "
-                "is_weekend boolean",
-    "dim_department": "department_key bigint!, department_id id!, department_name string/100!, "
-                      "building string/50, floor string/20, head_doctor string/100, established_date date, "
-                      "dwh_load_date timestamp",
-    "dim_treatment": "treatment_key bigint!, treatment_id id!, treatment_name string/150!, "
-                     "treatment_type string/100, diagnosis_code string/20, diagnosis_name string/150, "
-                     "standard_cost decimal(10,2), duration_minutes int, dwh_load_date timestamp",
-    "dim_insurance": "insurance_key bigint!, insurance_id id!, provider_name string/150!, plan_type string/50, "
-                     "coverage_pct decimal(5,2), max_coverage_amount decimal(12,2), status string/20, "
-                     "dwh_load_date timestamp",
-    "dim_patient": "patient_key bigint!, patient_id id!, first_name string/100!, last_name string/100!, "
-                   "full_name string/200, gender string/20, birth_date date, age int, blood_type string/10, "
-                   "city string/100, country string/100, insurance_status string/20, registration_date date, "
-                   + _HISTORY,
-    "dim_doctor": "doctor_key bigint!, doctor_id id!, first_name string/100!, last_name string/100!, "
-                  "full_name string/200, specialization string/100, department_id id, qualification string/100, "
-                  "hire_date date, status string/20, " + _HISTORY,
-    "fact_appointments": "appointment_key bigint!, appointment_id id!, date_key int!, patient_key bigint!, "
-                         "doctor_key bigint!, department_key bigint!, treatment_key bigint!, "
-                         "appointment_time string/20, appointment_status string/30, duration_minutes int, "
-                         "consultation_fee decimal(10,2), dwh_load_date timestamp",
-    "fact_billing": "billing_key bigint!, bill_id id!, appointment_id id!, date_key int!, patient_key bigint!, "
-                    "doctor_key bigint!, treatment_key bigint!, insurance_key bigint!, payment_status string/30, "
-                    "total_amount decimal(18,2)!, insurance_covered decimal(18,2)!, patient_paid decimal(18,2)!, "
-                    "outstanding_amount decimal(18,2)!, recovery_rate decimal(10,2), dwh_load_date timestamp",
+GOLD = {
+    "dim_date": """
+        date_key INT NOT NULL, full_date DATE NOT NULL, year INT, quarter INT, quarter_name VARCHAR(5),
+        month INT, month_name VARCHAR(20), day_of_month INT, day_of_week INT, day_name VARCHAR(20),
+        week_number INT, is_weekend BOOLEAN""",
+    "dim_department": """
+        department_key BIGINT NOT NULL, department_id BIGINT NOT NULL, department_name VARCHAR(100) NOT NULL,
+        building VARCHAR(50), floor VARCHAR(20), head_doctor VARCHAR(100), established_date DATE,
+        dwh_load_date TIMESTAMP""",
+    "dim_treatment": """
+        treatment_key BIGINT NOT NULL, treatment_id BIGINT NOT NULL, treatment_name VARCHAR(150) NOT NULL,
+        treatment_type VARCHAR(100), diagnosis_code VARCHAR(20), diagnosis_name VARCHAR(150),
+        standard_cost DECIMAL(10,2), duration_minutes INT, dwh_load_date TIMESTAMP""",
+    "dim_insurance": """
+        insurance_key BIGINT NOT NULL, insurance_id BIGINT NOT NULL, provider_name VARCHAR(150) NOT NULL,
+        plan_type VARCHAR(50), coverage_pct DECIMAL(5,2), max_coverage_amount DECIMAL(12,2),
+        status VARCHAR(20), dwh_load_date TIMESTAMP""",
+    "dim_patient": """
+        patient_key BIGINT NOT NULL, patient_id BIGINT NOT NULL, first_name VARCHAR(100) NOT NULL,
+        last_name VARCHAR(100) NOT NULL, full_name VARCHAR(200), gender VARCHAR(20), birth_date DATE, age INT,
+        blood_type VARCHAR(10), city VARCHAR(100), country VARCHAR(100), insurance_status VARCHAR(20),
+        registration_date DATE, effective_date DATE NOT NULL, end_date DATE, is_current BOOLEAN NOT NULL,
+        dwh_load_date TIMESTAMP""",
+    "dim_doctor": """
+        doctor_key BIGINT NOT NULL, doctor_id BIGINT NOT NULL, first_name VARCHAR(100) NOT NULL,
+        last_name VARCHAR(100) NOT NULL, full_name VARCHAR(200), specialization VARCHAR(100),
+        department_id BIGINT, qualification VARCHAR(100), hire_date DATE, status VARCHAR(20),
+        effective_date DATE NOT NULL, end_date DATE, is_current BOOLEAN NOT NULL, dwh_load_date TIMESTAMP""",
+    "fact_appointments": """
+        appointment_key BIGINT NOT NULL, appointment_id BIGINT NOT NULL, date_key INT NOT NULL,
+        patient_key BIGINT NOT NULL, doctor_key BIGINT NOT NULL, department_key BIGINT NOT NULL,
+        treatment_key BIGINT NOT NULL, appointment_time VARCHAR(20), appointment_status VARCHAR(30),
+        duration_minutes INT, consultation_fee DECIMAL(10,2), dwh_load_date TIMESTAMP""",
+    "fact_billing": """
+        billing_key BIGINT NOT NULL, bill_id BIGINT NOT NULL, appointment_id BIGINT NOT NULL,
+        date_key INT NOT NULL, patient_key BIGINT NOT NULL, doctor_key BIGINT NOT NULL,
+        treatment_key BIGINT NOT NULL, insurance_key BIGINT NOT NULL, payment_status VARCHAR(30),
+        total_amount DECIMAL(18,2) NOT NULL, insurance_covered DECIMAL(18,2) NOT NULL,
+        patient_paid DECIMAL(18,2) NOT NULL, outstanding_amount DECIMAL(18,2) NOT NULL,
+        recovery_rate DECIMAL(10,2), dwh_load_date TIMESTAMP""",
 }
+BUSINESS_IDS = {"patient_id", "doctor_id", "department_id", "treatment_id", "insurance_id", "appointment_id", "bill_id"}
 
 BRONZE_TABLES = tuple(RAW)
-SILVER_TABLES = tuple(_SILVER)
-GOLD_TABLES = tuple(_GOLD)
+SILVER_TABLES = tuple(SILVER)
+GOLD_TABLES = tuple(GOLD)
 
 
-def _fields(table: str) -> list[tuple[str, str, int | None, bool]]:
-    """(name, type, longest text, required) of each column of a typed table."""
-    text = _SILVER.get(table) or _GOLD[table]
-    fields = []
-    for part in text.split(", "):
-        name, kind = part.split(" ")
-        required, kind = kind.endswith("!"), kind.rstrip("!")
-        kind, _, longest = kind.partition("/")
-        fields.append((name, kind, int(longest) if longest else None, required))
-    return fields
+@cache
+def declared(table: str) -> T.StructType:
+    """The table as declared, text lengths and required columns included."""
+    return T.StructType.fromDDL(SILVER.get(table) or GOLD[table])
 
 
 def columns(table: str) -> list[str]:
-    return [name for name, *_ in _fields(table)]
+    return declared(table).names
 
 
 def required(table: str) -> list[str]:
-    return [name for name, _, _, needed in _fields(table) if needed]
+    return [f.name for f in declared(table) if not f.nullable]
 
 
 def lengths(table: str) -> dict[str, int]:
-    return {name: longest for name, _, longest, _ in _fields(table) if longest}
+    return {f.name: f.dataType.length for f in declared(table) if isinstance(f.dataType, T.VarcharType)}
 
 
 def schema(table: str, id_type: str = "int") -> T.StructType:
-    """Declared schema; business ids are ``int`` unless a larger source asks for ``bigint``."""
-    return T.StructType.fromDDL(", ".join(
-        f"{name} {id_type if kind == 'id' else kind}" for name, kind, *_ in _fields(table)))
+    """The stored schema, in which every column may be NULL and text has any length, since counters check both while a
+    table is written; business ids are ``int`` unless a larger source asks for ``bigint``."""
+    def kind(field: T.StructField) -> T.DataType:
+        if field.name in BUSINESS_IDS:
+            return T.LongType() if id_type == "bigint" else T.IntegerType()
+        return T.StringType() if isinstance(field.dataType, T.VarcharType) else field.dataType
+
+    return T.StructType([T.StructField(f.name, kind(f)) for f in declared(table)])
 
 
 def bronze_schema(table: str) -> T.StructType:

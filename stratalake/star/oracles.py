@@ -206,6 +206,7 @@ def _text(c: str) -> str:
     return f"CAST({c} AS VARCHAR)"
 
 
+# The labels of the status codes below, which results must show.
 _ACTIVE = "CASE WHEN upper(trim(status)) IN ('ACTIVE', 'A') THEN 'Active' ELSE 'Inactive' END AS status"
 
 # table -> (id column, [(reason, SQL that is true for a bad row)], order column, projection)

@@ -61,6 +61,10 @@ def test_whole_run(spark, loads):
     assert {r["tbl"]: r["rows"] for r in found["row_counts"].collect()}["fact_billing"] == 2
     assert found["several_current_doctors"].isEmpty() and found["date_range_billing"].count() == 1
 
+    published = run.open_quality(spark, root)
+    for name, report in found.items():  # the run has published the same result sets
+        assert sorted(map(str, published.required(name).collect())) == sorted(map(str, report.collect())), name
+
     gold = run.gold_tables(spark, root)
     assert rows(gold["fact_billing"].select("bill_id", "billing_key", "recovery_rate").selectExpr(
         "bill_id", "billing_key", "cast(recovery_rate as string)"), "bill_id") == [(1, 1, "100.00"), (2, 2, "37.50")]
