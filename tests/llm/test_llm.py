@@ -370,6 +370,9 @@ def test_quality_model_learns(spark):
     assert np.mean([r["predicted"] == r["doc_id"] % 2 for r in out]) > 0.97 and all(0 <= r["score"] <= 1 for r in rows)
     empty = quality_model.score(spark.createDataFrame([(1, None), (2, ""), (3, " ")], "doc_id long, text string"), model).collect()
     assert len({r["score"] for r in empty}) == 1
+    rng = random.Random(3)
+    long = spark.createDataFrame([(1, prose(rng, 100_000).capitalize() + "."), (1, "x" * 2_000_000), (None, "\n" * 100_000)], "doc_id long, text string")
+    assert all(0 <= r["score"] <= 1 for r in quality_model.score(long, model).collect())
     with pytest.raises(ValueError):
         quality_model.fit(["only one kind"], np.array([1]))
 
@@ -397,6 +400,13 @@ def test_licenses(spark):
     rows = {r["doc_id"]: (r["place"], r["family"]) for r in found.collect()}
     assert rows == {i: (1, family) for i, family in enumerate(lines.values())} | {None: (1, "mit")}
     assert licenses.scan(table.limit(0), scanner).collect() == []
+    # very long texts, repeated rows and columns named like those of the result
+    notice = "Licensed under the Apache License, Version 2.0."
+    docs = [(1, f"{prose(rng, 40_000)}\n{notice}\n{prose(rng, 40_000)}"), (2, f"a\n\n{notice}"), (2, f"a\n\n{notice}"), (3, notice * 3_000)]
+    table = frame(spark, docs).withColumns({"place": F.lit("x"), "family": F.lit(7), "paragraph": F.lit(None).cast("int")})
+    found = licenses.scan(table, scanner)
+    assert len(found.columns) == len(set(found.columns))
+    assert sorted((r["doc_id"], r["place"], r["family"]) for r in found.collect() if r["doc_id"] < 3) == [(1, 1, "apache"), (2, 2, "apache"), (2, 2, "apache")]
 
 
 # helpers, queries and the pipeline
