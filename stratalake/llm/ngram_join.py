@@ -17,8 +17,9 @@ percent * union``. Documents without words link with nothing.
 4. Classes of which nearly all shingles are hot, as in large groups of near copies, cannot reach that.
    Their whole sets are compared with the prefixes of the others. Among themselves they are linked to a
    central class of equal min-hash first; shingles are then counted by the groups so found, and only
-   pairs of different groups that share one of their rarest shingles remain. So a group is never
-   expanded into all its pairs.
+   pairs of different groups that share one of their rarest shingles are compared. The join holds a
+   signature of each set against the other's and gives out only pairs whose sets may differ in few
+   enough shingles, so copies that each changed elsewhere, too much for a link, are not paired.
 5. All remaining pairs are verified on whole sets, and links joined to components.
 
 No step limits the number of candidates of a class, and no order, count or l can lose a link.
@@ -33,6 +34,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +47,7 @@ from stratalake.llm.frames import Table
 from stratalake.session import stage
 
 _SEEDS = 4  # min-hashes that look for a central class
+_SIGNATURE = [f"s{i}" for i in range(16)]  # 64 bits each
 _PREFIXES = "doc long, n long, low long, high long, region array<long>"
 _SETS = "doc long, n long, tokens array<long>"
 _CHOSEN = "doc long, n long, l int, need int, t long"
@@ -173,6 +177,29 @@ def _min_hashes(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                   names=["doc", "seed", "key"])
 
 
+def signatures(tokens: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A row of 1,024 bits per set, as longs: each bit is the parity of the shingles that fall on it.
+
+    Two signatures differ in no more bits than their sets differ in shingles: a shingle of both changes
+    neither or both, one of a single set changes one bit.
+    """
+    bits = 64 * len(_SIGNATURE)
+    rows = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
+    places = (batches.mix(tokens, 80) % np.uint64(bits)).astype(np.int64)
+    odd = np.bincount(rows * bits + places, minlength=(len(ends) - 1) * bits) % 2
+    return np.packbits(odd.astype(bool).reshape(-1, bits), axis=1).view(np.int64)
+
+
+def _signatures(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in parts:
+        for at in range(0, batch.num_rows, 1000):
+            part = batch.slice(at, 1000)
+            lists = part.column("tokens")
+            ends = np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy()))).astype(np.int64)
+            found = signatures(lists.flatten().to_numpy().astype(np.int64).view(np.uint64), ends)
+            yield pa.record_batch([part.column("doc"), *map(pa.array, found.T)], names=["doc", *_SIGNATURE])
+
+
 def _verify(parts: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     for batch in parts:
         a, b = [], []
@@ -257,7 +284,7 @@ class _Join:
 
     def matched_groups(self, sets: DataFrame, links: DataFrame) -> DataFrame:
         """Pairs of classes in different groups that share one of their rarest shingles by groups, near
-        enough to the front of both for the rest to make up a link."""
+        enough to the front of both for the rest to make up a link, and whose signatures allow one."""
         groups = components(links)
         named = sets.join(groups, sets["doc"] == groups["node"], "left").select(
             "doc", "n", F.coalesce("component", "doc").alias("g"), "tokens")
@@ -267,12 +294,17 @@ class _Join:
         prefix = F.col("n") - F.ceil(F.col("n") * self.percent / 100) + 1
         rare = stage(grouped.join(spread, "t").withColumn("place", order).filter(
             (F.col("place") <= prefix) & (F.col("groups") > 1)).select("t", "doc", "n", "g", "place"))
-        x, y = (rare.select("t", *(F.col(c).alias(f"{c}_{s}") for c in ("doc", "n", "g", "place"))) for s in "xy")
+        signed = sets.mapInArrow(_signatures, "doc long, " + ", ".join(f"{c} long" for c in _SIGNATURE))
+        rare = stage(rare.join(signed, "doc"))
+        x, y = (rare.select("t", *(F.col(c).alias(f"{c}_{s}") for c in ("doc", "n", "g", "place", *_SIGNATURE))) for s in "xy")
         # the first shared shingle of a link leaves enough of both sets behind it
         most = 1 + F.least(F.col("n_x") - F.col("place_x"), F.col("n_y") - F.col("place_y"))
-        enough = 100 * most >= self.percent * (F.col("n_x") + F.col("n_y") - most)
+        both = F.col("n_x") + F.col("n_y")
+        enough = 100 * most >= self.percent * (both - most)
+        apart = reduce(add, (F.bit_count(F.col(f"{c}_x").bitwiseXOR(F.col(f"{c}_y"))) for c in _SIGNATURE))
+        near = (100 + self.percent) * apart <= (100 - self.percent) * both
         return x.join(y, (x["t"] == y["t"]) & (F.col("doc_x") < F.col("doc_y")) & (F.col("g_x") != F.col("g_y")) & enough
-                      & self.alike("n_x", "n_y")).select(F.col("doc_x").alias("a"), F.col("doc_y").alias("b"))
+                      & self.alike("n_x", "n_y") & near).select(F.col("doc_x").alias("a"), F.col("doc_y").alias("b"))
 
 
 def join(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", size: int = 4, percent: int = 85,

@@ -130,6 +130,38 @@ def test_prefix_choice_needs_more_than_hot_ones_supply():
     assert need >= 1 and need == l - int(((counts > 64) & (places < int(ngram_join.base_length(np.int64(60), 85)) + l - 1)).sum())
 
 
+def test_signatures_differ_no_more_than_their_sets():
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 2 ** 63, 3000, dtype=np.uint64)
+    sets = [np.unique(np.concatenate((base[:n], rng.integers(0, 2 ** 63, m, dtype=np.uint64))))
+            for n in (0, 1, 140, 146, 3000) for m in (0, 1, 20, 900)]
+    ends = np.cumsum([0] + [len(x) for x in sets])
+    bits = ngram_join.signatures(np.concatenate(sets), ends)
+    assert bits.shape == (len(sets), len(ngram_join._SIGNATURE))
+    for x, a in zip(sets, bits):
+        for y, b in zip(sets, bits):
+            differ = sum(int(v).bit_count() for v in (a ^ b).view(np.uint64))
+            assert differ <= len(np.setxor1d(x, y)) and (differ + len(x) + len(y)) % 2 == 0
+
+
+def test_ngram_join_does_not_pair_copies_that_changed_apart(spark, monkeypatch):
+    """Copies of one text with four words each replaced elsewhere link with the text's lighter copies only."""
+    rng, base = random.Random(3), [f"w{i}" for i in range(150)]
+    docs = []
+    for i in range(150):
+        text = list(base)
+        for at in rng.sample(range(150), 1 if i < 15 else 4):
+            text[at] = f"x{i}-{at}"
+        docs.append((i, " ".join(text)))
+    paired = []
+    old = ngram_join._Join.matched_groups
+    monkeypatch.setattr(ngram_join._Join, "matched_groups", lambda *a: paired.append(old(*a)) or paired[-1])
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in ngram_join.near_duplicates(df, size=5, percent=80).collect()}
+    assert found == brute.near_duplicates(docs, 80, 5)
+    assert paired[0].distinct().count() < 150 * 149 / 2 / 4
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(50)] + [(100, 200), (200, 150), (300, 300)]
     found = components.components(spark.createDataFrame(links, "a long, b long")).collect()
