@@ -85,29 +85,25 @@ def repeated_words(words: Column) -> Column:
     Only a text whose window hashes are not all different is looked at closer: its windows are sorted as the upper
     bits of their hash followed by their place, and neighbours of one hash count if their words are equal.
     """
-    shift = partial(F.call_function, "shiftright")
+    left, right = (partial(F.call_function, f"shift{side}") for side in ("left", "right"))
 
-    def covered(all_: Column, hashes: Column) -> Column:
-        bits = F.length(F.bin(F.size(all_)))
+    def covered(all_: Column, hashes: Column, bits: Column) -> Column:
+        def both(x: Column, other: Column) -> Column:
+            mask = left(F.lit(1).cast("long"), bits) - 1
+            at, to = x.bitwiseAND(mask).cast("int"), other.bitwiseAND(mask).cast("int")
+            same = (right(x.bitwiseXOR(other), bits) == 0) & (F.slice(all_, at + 1, 3) == F.slice(all_, to + 1, 3))
+            return F.when(same, F.array(at, at + 1, at + 2, to, to + 1, to + 2))
 
-        def same(x: Column, other: Column) -> Column:
-            mask = F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1
-            at, to = x.bitwiseAND(mask).cast("int") + 1, other.bitwiseAND(mask).cast("int") + 1
-            return (shift(x, bits) == shift(other, bits)) & (F.slice(all_, at, 3) == F.slice(all_, to, 3))
-
-        keys = F.transform(hashes, lambda h, i: F.call_function("shiftleft", h, bits).bitwiseOR(i.cast("long")))
-        again = let(F.sort_array(keys), lambda s: F.transform(
-            F.filter(s, lambda x, i: same(x, F.get(s, i + 1)) | same(x, F.get(s, i - 1))),
-            lambda x: x.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1)))
-        places = F.transform(again, lambda i: F.array(i, i + 1, i + 2))
-        return F.size(F.array_distinct(F.flatten(places)))
+        keys = F.transform(hashes, lambda h, i: left(h, bits).bitwiseOR(i.cast("long")))
+        pairs = let(F.sort_array(keys), lambda s: F.zip_with(s, F.slice(s, 2, F.size(s)), both))
+        return F.size(F.array_distinct(F.flatten(F.filter(pairs, lambda p: p.isNotNull()))))
 
     def windows(all_: Column) -> Column:
         return let(F.transform(all_, lambda w: F.xxhash64(w)), lambda h: F.slice(
             F.transform(h, lambda x, i: F.xxhash64(x, F.get(h, i + 1), F.get(h, i + 2))), 1, F.greatest(F.size(h) - 2, F.lit(0))))
 
     return let(words, lambda all_: let(windows(all_), lambda hashes: F.when(
-        F.size(F.array_distinct(hashes)) < F.size(hashes), covered(all_, hashes)).otherwise(0))).cast("long")
+        F.size(F.array_distinct(hashes)) < F.size(hashes), let(F.length(F.bin(F.size(all_))), lambda bits: covered(all_, hashes, bits))).otherwise(0))).cast("long")
 
 
 def duplicate_lines(text: Column) -> Column:
@@ -143,12 +139,14 @@ def references(df: DataFrame, language: Column, rules: Rules) -> DataFrame:
     shares (the last: all other words)."""
     shares = F.transform(class_counts(df), lambda n: F.floor(n * 1_000_000 / F.length(df["_text"])).cast("long"))
     # words hold no blank, so keys that start with one are free for the other counts
-    entries = F.concat(
-        F.array(F.struct(F.lit(" docs").alias("key"), F.lit(1).cast("long").alias("n"))),
-        F.transform(shares, lambda n, i: F.struct(F.concat(F.lit(" class "), i.cast("string")).alias("key"), n.alias("n"))),
-        F.transform("_words", lambda w: F.struct(w.alias("key"), F.lit(1).cast("long").alias("n"))))
-    entries = F.when(df["n_words"] >= rules.min_words, entries)  # not a filter, which would split texts once more
-    found = stage(df.select(language.alias("language"), F.inline(entries)).groupBy("language", "key").agg(F.sum("n").alias("n")))
+    others = [" docs", *(f" class {i}" for i in range(N_CLASSES))]
+    keys = F.concat(F.array(*map(F.lit, others)), "_words")
+    keys = F.when(df["n_words"] >= rules.min_words, keys)  # not a filter, which would split texts once more
+    counts = F.concat(F.array(F.lit(1).cast("long")), shares)
+    entries = df.select(language.alias("language"), counts.alias("counts"), keys.alias("keys"))  # once for a document
+    entries = entries.select("language", "counts", F.posexplode("keys").alias("place", "key"))
+    n = F.when(F.col("place") < len(others), F.get("counts", F.col("place"))).otherwise(F.lit(1).cast("long"))
+    found = stage(entries.groupBy("language", "key").agg(F.sum(n).alias("n")))
     kind = F.when(F.col("key") == " docs", "docs").when(F.col("key").startswith(" "), "class").otherwise("word")
     counts = found.select("language", kind.alias("kind"), F.regexp_replace("key", "^ (docs|class )", "").alias("key"), "n")
     pooled = counts.filter("kind <> 'word'").groupBy("kind", "key").agg(F.sum("n").alias("n")).select(F.lit(None).cast("string").alias("language"), "kind", "key", "n")
