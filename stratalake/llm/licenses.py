@@ -11,8 +11,10 @@ statements reach. A named family must then be confirmed by comparison with a tem
 ``confirm`` of a notice's bigrams are in the paragraph. A paragraph that is named but not confirmed, or
 confirmed for another family, is ``unknown``.
 
-Only paragraphs with a term that occurs in licence notices are looked at: without one of them no template
-could confirm them. Everything is decided within a row; nothing is shuffled but the training sample.
+Every paragraph that is not blank is classified and compared. The result has those that hold a term of licence
+notices and those in which a template of their most likely family is found; any other is an ordinary paragraph
+and gives no row.
+Everything is decided within a row; nothing is shuffled but the training sample.
 
 Edge cases: NULL and empty texts have no paragraphs. Rows are scanned one by one, equal rows alike, and
 rows without an id keep NULL. Texts of any length are read whole. An empty table gives an empty result
@@ -101,10 +103,10 @@ def _notices(spark: SparkSession) -> DataFrame:
 
 
 def paragraphs_of(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """(doc_id, place, paragraph) of the lines with a term of licence notices."""
+    """(doc_id, place, paragraph) of all lines that are not blank."""
     table = Table(docs)
     lines = F.filter(F.transform(F.split(table.col(text_column), "\n"), lambda line, i: F.struct(i.alias("place"), line.alias("paragraph"))),
-                     lambda x: F.lower(x["paragraph"]).rlike(TERMS))
+                     lambda x: F.btrim(x["paragraph"], F.lit(" \t\r")) != "")
     return table.df.select(table.col(id_column).alias("doc_id"), F.inline(lines))
 
 
@@ -143,13 +145,17 @@ def _share(template: Column, pairs: Column) -> Column:
 
 
 def scan(docs: DataFrame, scanner: Scanner, id_column: str = "doc_id", text_column: str = "text", confirm: float = 0.9) -> DataFrame:
-    """One row per paragraph with a licence term: doc_id, place (line, from 0), family, probability (of the
-    most likely family) and overlap with its closest template."""
+    """One row per paragraph with a licence term or a confirmed template: doc_id, place (line, from 0), family,
+    probability (of the most likely family) and overlap with its closest template."""
     named = scanner.model.transform(_featured(paragraphs_of(docs, id_column, text_column), scanner.features))
     p = vector_to_array("probability")
-    named = named.select("doc_id", "place", "_pairs", F.slice(p, 2, len(FAMILIES) - 1).alias("_p")).withColumn("probability", F.array_max("_p"))
+    term = F.lower("paragraph").rlike(TERMS)
+    named = named.select("doc_id", "place", "_pairs", term.alias("_term"), F.slice(p, 2, len(FAMILIES) - 1).alias("_p")).withColumn(
+        "probability", F.array_max("_p"))
     named = named.withColumn("_family", F.element_at(F.array(*map(F.lit, NAMES)), F.array_position("_p", F.col("probability")).cast("int")))
     named = named.withColumn("overlap", template_overlap(F.col("_pairs"), F.col("_family")))
     certain = (F.col("probability") >= scanner.threshold) & (F.col("overlap") >= confirm)
+    # ordinary paragraphs go by a generator without output: a filter would move below the model and work it out twice
+    listed = F.explode(F.when(F.col("_term") | (F.col("overlap") >= confirm), F.array(F.lit(1)))).alias("_listed")
     return named.select("doc_id", "place", F.when(certain, F.col("_family")).otherwise(UNKNOWN).alias("family"),
-                        F.round("probability", 6).alias("probability"), "overlap")
+                        F.round("probability", 6).alias("probability"), "overlap", listed).drop("_listed")

@@ -4,6 +4,7 @@ import base64
 import hashlib
 import os
 import random
+import re
 import zlib
 
 import numpy as np
@@ -441,6 +442,18 @@ def test_licenses(spark):
     assert sorted((r["doc_id"], r["place"], r["family"]) for r in found.collect() if r["doc_id"] < 3) == [(1, 1, "apache"), (2, 2, "apache"), (2, 2, "apache")]
 
 
+def test_licenses_classifies_every_paragraph(spark):
+    rng = random.Random(2)
+    plain = [prose(rng, 12) for _ in range(5)]
+    named = ["This file is covered by the GNU LGPL.", "The files here are GNU AGPL."]
+    assert not any(re.search(licenses.TERMS, line.lower()) for line in [*plain, *named])
+    table = frame(spark, [(i, f"{plain[0]}\n \t\n{line}\n{plain[1]}") for i, line in enumerate([*named, *plain])] + [(9, "All rights reserved.")])
+    lines = licenses.paragraphs_of(table, "doc_id", "text").collect()
+    assert len(lines) == 3 * 7 + 1 and {r["place"] for r in lines} == {0, 2, 3}
+    found = licenses.scan(table, licenses.train(table)).collect()
+    assert sorted((r["doc_id"], r["place"], r["overlap"] == 1) for r in found) == [(0, 2, True), (1, 2, True), (9, 0, False)]
+
+
 # helpers, queries and the pipeline
 
 
