@@ -27,7 +27,7 @@ SCHEMAS = {
     "visit_totals": (
         "date_key int, department_key bigint, visits bigint, completed bigint, cancelled bigint, no_shows bigint, scheduled bigint, "
         "fees decimal(38,2), paid_visits bigint, minutes bigint, timed_visits bigint"),
-    "visit_keys": "date_key int, department_key bigint, kind string, bucket bigint, keys binary",
+    "visit_keys": "date_key int, department_key bigint, kind string, bucket bigint, keys bigint",
     "visit_sources": "part int, run string",
 }
 _LAYOUT = Layout(None, "date_key div 100", "department_key", "date_key")
@@ -88,7 +88,8 @@ def department_summary(totals: DataFrame, keys: DataFrame, departments: DataFram
 
 
 def open_marts(spark: SparkSession, root: str) -> Store:
-    return Store(spark, root, "marts", {name: T.StructType.fromDDL(ddl) for name, ddl in SCHEMAS.items()}, LAYOUTS)
+    # runs of the "marts" layer held bitmaps of another form; the first refresh of this layer reads all months
+    return Store(spark, root, "daily_marts", {name: T.StructType.fromDDL(ddl) for name, ddl in SCHEMAS.items()}, LAYOUTS)
 
 
 def refresh(spark: SparkSession, root: str, at: datetime, id_type: str = "int", buckets: int = 1) -> list[int]:

@@ -30,6 +30,16 @@ def test_key_sets_count_like_distinct(spark):
     assert set_sizes(key_sets(bounds.where("k < 0"), [], {"k": "k"}), [], {"k": "n"}).first()[0] == 0
 
 
+def test_key_sets_hold_no_wide_rows(spark):
+    df = spark.range(1_000).select((F.col("id") % 5).alias("g"), (F.col("id") * 40_000 + 1).alias("k"), F.lit(1).alias("m"))
+    sets = key_sets(df, ["g"], {"k": "k", "m": "m"})
+    assert sets.count() == 1_005 and dict(sets.dtypes)["keys"] == "bigint"
+    for made in (sets, set_sizes(sets, ["g"], {"k": "ks", "m": "ms"})):
+        assert "SortAggregate" not in made._jdf.queryExecution().executedPlan().toString()
+    signs = spark.createDataFrame([(0,), (-1,), (63,), (64,), (-64,), (None,)], "k long")
+    assert set_sizes(key_sets(signs, [], {"k": "k"}), [], {"k": "n"}).first()[0] == 5
+
+
 def test_reports_from_daily_tables(spark, tmp_path):
     root = str(tmp_path / "wh")
     run.run_pipeline(spark, write_sources(tmp_path / "a", appointments=VISITS), root, D1)
