@@ -207,6 +207,21 @@ def test_a_stored_fact_is_matched_without_a_shuffle(spark, months_load, tmp_path
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("stratalake_")]
 
 
+def test_a_larger_fact_is_dealt_into_more_files(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "wh")
+    changed = [MONTHS[0].replace("50.00", "60.00"), *MONTHS[1:]]
+    for bucket_rows, lines, day, files in ((20, MONTHS, D1, 3), (5, changed, D2, 24), (4, MONTHS, D3, 24)):
+        monkeypatch.setattr(run, "BUCKET_ROWS", bucket_rows)
+        run.run_pipeline(spark, write_sources(tmp_path / str(day), appointments=lines), root, day, strict=True, buckets=1)
+        store = run.open_layer(spark, root, "gold")
+        assert {p.buckets for p in store.parts("fact_appointments")} == {files}
+        assert {p.buckets for p in store.parts("fact_billing")} == {1}
+        stored = rows(store.table("fact_appointments"), "appointment_key")
+        assert [r[0] for r in stored] == list(range(1, 61))
+        assert [r[10] for r in stored] == [60 if lines is changed else 50] + [50] * 59
+    assert len({p.run for p in store.parts("fact_appointments")}) == 2  # all months by the second run, one by the third
+
+
 def test_retention_spares_leased_runs(spark, months_load, tmp_path):
     root, staged = months_load, set(os.listdir(shared_dir(spark)))
     reader = run.open_layer(spark, root, "gold")
