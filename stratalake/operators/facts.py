@@ -91,12 +91,11 @@ def fact_upsert(fact: DataFrame, source: DataFrame, id_col: str, mutable: Mappin
                 staged: Staged = unstaged, highest: Column | int | None = None) -> DataFrame:
     """Update the mutable columns of known ids where one differs, then add unknown ids.
 
-    ``staged`` may materialise the matched rows and the new ones, which are read several times; ``highest`` is the
-    largest key given so far, where it is known.
+    ``staged`` may materialise the matched rows and the new ones with their ranks, which are read several times, so that
+    the result need not be written to be read again; ``highest`` is the largest key given so far, where it is known.
     """
     rows = fact_changes(fact, source, id_col, mutable, lookups, load_ts, ignore_case)
     new = [c for c in rows.columns if c in source.columns or c == "dwh_load_date"]
-    kept, unseen = split(rows, fact.columns, new, unstaged if fact.isEmpty() else staged)  # a first load joins nothing
-    added = staged(lookup_keys(unseen, lookups))
-    added = assign_keys(added, id_col, key_col, highest_key(fact, key_col) if highest is None else highest)
+    kept, unseen = split(rows, fact.columns, new, unstaged if fact.select(key_col).isEmpty() else staged)  # a first load joins nothing
+    added = assign_keys(lookup_keys(unseen, lookups), id_col, key_col, highest_key(fact, key_col) if highest is None else highest, staged)
     return kept.unionByName(added.select(*fact.columns))

@@ -362,7 +362,6 @@ def fact_appointments_upsert(spark: SparkSession, folder: str) -> DataFrame:
     for source, stamp in ((visits.where(FACT_SPLIT), LOAD_1), (changed, LOAD_2)):
         fact = fact_upsert(fact, source, "appointment_id", S.VISIT_MUTABLE, lookups, "appointment_key", stamp,
                            staged=stage)
-        fact = stage(fact) if stamp == LOAD_1 else fact
     return fact
 
 
@@ -379,7 +378,6 @@ def fact_billing_upsert(spark: SparkSession, folder: str) -> DataFrame:
     fact = _empty_fact(spark, "fact_billing", "recovery_rate")
     for source, stamp in ((bills.where(FACT_SPLIT), LOAD_1), (changed, LOAD_2)):
         fact = fact_upsert(fact, source, "bill_id", S.BILL_MUTABLE, lookups, "billing_key", stamp, staged=stage)
-        fact = stage(fact) if stamp == LOAD_1 else fact
     return gold.with_recovery_rate(fact)
 
 

@@ -222,3 +222,31 @@ def test_repeated_and_missing_ids_of_a_source_are_not_lost(spark):
     dim = spark.createDataFrame([(1, 1, "a", TS[0])], "k long, id int, name string, dwh_load_date timestamp")
     with pytest.raises(Exception, match="id is NULL"):
         scd1_merge(dim, spark.createDataFrame([(None, "x")], "id int, name string"), "id", ["name"], "k", TS[1]).collect()
+
+
+def test_staged_keys_are_read_again_without_ranking(spark):
+    df = spark.createDataFrame([(i,) for i in [5, -1, 262144, 1 << 41, 0]], "id long")
+    keyed = assign_keys(df, "id", "key", 10, stage)
+    assert rows(keyed.select("id", "key"), "id") == rows(assign_keys(df, "id", "key", 10).select("id", "key"), "id")
+    assert "Window" not in keyed._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_write_by_folder_needs_no_sort(spark):
+    writers = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(writers)
+    spark.conf.set(writers, "0")
+    try:
+        seen = []
+        df = spark.range(4).selectExpr("id", "if(id % 2 = 0, 'a', 'b') AS side", "spark_partition_id() AS _p")
+
+        class Conf:  # notes the setting at the time of the write
+            def __getattr__(self, name):
+                if name == "write":
+                    seen.append(spark.conf.get(writers))
+                return getattr(df, name)
+
+        written = stage(Conf(), "side")
+        assert seen == ["8"] and spark.conf.get(writers) == "0"
+        assert rows(written.select("id", "side"), "id") == [(0, "a"), (1, "b"), (2, "a"), (3, "b")]
+    finally:
+        spark.conf.set(writers, before)
