@@ -24,6 +24,7 @@ rows without an id keep NULL. Texts of any length are read whole. An empty table
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import HashingTF, VectorAssembler
@@ -61,8 +62,11 @@ OTHERS = [
     "You may not use this file.", "Published under embargo.", "The software license fee is due in March.", "No permission is granted.",
     "Licensed under the Example Company License.", "Released under the laws of the state.", "This program is distributed to members.",
 ]
-TERMS = r"licen[cs]e|\blicensed\b|released under|distributed under|published under|under the terms|creative commons|\bcc0\b|\bcc by|" \
-        r"public domain|copyright|permission|all rights reserved|under the (apache|mit|bsd|gnu|mozilla)"
+# Terms of licence notices, as plain text and as whole words of which the part without marks is plain text.
+PLAIN_TERMS = ["license", "licence", "released under", "distributed under", "published under", "under the terms", "creative commons",
+               "public domain", "copyright", "permission", "all rights reserved", *(f"under the {name}" for name in ("apache", "mit", "bsd", "gnu", "mozilla"))]
+WHOLE_TERMS = {"cc0": r"\bcc0\b", "cc by": r"\bcc by"}
+TERMS = "|".join([*PLAIN_TERMS, *WHOLE_TERMS.values()])  # all of them as one pattern
 UNKNOWN = "unknown"
 FAMILIES = [UNKNOWN, *NAMES]
 
@@ -76,7 +80,7 @@ class Scanner:
 
 def words_of(text: Column) -> Column:
     """Lower-cased words; marks inside a name (BY-NC, 2.0) stay."""
-    found = F.split(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}.+-]+|[.]+(?=\s|$)", " "), " +")
+    found = F.split(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}.+-]+|[.]+(?=\s|$)", " "), " ")  # one blank is no pattern
     return F.filter(found, lambda w: F.length(w) > 0)
 
 
@@ -88,6 +92,12 @@ def bigrams_of(words: Column) -> Column:
     return F.transform(F.array(words), pairs)[0]
 
 
+def has_term(lower: Column) -> Column:
+    """Whether a lower-cased paragraph holds a term of licence notices; patterns are only tried where their text occurs."""
+    plain = [F.contains(lower, F.lit(term)) for term in PLAIN_TERMS]
+    return reduce(Column.__or__, plain + [F.contains(lower, F.lit(term)) & lower.rlike(pattern) for term, pattern in WHOLE_TERMS.items()])
+
+
 def _featured(paragraphs: DataFrame, features: int) -> DataFrame:
     counted = paragraphs.withColumn("_words", words_of(F.col("paragraph"))).withColumn("_pairs", bigrams_of(F.col("_words")))
     for column, out in (("_words", "_one"), ("_pairs", "_two")):
@@ -117,8 +127,8 @@ def _index(family: Column) -> Column:
 def train(docs: DataFrame, text_column: str = "text", background: int = 1000, features: int = 1 << 14) -> Scanner:
     """A scanner; ``docs`` give ordinary paragraphs for the unknown class."""
     spark = docs.sparkSession
-    lines = docs.select(F.explode(F.split(F.col(text_column), "\n")).alias("paragraph"))
-    ordinary = lines.filter((F.length("paragraph") > 0) & ~F.lower("paragraph").rlike(TERMS)).orderBy(
+    lines = docs.select(F.explode(F.split(F.col(text_column), "\n")).alias("paragraph")).withColumn("_lower", F.lower("paragraph"))
+    ordinary = lines.filter((F.length("paragraph") > 0) & ~has_term(F.col("_lower"))).select("paragraph").orderBy(
         F.xxhash64("paragraph"), "paragraph").limit(background)
     notices = _notices(spark)
     seen = notices.filter("not kept_back").select("paragraph", "family").unionByName(ordinary.select("paragraph", F.lit(UNKNOWN).alias("family")))
@@ -133,15 +143,19 @@ def train(docs: DataFrame, text_column: str = "text", background: int = 1000, fe
     return Scanner(model, min(0.9, max(0.2, (low + high) / 2)), features)
 
 
-def template_overlap(pairs: Column, family: Column) -> Column:
-    """The largest share of a name's bigrams of the family that are among ``pairs``."""
-    spark_names = F.create_map(*(x for f, names in NAMES.items() for x in (F.lit(f), F.array(*map(F.lit, names)))))
-    return F.array_max(F.transform(spark_names[family], lambda name: _share(bigrams_of(words_of(name)), pairs)))
+def templates(spark: SparkSession) -> dict[str, list[list[str]]]:
+    """The distinct bigrams of each family's names, without what precedes a name."""
+    rows = [(family, name) for family, names in NAMES.items() for name in names]
+    found = spark.createDataFrame(rows, "family string, name string").withColumn("pairs", bigrams_of(words_of(F.col("name"))))
+    inner = F.slice("pairs", 2, F.greatest(F.size("pairs") - 1, F.lit(1)))
+    collected = found.select("family", "name", F.array_distinct(inner).alias("inner")).collect()  # a row for each name
+    return {family: [r["inner"] for r in collected if r["family"] == family] for family in NAMES}
 
 
-def _share(template: Column, pairs: Column) -> Column:
-    inner = F.slice(template, 2, F.greatest(F.size(template) - 1, F.lit(1)))  # without what precedes the name
-    return F.size(F.array_intersect(inner, pairs)) / F.size(F.array_distinct(inner))
+def template_overlap(pairs: Column, family: Column, known: dict[str, list[list[str]]]) -> Column:
+    """The largest share of a name's bigrams of the family that are among ``pairs``."""
+    names = F.create_map(*(x for f, inner in known.items() for x in (F.lit(f), F.array(*(F.array(*map(F.lit, pairs_)) for pairs_ in inner)))))
+    return F.array_max(F.transform(names[family], lambda inner: F.size(F.filter(inner, lambda x: F.array_contains(pairs, x))) / F.size(inner)))
 
 
 def scan(docs: DataFrame, scanner: Scanner, id_column: str = "doc_id", text_column: str = "text", confirm: float = 0.9) -> DataFrame:
@@ -149,11 +163,11 @@ def scan(docs: DataFrame, scanner: Scanner, id_column: str = "doc_id", text_colu
     probability (of the most likely family) and overlap with its closest template."""
     named = scanner.model.transform(_featured(paragraphs_of(docs, id_column, text_column), scanner.features))
     p = vector_to_array("probability")
-    term = F.lower("paragraph").rlike(TERMS)
-    named = named.select("doc_id", "place", "_pairs", term.alias("_term"), F.slice(p, 2, len(FAMILIES) - 1).alias("_p")).withColumn(
+    named = named.withColumn("_lower", F.lower("paragraph"))
+    named = named.select("doc_id", "place", "_pairs", has_term(F.col("_lower")).alias("_term"), F.slice(p, 2, len(FAMILIES) - 1).alias("_p")).withColumn(
         "probability", F.array_max("_p"))
     named = named.withColumn("_family", F.element_at(F.array(*map(F.lit, NAMES)), F.array_position("_p", F.col("probability")).cast("int")))
-    named = named.withColumn("overlap", template_overlap(F.col("_pairs"), F.col("_family")))
+    named = named.withColumn("overlap", template_overlap(F.col("_pairs"), F.col("_family"), templates(docs.sparkSession)))
     certain = (F.col("probability") >= scanner.threshold) & (F.col("overlap") >= confirm)
     # ordinary paragraphs go by a generator without output: a filter would move below the model and work it out twice
     listed = F.explode(F.when(F.col("_term") | (F.col("overlap") >= confirm), F.array(F.lit(1)))).alias("_listed")

@@ -523,3 +523,16 @@ def test_pipeline_drops_near_copies_at_five_words(spark):
     table = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     assert sorted(r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, table, "").collect()) == [0, 2]
     assert {r["component_id"] for r in queries.ngram_join.near_duplicates(table).collect()} == {0, 1, 2}
+
+
+def test_license_terms_and_templates_need_no_pattern_per_row(spark):
+    lines = ["Licensed", "a licence", "CC0", "acc0", "cc0x", "CC BY 4.0", "xcc by", "cc bye", "under the mit", "under the mits", "under them",
+             "all rights  reserved", "public domain", "lower", ""]
+    df = spark.createDataFrame([(line,) for line in lines], "paragraph string")
+    found = df.select(F.lower("paragraph").alias("low")).select("low", licenses.has_term(F.col("low")).alias("has")).collect()
+    assert [r["has"] for r in found] == [bool(re.search(licenses.TERMS, r["low"])) for r in found]
+    known = licenses.templates(spark)
+    assert list(known) == list(licenses.NAMES) and ["mit license"] in known["mit"]
+    pairs = licenses.bigrams_of(licenses.words_of(F.lit("Under the GNU GPL.")))
+    got = spark.range(1).select(licenses.template_overlap(pairs, F.lit("gpl"), known), licenses.template_overlap(pairs, F.lit("mit"), known)).first()
+    assert tuple(got) == (1.0, 0.0)
