@@ -42,6 +42,7 @@ REMEMBERED = 300_000  # pieces whose value a task remembers
 TELLING = 1.9  # log odds from which a word may be taken for toxic at first: three documents against none
 _LETTERS = 40  # 1-26 letters, 27-38 everything else by remainder
 _STANDS_FOR = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "$": "s", "@": "a"}
+_MARKS = ".,;:!?\"'()"
 _RUN = re.compile(r"[^\W_]+")
 _APART = re.compile(r"(?<!\S)(?:[^\W\d_][ .*_-]){2,}[^\W\d_](?!\w)")
 _SENTENCE = re.compile(r"[.!?]+(?=\s)|\n")
@@ -57,7 +58,11 @@ def _letter_codes() -> np.ndarray:
 
 def words_of(piece: str) -> list[str]:
     """The words in a piece between blanks: its runs of letters and digits, and all of them as one."""
-    runs = _RUN.findall(piece.lower())
+    piece = piece.lower()
+    inner = piece.strip(_MARKS)
+    if len(inner) <= WINDOW and inner.isalnum():  # one run, as most pieces are
+        return [inner]
+    runs = _RUN.findall(piece)
     if len(runs) > 1:
         runs.append("".join(runs))
     return [run[i:i + WINDOW] for run in runs for i in range(0, max(1, len(run) - WINDOW // 2), WINDOW // 2)]
@@ -77,8 +82,8 @@ class Subsequences:
         self.codes = _letter_codes()
         self.places = {n: np.array(list(combinations(range(n), ORDER))) for n in range(ORDER, WINDOW + 1)}
 
-    def by_length(self, words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """(indices of words, places in the table, weights) for each length that has any."""
+    def by_length(self, words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """(indices of words, places in the table with a row for each subsequence, weights, norms) for each length that has any."""
         lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
         for n in np.unique(lengths[lengths >= ORDER]).tolist():
             at = np.flatnonzero(lengths == n)
@@ -87,48 +92,54 @@ class Subsequences:
             points = self.places[n].T
             weights = DECAY ** (points[-1] - points[0] + 1)
             step = max(1, 2_000_000 // len(weights))
+            step = min(step, max(1, 2_000_000 // n ** 2))
             for row in range(0, len(at), step):
                 part = letters[row:row + step]
-                places = part[:, points[0]]
+                signs = np.ascontiguousarray(part.T).astype(np.int32)
+                places = signs[points[0]]
                 for point in points[1:]:
-                    places = places * _LETTERS + part[:, point]
-                yield at[row:row + step], places, weights
-
-    def norms(self, places: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        """The kernel of each word with itself, under the root."""
-        order = np.argsort(places, axis=1, kind="stable")
-        places = np.take_along_axis(places, order, axis=1)
-        sums = np.cumsum(weights[order], axis=1)
-        last = np.ones(places.shape, dtype=bool)
-        last[:, :-1] = places[:, 1:] != places[:, :-1]
-        total = np.zeros(len(places))
-        rows, columns = np.nonzero(last)
-        first = np.concatenate(([True], rows[1:] != rows[:-1]))
-        value = sums[rows, columns]
-        value = value - np.where(first, 0, np.concatenate(([0], value[:-1])))
-        np.add.at(total, rows, value ** 2)
-        return np.sqrt(total)
+                    places = places * _LETTERS + signs[point]
+                yield at[row:row + step], places, weights, self.norms(part)
+
+    def norms(self, letters: np.ndarray) -> np.ndarray:
+        """The kernel of each word of one length with itself, under the root.
+
+        ``ahead[j, k]`` adds up all pairs of equal subsequences that end before letters j and k, with their weights up
+        to there; a further letter is added to all of them at once.
+        """
+        count, n = letters.shape
+        gap = np.arange(n)[None, :] - np.arange(n)[:, None]
+        decay = np.where(gap > 0, DECAY ** np.maximum(gap, 0), 0.0)
+        same = (letters[:, :, None] == letters[:, None, :]).astype(float)
+        ahead = same
+        for _ in range(ORDER - 1):  # symmetric in both words, which are the same
+            half = (ahead.reshape(-1, n) @ decay).reshape(count, n, n)
+            ahead = same * (half.swapaxes(1, 2).reshape(-1, n) @ decay).reshape(count, n, n)
+        return DECAY * np.sqrt(ahead.sum(axis=(1, 2)))
 
     def against(self, words: list[str], table: "Weights") -> np.ndarray:
         """Products of the normalised words with each column of ``table``."""
         out = np.zeros((len(words), table.columns.shape[1]), dtype=np.float32)
-        for at, places, weights in self.by_length(words):
-            norm, rows = self.norms(places, weights), table.rows[places]
+        single = table.columns[:, 0][table.rows] if table.columns.shape[1] == 1 else None  # one look-up in place of two
+        for at, places, weights, norm in self.by_length(words):
+            if single is not None:
+                out[at, 0] = (weights @ single[places]) / norm
+                continue
+            rows = table.rows[places]
             for c in range(table.columns.shape[1]):
-                out[at, c] = (table.columns[rows, c] @ weights) / norm
+                out[at, c] = (weights @ table.columns[rows, c]) / norm
         return out
 
     def vectors(self, words: list[str]) -> "Weights":
         """Each word as a normalised column of subsequence weights."""
         parts = list(self.by_length(words))
-        used = np.unique(np.concatenate([places.ravel() for _, places, _ in parts])) if parts else np.zeros(0, dtype=np.int64)
+        used = np.unique(np.concatenate([places.ravel() for _, places, *_ in parts])) if parts else np.zeros(0, dtype=np.int64)
         rows = np.zeros(_LETTERS ** ORDER, dtype=np.int32)
         rows[used] = np.arange(1, len(used) + 1)
         columns = np.zeros((len(used) + 1, len(words)), dtype=np.float32)
-        for at, places, weights in parts:
-            norm = self.norms(places, weights)
+        for at, places, weights, norm in parts:
             for i, word in enumerate(at.tolist()):
-                np.add.at(columns[:, word], rows[places[i]], weights / norm[i])
+                np.add.at(columns[:, word], rows[places[:, i]], weights / norm[i])
         return Weights(rows, columns)
 
 
@@ -191,7 +202,8 @@ class Model:
         words = [words_of(piece) for piece in new]
         flat = list({word for found in words for word in found})
         value = dict(zip(flat, (kernel.against(flat, self.table)[:, 0] + self.bias).tolist()))
-        known.update((piece, max(map(value.__getitem__, found), default=self.bias)) for piece, found in zip(new, words))
+        known.update((piece, value[found[0]] if len(found) == 1 else max(map(value.__getitem__, found), default=self.bias))
+                     for piece, found in zip(new, words))
         return np.array([max(map(known.__getitem__, found), default=self.bias) for found in pieces])
 
     def scores(self, values: np.ndarray) -> np.ndarray:

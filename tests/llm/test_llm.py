@@ -536,3 +536,15 @@ def test_license_terms_and_templates_need_no_pattern_per_row(spark):
     pairs = licenses.bigrams_of(licenses.words_of(F.lit("Under the GNU GPL.")))
     got = spark.range(1).select(licenses.template_overlap(pairs, F.lit("gpl"), known), licenses.template_overlap(pairs, F.lit("mit"), known)).first()
     assert tuple(got) == (1.0, 0.0)
+
+
+def test_toxicity_norms_of_words_that_repeat_letters():
+    kernel = toxicity.Subsequences()
+    words = ["abcd", "aaaaaa", "banana", "mississippi", "zxidiotidiotzxab"]
+    for at, places, weights, norms in kernel.by_length(words):
+        for i, word in enumerate(at.tolist()):
+            sums = {}
+            for place, weight in zip(places[:, i].tolist(), weights.tolist()):
+                sums[place] = sums.get(place, 0.0) + weight
+            assert norms[i] == pytest.approx(sum(v * v for v in sums.values()) ** 0.5, rel=1e-12), words[word]
+    assert toxicity.words_of('"Word,"') == ["word"] and toxicity.words_of("it's") == ["it", "s", "its"] and toxicity.words_of("...") == []
