@@ -27,7 +27,7 @@ of a result column are replaced. Texts of any length are read whole.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -126,26 +126,35 @@ def with_base(df: DataFrame, text: Column, rules: Rules) -> DataFrame:
                          | (100 * F.col("n_repeat_words") > rules.max_repeat_percent * F.col("n_words")))
 
 
+def class_columns(df: DataFrame) -> list[Column]:
+    """Code points of each class but the rest, of a table with base columns."""
+    found = [count_of(df["_text"], others) for others in CLASSES.values()]
+    return [*found, F.length(df["_text"]) - df["word_chars"], df["n_symbols"]]
+
+
 def class_counts(df: DataFrame) -> Column:
     """Code points of each class, the rest last, of a table with base columns."""
-    found = [count_of(df["_text"], others) for others in CLASSES.values()]
-    found += [F.length(df["_text"]) - df["word_chars"], df["n_symbols"]]
-    return let(F.array(*found), lambda c: F.concat(c, F.array(F.length(df["_text"]) - F.aggregate(
+    return let(F.array(*class_columns(df)), lambda c: F.concat(c, F.array(F.length(df["_text"]) - F.aggregate(
         c, F.lit(0).cast("long"), lambda a, b: a + b))))
 
 
 def references(df: DataFrame, language: Column, rules: Rules) -> DataFrame:
     """Per language (NULL: all documents, classes only): docs, total (of words), classes (shares), words and
     shares (the last: all other words)."""
-    shares = F.transform(class_counts(df), lambda n: F.floor(n * 1_000_000 / F.length(df["_text"])).cast("long"))
+    # plain columns, no arrays: Spark then compiles everything from the text to the counts of words as one
+    found = [f"_class{i}" for i in range(N_CLASSES)]
+    df = df.withColumns(dict(zip(found, class_columns(df))))
+    df = df.withColumn(found[-1], F.length("_text") - reduce(Column.__add__, map(F.col, found[:-1])))
+    shares = [F.floor(F.col(c) * 1_000_000 / F.length("_text")).cast("long").alias(c) for c in found]
     # words hold no blank, so keys that start with one are free for the other counts
     others = [" docs", *(f" class {i}" for i in range(N_CLASSES))]
     keys = F.concat(F.array(*map(F.lit, others)), "_words")
     keys = F.when(df["n_words"] >= rules.min_words, keys)  # not a filter, which would split texts once more
-    counts = F.concat(F.array(F.lit(1).cast("long")), shares)
-    entries = df.select(language.alias("language"), counts.alias("counts"), keys.alias("keys"))  # once for a document
-    entries = entries.select("language", "counts", F.posexplode("keys").alias("place", "key"))
-    n = F.when(F.col("place") < len(others), F.get("counts", F.col("place"))).otherwise(F.lit(1).cast("long"))
+    entries = df.select(language.alias("language"), *shares, keys.alias("keys"))  # once for a document
+    entries = entries.select("language", *found, F.posexplode("keys").alias("place", "key"))
+    n = F.when((F.col("place") >= len(others)) | (F.col("place") == 0), F.lit(1).cast("long"))
+    for i, c in enumerate(found):
+        n = n.when(F.col("place") == i + 1, F.col(c))
     found = stage(entries.groupBy("language", "key").agg(F.sum(n).alias("n")))
     kind = F.when(F.col("key") == " docs", "docs").when(F.col("key").startswith(" "), "class").otherwise("word")
     counts = found.select("language", kind.alias("kind"), F.regexp_replace("key", "^ (docs|class )", "").alias("key"), "n")
