@@ -548,3 +548,15 @@ def test_toxicity_norms_of_words_that_repeat_letters():
                 sums[place] = sums.get(place, 0.0) + weight
             assert norms[i] == pytest.approx(sum(v * v for v in sums.values()) ** 0.5, rel=1e-12), words[word]
     assert toxicity.words_of('"Word,"') == ["word"] and toxicity.words_of("it's") == ["it", "s", "its"] and toxicity.words_of("...") == []
+
+
+def test_quality_references_hold_shares_of_whole_documents(spark):
+    texts = ["Anna, Bob & Cid. " * 20, "plain words only " * 20, "ÀB#$ x\ty\n" * 30, "few words", None]
+    df = quality_rules.with_base(spark.createDataFrame([(t, "en") for t in texts], "text string, lang string"), F.col("text"), quality_rules.Rules())
+    plain = df.select(quality_rules.class_counts(df).alias("all"), F.array(*quality_rules.class_columns(df)).alias("some"), F.length("_text").alias("n"))
+    counted = plain.collect()
+    assert all(r["all"][:-1] == r["some"] and sum(r["all"]) == r["n"] for r in counted)
+    own = {r["language"]: r for r in quality_rules.references(df, F.col("lang"), quality_rules.Rules()).collect()}["en"]
+    shares = [[c * 1_000_000 // r["n"] for c in r["all"]] for r in counted[:3]]
+    sums = [sum(column) for column in zip(*shares)]
+    assert own["docs"] == 3 and own["classes"] == pytest.approx([s / sum(sums) for s in sums], rel=1e-12)
