@@ -79,31 +79,34 @@ def words_of(text: Column) -> Column:
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, _SPACE + "+"))
 
 
-def repeated_words(words: Column) -> Column:
-    """How many words lie in a 3-word window that comes up twice or more.
+def with_repeated_words(df: DataFrame) -> DataFrame:
+    """``n_repeat_words``: how many of ``_words`` lie in a 3-word window that comes up twice or more.
 
     Only a text whose window hashes are not all different is looked at closer: its windows are sorted as the upper
-    bits of their hash followed by their place, and neighbours of one hash count if their words are equal.
+    bits of their hash followed by their place, and neighbours of one hash count if their words are equal. Hashes and sorted
+    ones are columns of their own: inside a lambda Spark would not compile finding the distinct ones and sorting.
     """
     left, right = (partial(F.call_function, f"shift{side}") for side in ("left", "right"))
+    words, windows, keys = F.col("_words"), F.col("_windows"), F.col("_keys")
+    bits = F.length(F.bin(F.size(windows)))
 
-    def covered(all_: Column, hashes: Column, bits: Column) -> Column:
+    def covered(bits: Column, mask: Column) -> Column:
         def both(x: Column, other: Column) -> Column:
-            mask = left(F.lit(1).cast("long"), bits) - 1
-            at, to = x.bitwiseAND(mask).cast("int"), other.bitwiseAND(mask).cast("int")
-            same = (right(x.bitwiseXOR(other), bits) == 0) & (F.slice(all_, at + 1, 3) == F.slice(all_, to + 1, 3))
-            return F.when(same, F.array(at, at + 1, at + 2, to, to + 1, to + 2))
+            at, to = (k.bitwiseAND(mask).cast("int") for k in (x, other))
+            same = reduce(Column.__and__, (F.get(words, at + i) == F.get(words, to + i) for i in range(3)))
+            return F.when((right(x.bitwiseXOR(other), bits) == 0) & same, F.array(at, to))
 
-        keys = F.transform(hashes, lambda h, i: left(h, bits).bitwiseOR(i.cast("long")))
-        pairs = let(F.sort_array(keys), lambda s: F.zip_with(s, F.slice(s, 2, F.size(s)), both))
-        return F.size(F.array_distinct(F.flatten(F.filter(pairs, lambda p: p.isNotNull()))))
+        pairs = F.filter(F.zip_with(keys, F.slice(keys, 2, F.size(keys)), both), lambda pair: pair.isNotNull())
+        return let(F.array_distinct(F.flatten(pairs)), lambda starts: F.size(F.array_distinct(F.concat(
+            starts, F.transform(starts, lambda at: at + 1), F.transform(starts, lambda at: at + 2)))))
 
-    def windows(all_: Column) -> Column:
-        return let(F.transform(all_, lambda w: F.xxhash64(w)), lambda h: F.slice(
-            F.transform(h, lambda x, i: F.xxhash64(x, F.get(h, i + 1), F.get(h, i + 2))), 1, F.greatest(F.size(h) - 2, F.lit(0))))
-
-    return let(words, lambda all_: let(windows(all_), lambda hashes: F.when(
-        F.size(F.array_distinct(hashes)) < F.size(hashes), let(F.length(F.bin(F.size(all_))), lambda bits: covered(all_, hashes, bits))).otherwise(0))).cast("long")
+    df = df.withColumn("_windows", let(F.transform(words, lambda w: F.xxhash64(w)), lambda h: F.slice(F.transform(
+        h, lambda x, i: F.xxhash64(x, F.get(h, i + 1), F.get(h, i + 2))), 1, F.greatest(F.size(h) - 2, F.lit(0)))))
+    df = df.withColumn("_keys", F.when(F.size(F.array_distinct(windows)) < F.size(windows), F.sort_array(let(
+        bits, lambda b: F.transform(windows, lambda h, i: left(h, b).bitwiseOR(i.cast("long")))))))
+    n = F.when(keys.isNotNull(), let(F.length(F.bin(F.size(keys))), lambda b: let(
+        left(F.lit(1).cast("long"), b) - 1, lambda mask: covered(b, mask)))).otherwise(0)
+    return df.withColumn("n_repeat_words", n.cast("long")).drop("_windows", "_keys")
 
 
 def duplicate_lines(text: Column) -> Column:
@@ -114,13 +117,12 @@ def duplicate_lines(text: Column) -> Column:
 def with_base(df: DataFrame, text: Column, rules: Rules) -> DataFrame:
     """The base columns, and the words of the text as ``_words``."""
     text = F.coalesce(text.cast("string"), F.lit(""))
-    df = df.withColumns({"_text": text, "_words": words_of(text)})
+    df = with_repeated_words(df.withColumns({"_text": text, "_words": words_of(text)}))
     df = df.withColumns({
         "n_words": F.size("_words").cast("long"),
         "word_chars": F.length(F.array_join("_words", "")).cast("long"),
         "n_symbols": count_of(F.col("_text"), _NO_SYMBOLS),
         "n_dup_lines": duplicate_lines(F.col("_text")),
-        "n_repeat_words": repeated_words(F.col("_words")),
     })
     return df.withColumn("base_failed", (F.col("n_words") < rules.min_words)
                          | (100 * F.col("n_repeat_words") > rules.max_repeat_percent * F.col("n_words")))
@@ -141,35 +143,23 @@ def class_counts(df: DataFrame) -> Column:
 def references(df: DataFrame, language: Column, rules: Rules) -> DataFrame:
     """Per language (NULL: all documents, classes only): docs, total (of words), classes (shares), words and
     shares (the last: all other words)."""
-    # plain columns, no arrays: Spark then compiles everything from the text to the counts of words as one
     found = [f"_class{i}" for i in range(N_CLASSES)]
     df = df.withColumns(dict(zip(found, class_columns(df))))
     df = df.withColumn(found[-1], F.length("_text") - reduce(Column.__add__, map(F.col, found[:-1])))
-    shares = [F.floor(F.col(c) * 1_000_000 / F.length("_text")).cast("long").alias(c) for c in found]
-    # words hold no blank, so keys that start with one are free for the other counts
-    others = [" docs", *(f" class {i}" for i in range(N_CLASSES))]
-    keys = F.concat(F.array(*map(F.lit, others)), "_words")
-    keys = F.when(df["n_words"] >= rules.min_words, keys)  # not a filter, which would split texts once more
-    entries = df.select(language.alias("language"), *shares, keys.alias("keys"))  # once for a document
-    entries = entries.select("language", *found, F.posexplode("keys").alias("place", "key"))
-    n = F.when((F.col("place") >= len(others)) | (F.col("place") == 0), F.lit(1).cast("long"))
-    for i, c in enumerate(found):
-        n = n.when(F.col("place") == i + 1, F.col(c))
-    found = stage(entries.groupBy("language", "key").agg(F.sum(n).alias("n")))
-    kind = F.when(F.col("key") == " docs", "docs").when(F.col("key").startswith(" "), "class").otherwise("word")
-    counts = found.select("language", kind.alias("kind"), F.regexp_replace("key", "^ (docs|class )", "").alias("key"), "n")
-    pooled = counts.filter("kind <> 'word'").groupBy("kind", "key").agg(F.sum("n").alias("n")).select(F.lit(None).cast("string").alias("language"), "kind", "key", "n")
-    counts = counts.filter("language is not null").unionByName(pooled)
-
+    learnt = F.col("n_words") >= rules.min_words  # not a filter, which would split texts once more
+    # two plain groupings, of documents and of words: Spark compiles each from the text to the counts as one
+    own = stage(df.groupBy(language.alias("language")).agg(
+        F.count(F.when(learnt, 1)).alias("docs"), F.sum(F.when(learnt, F.col("n_words"))).alias("total"),
+        *(F.sum(F.when(learnt, F.floor(F.col(c) * 1_000_000 / F.length("_text")).cast("long"))).alias(c) for c in found)).filter("docs > 0"))
+    pooled = own.agg(F.lit(None).cast("string").alias("language"), F.sum("docs").alias("docs"), F.lit(None).cast("long").alias("total"),
+                     *(F.sum(c).alias(c) for c in found)).filter("docs > 0")
+    totals = own.filter("language is not null").unionByName(pooled).select("language", "docs", "total", F.array(*found).alias("sums"))
+
+    keys = df.select(language.alias("language"), F.explode(F.when(learnt & language.isNotNull(), F.col("_words"))).alias("key"))
+    counts = keys.groupBy("language", "key").agg(F.count("*").alias("n"))
     best = Window.partitionBy("language").orderBy(F.col("n").desc(), F.col("key"))
-    words = counts.filter("kind = 'word'").withColumn("rank", F.row_number().over(best)).filter(
-        F.col("rank") <= rules.common_words).groupBy("language").agg(
+    words = counts.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= rules.common_words).groupBy("language").agg(
         F.array_sort(F.collect_list(F.struct("rank", "key", "n"))).alias("top"))
-    totals = counts.groupBy("language").agg(
-        F.sum(F.when(F.col("kind") == "docs", F.col("n"))).alias("docs"),
-        F.sum(F.when(F.col("kind") == "word", F.col("n"))).alias("total"),
-        F.array(*(F.sum(F.when((F.col("kind") == "class") & (F.col("key") == str(i)), F.col("n")))
-                  for i in range(N_CLASSES))).alias("sums"))
     joined = totals.join(words, "language", "left")
     return joined.select(
         "language", "docs", "total",

@@ -6,6 +6,7 @@ import os
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -560,3 +561,19 @@ def test_quality_references_hold_shares_of_whole_documents(spark):
     shares = [[c * 1_000_000 // r["n"] for c in r["all"]] for r in counted[:3]]
     sums = [sum(column) for column in zip(*shares)]
     assert own["docs"] == 3 and own["classes"] == pytest.approx([s / sum(sums) for s in sums], rel=1e-12)
+
+
+def test_quality_rules_look_closer_and_count_words_in_compiled_columns(spark):
+    rng = random.Random(31)
+    texts = [" ".join(rng.choice("abcdefg"[:k]) for _ in range(n)) for k in (1, 2, 4, 7) for n in (1, 2, 3, 4, 5, 9, 60, 130)]
+    texts += [f"{prose(rng, 80)} {' '.join(f'w{i}' for i in range(40))} {prose(rng, 20)} w7 w8 w9 w10", "", None]
+    df = quality_rules.with_base(spark.createDataFrame([(t, "en") for t in texts], "text string, lang string"), F.col("text"), quality_rules.Rules())
+    assert [r["n_repeat_words"] for r in df.select("n_repeat_words").collect()] == [brute.base_rules(t)[4] for t in texts]
+    plan = df.select("n_repeat_words")._jdf.queryExecution().optimizedPlan().toString()
+    assert not re.search(r"lambdafunction\(.*sort_array", plan)  # Spark does not compile what a lambda holds
+    found = quality_rules.references(df, F.col("lang"), quality_rules.Rules())
+    assert "Generate explode(" in found._jdf.queryExecution().optimizedPlan().toString()  # words alone, not written before they are ranked
+    counts = Counter(w for t in texts for w in brute.words(t) if len(brute.words(t)) >= 50)
+    top = sorted(counts, key=lambda w: (-counts[w], w))[:quality_rules.Rules().common_words]
+    own = {r["language"]: r for r in found.collect()}
+    assert own["en"]["words"] == top and own["en"]["total"] == counts.total() and own["en"]["docs"] == own[None]["docs"] and own[None]["total"] is None
