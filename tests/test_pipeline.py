@@ -1,5 +1,6 @@
 import os
 import shutil
+import time
 from datetime import date, datetime
 from pathlib import Path
 
@@ -10,7 +11,7 @@ from stratalake import schemas as S
 from stratalake.operators.merge import match
 from stratalake.plans import gold as G
 from stratalake.plans import reports, run
-from stratalake.session import shared_dir
+from stratalake.session import CLEANUP, shared_dir
 from stratalake.sources.snapshots import Layout, Store, dense
 from tests.sources import CLEAN, write_sources
 
@@ -297,6 +298,94 @@ def test_letter_case_and_trailing_blanks_may_be_ignored_in_a_run(spark, months_l
     assert stamps[7] == (TS1 if ignore_case else TS2) and stamps[2] == TS1
 
 
+def shuffle_files(spark):
+    found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().iterator()
+    names = set()
+    while found.hasNext():
+        names.add(found.next().getName())
+    return {n for n in names if n.startswith("shuffle_")}
+
+
+def test_a_run_leaves_no_shuffle_files(spark, months_load, tmp_path, monkeypatch):
+    before, kept, write = shuffle_files(spark), spark.conf.get(CLEANUP, None), Store.write
+    seen = []
+
+    def written(store, run_id, name, *args, **more):
+        if store.folder.endswith("quality"):  # the last step: those of the layers before are gone
+            for _ in range(50):
+                if not shuffle_files(spark) - before:
+                    break
+                time.sleep(0.2)
+            seen.append(shuffle_files(spark) - before)
+            return [], {}
+        return write(store, run_id, name, *args, **more)
+
+    monkeypatch.setattr(Store, "write", written)
+    monkeypatch.setattr(run, "side_by_side", lambda jobs: {name: job() for name, job in jobs.items()})
+    run.run_pipeline(spark, write_sources(tmp_path / "b", appointments=[x.replace("50.00", "70.00") for x in MONTHS]), months_load, D2)
+    assert seen and seen[0] == set()
+    assert spark.conf.get(CLEANUP, None) == kept  # the session is as before
+    with pytest.raises(LookupError):
+        run.run_silver(spark, str(tmp_path / "none"), D1, TS1)
+    assert spark.conf.get(CLEANUP, None) == kept
+
+
+def test_a_table_is_deduplicated_in_slices_and_what_was_read_goes_at_once(spark, tmp_path, monkeypatch):
+    root, shared, staged = str(tmp_path / "wh"), Path(shared_dir(spark)), []
+    lines = [*MONTHS, "x,1,1,1,1,2023-01-02,,,,,", "05,1,1,1,1,2024-01-02,09:00,30,Resting,50.00,newest of 5", MONTHS[8], MONTHS[8]]
+    monkeypatch.setattr(run, "SLICE_ROWS", 20)
+    write = Store.write_slices
+
+    def written(store, run_id, name, slices, counters, done):
+        def gone(one):
+            done(one)
+            staged.append((name, one, {str(p) for p in shared.glob("staging-*/staging-*/staged-*/_verdict=accepted*")}))
+        return write(store, run_id, name, slices, counters, gone)
+
+    monkeypatch.setattr(Store, "write_slices", written)
+    run.run_bronze(spark, write_sources(tmp_path / "a", appointments=lines), root, TS1)
+    run.run_silver(spark, root, D1, TS1)
+    visits = [(one, left) for name, one, left in staged if name == "appointments"]
+    assert [one for one, _ in visits] == [f"accepted-{i}" for i in range(4)]  # 64 rows
+    for i, (one, left) in enumerate(visits):
+        assert not [p for p in left for other, _ in visits[:i + 1] if p.endswith(f"={other}")]
+    store = run.open_layer(spark, root, "silver")
+    found = {r["appointment_id"]: r for r in store.required("appointments").collect()}
+    assert len(found) == store.required("appointments").count() == store.parts("appointments")[0].rows == 60
+    assert found[5]["notes"] == "newest of 5" and store.required("rejected_rows").count() == 1
+    assert not list(shared.glob("staging-*"))
+
+    monkeypatch.setattr(run, "SLICE_ROWS", 1)  # more slices than ids, so some are empty
+    run.run_bronze(spark, write_sources(tmp_path / "c", appointments=[MONTHS[0]] * 9 + ["2,1,1,1,1,2023-01-02,09:00,30,,-1.00,"]), root, TS1)
+    run.run_silver(spark, root, D1, TS1)
+    assert run.open_layer(spark, root, "silver").required("appointments").count() == 2
+
+
+def test_a_changed_month_joins_the_stored_fact_without_a_shuffle(spark, months_load):
+    store = run.open_layer(spark, months_load, "gold")
+    april = [p for p in store.parts("fact_appointments") if p.part == 202304]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with store.clustered("fact_appointments", april) as fact:
+            ids = spark.range(3, 4).select(F.col("id").cast("int").alias("appointment_id"))
+            left = fact.join(ids, "appointment_id", "left_anti")
+            plan = left._jdf.queryExecution().executedPlan().toString()
+            assert sorted(r["appointment_id"] for r in left.collect()) == [15, 27, 39, 51]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Bucketed: true" in plan and "Exchange" not in plan[:plan.index("FileScan")]
+
+
+def test_sources_may_be_removed_once_they_are_published(spark, tmp_path):
+    root, source = str(tmp_path / "wh"), write_sources(tmp_path / "in", bills=[*CLEAN["bills"], BROKEN[2][1]])
+    with pytest.raises(run.ConstraintError):  # of the fact; the raw layer is published
+        run.run_pipeline(spark, source, root, D1, consume=True)
+    assert not os.path.exists(source) and run.open_layer(spark, root, "bronze").required("bills").count() == 4
+    source = write_sources(tmp_path / "kept")
+    run.run_pipeline(spark, source, root, D2)
+    assert len(os.listdir(source)) == 7
+
+
 def test_date_forms_of_a_run(spark, tmp_path):
     root = str(tmp_path / "wh")
     run.run_bronze(spark, write_sources(tmp_path / "a", appointments=[CLEAN["appointments"][0].replace("2023-01-02", "02.01.2023")]), root, TS1)
