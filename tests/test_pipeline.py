@@ -376,6 +376,20 @@ def test_a_changed_month_joins_the_stored_fact_without_a_shuffle(spark, months_l
     assert "Bucketed: true" in plan and "Exchange" not in plan[:plan.index("FileScan")]
 
 
+def test_new_rows_look_up_their_keys_in_slices(spark, months_load, tmp_path, monkeypatch):
+    root, lookup_keys, shares = months_load, G.lookup_keys, []
+    monkeypatch.setattr(run, "SLICE_ROWS", 20)
+    monkeypatch.setattr(G, "lookup_keys", lambda rows, lookups: shares.append(rows.count()) or lookup_keys(rows, lookups))
+    lines = [x.replace("50.00", "70.00") for x in MONTHS[:30]] + [x.replace(f"{i},", f"{100 + i},", 1) for i, x in enumerate(MONTHS[:30], 1)]
+    lines.append("200,1,9,1,1,2023-01-02,09:00,30,,1.00,no such doctor")
+    run.run_pipeline(spark, write_sources(tmp_path / "b", appointments=lines), root, D2, strict=True)
+    assert len(shares) == 5 and sum(shares[:4]) == 31 and max(shares[:4]) < 31  # new visits in four slices, bills in one
+    stored = rows(run.gold_tables(spark, root)["fact_appointments"], "appointment_key")
+    assert [r[:2] for r in stored] == [(i, i) for i in range(1, 61)] + [(60 + i, 100 + i) for i in range(1, 31)]
+    assert [r[10] for r in stored] == [70] * 30 + [50] * 60
+    run.check_integrity(run.gold_tables(spark, root))
+
+
 def test_sources_may_be_removed_once_they_are_published(spark, tmp_path):
     root, source = str(tmp_path / "wh"), write_sources(tmp_path / "in", bills=[*CLEAN["bills"], BROKEN[2][1]])
     with pytest.raises(run.ConstraintError):  # of the fact; the raw layer is published
